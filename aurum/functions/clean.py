@@ -94,12 +94,12 @@ def flag(pred: Column) -> Column:
 
 def parse_date(c, fmt: str, strict: bool = False) -> Column:
     """Fixed-format date parse; ``strict`` raises on bad input."""
-    return F.to_date(_c(c), fmt) if strict else F.try_to_date(_c(c), F.lit(fmt))
+    return F.to_date(_c(c), fmt) if strict else F.try_to_date(_c(c), fmt)
 
 
 def parse_date_any(c, formats: list[str]) -> Column:
     """First format that parses wins; none -> NULL."""
-    return F.coalesce(*[F.try_to_date(_c(c), F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(_c(c), f) for f in formats])
 
 
 def parse_iso_timestamp(c) -> Column:

@@ -69,3 +69,688 @@ def silver_fact(spark, sf):
 @query("gold_fact")
 def gold_fact(spark, sf):
     return _gold(spark, sf)
+
+
+# ------------------------------------------------------------ scans, sources
+from pyspark.sql import functions as F  # noqa: E402
+
+from aurum.functions import clean as C  # noqa: E402
+from aurum.operators import experiment as X  # noqa: E402
+from aurum.operators import quality as Q  # noqa: E402
+from aurum.operators.dedup import keep_first  # noqa: E402
+from aurum.operators.joins import lookup, missing_references  # noqa: E402
+from aurum.operators.quarantine import conservation as _conservation  # noqa: E402
+from aurum.operators.reshape import count_by, duplicate_groups, labelled_counts  # noqa: E402
+from aurum.plans import feeds  # noqa: E402
+from aurum.sources import landing as L  # noqa: E402
+from aurum.sources import store  # noqa: E402
+from aurum.session import scratch_path  # noqa: E402
+
+
+def _t(spark, sf):
+    return Tables(spark, sf)
+
+
+@query("bronze_union_by_name")
+def bronze_union_by_name(spark, sf):
+    """Two differently shaped party feeds aligned by column name."""
+    t = _t(spark, sf)
+    cust = t.customer.select(F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
+                             F.col("c_nationkey").alias("nation_key"), F.col("c_acctbal").alias("acctbal"),
+                             F.col("c_mktsegment").alias("mktsegment"), F.lit("customer").alias("party_type"))
+    supp = t.supplier.select(F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name"),
+                             F.col("s_nationkey").cast("bigint").alias("nation_key"),
+                             F.col("s_acctbal").alias("acctbal"), F.lit("supplier").alias("party_type"))
+    return L.union_by_name([cust, supp])
+
+
+@query("bronze_provenance")
+def bronze_provenance(spark, sf):
+    """Lineitem landed with the four provenance columns (row index per file)."""
+    li = _t(spark, sf).lineitem
+    return L.with_provenance(li, "lineitem", record_no=F.col("_metadata.row_index"))
+
+
+@query("record_no")
+def record_no(spark, sf):
+    """Record numbers are unique per (file, record): count == count distinct."""
+    p = bronze_provenance(spark, sf).select("_source_file", "_record_no")
+    return p.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct("_source_file", "_record_no").alias("n_distinct"))
+
+
+@query("file_basename")
+def file_basename(spark, sf):
+    p = _t(spark, sf).pages.select("page_id", "url")
+    return p.select("page_id", C.file_basename("url").alias("basename"))
+
+
+@query("landing_year_filter")
+def landing_year_filter(spark, sf):
+    """Landing keeps only the chosen years of a yyyymmdd text column."""
+    o = _t(spark, sf).orders.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("ymd"))
+    return L.year_filter(o, "ymd", ["1996", "1997"])
+
+
+@query("idempotent_overwrite")
+def idempotent_overwrite(spark, sf):
+    """Reloading twice leaves exactly one copy (overwrite, not append)."""
+    path = scratch_path(spark, "overwrite")
+    z = _zones(spark, sf)
+    store.overwrite(z, path)
+    store.overwrite(z, path)
+    return spark.read.parquet(path)
+
+
+@query("training_frame")
+def training_frame(spark, sf):
+    return X.training_frame(_gold(spark, sf))
+
+
+@query("compact_table")
+def compact_table(spark, sf):
+    """Version 1 written as many files, compacted into version 2; rows unchanged."""
+    root = scratch_path(spark, "lake")
+    store.write_version(_silver(spark, sf), root, "silver", "trips", files=16)
+    store.compact(spark, root, "silver", "trips", files=2)
+    return store.read_latest(spark, root, "silver", "trips")
+
+
+@query("latest_version")
+def latest_version(spark, sf):
+    root = scratch_path(spark, "lake")
+    store.write_version(_zones(spark, sf), root, "silver", "zones")
+    store.write_version(_silver(spark, sf), root, "silver", "zones_and_trips")
+    store.write_version(_silver(spark, sf), root, "silver", "zones_and_trips")
+    return store.latest_version(spark, root, "silver", "zones_and_trips").select("version", "n_rows")
+
+
+@query("incremental_landing")
+def incremental_landing(spark, sf):
+    from aurum.streaming.incremental import land_available
+    return land_available(spark, f"{sf.rstrip('/')}/lineitem*.parquet",
+                          _t(spark, sf).lineitem.schema)
+
+
+# ------------------------------------------------------------ projections / predicates
+@query("try_cast_ints")
+def try_cast_ints(spark, sf):
+    """Text keys, some with thousands separators: a tolerant cast NULLs those."""
+    p = _t(spark, sf).part.select("p_partkey", F.format_number("p_partkey", 0).alias("key_text"))
+    return p.select("p_partkey", "key_text", C.tolerant_cast("key_text", "int").alias("key_int"))
+
+
+@query("repair_thousands")
+def repair_thousands(spark, sf):
+    p = _t(spark, sf).part.select("p_partkey", F.format_number("p_partkey", 0).alias("key_text"))
+    return p.select("p_partkey", "key_text", C.tolerant_int("key_text").alias("key_int"))
+
+
+@query("drift_default")
+def drift_default(spark, sf):
+    b = _bronze(spark, sf).select("order_key", "line_no", "part_key", "late_fee")
+    return b.select("order_key", "line_no", "part_key",
+                    C.default_if_null(F.col("late_fee").cast("double"), 0.0).alias("late_fee"))
+
+
+def _messy_segment():
+    """Market segment text with blanks, padding and sentinels (deterministic)."""
+    s = F.col("c_mktsegment")
+    return (F.when(s == "HOUSEHOLD", F.lit("N/A"))
+             .when(s == "MACHINERY", F.lit("   "))
+             .when(s == "BUILDING", F.lit("NULL"))
+             .otherwise(F.concat(F.lit("  "), s, F.lit(" "))))
+
+
+@query("null_sentinels")
+def null_sentinels(spark, sf):
+    c = _t(spark, sf).customer.select("c_custkey", _messy_segment().alias("segment_raw"))
+    return c.select("c_custkey", "segment_raw", C.blank_to_null("segment_raw", "N/A", "NULL").alias("segment"))
+
+
+@query("repair_quote")
+def repair_quote(spark, sf):
+    n = _t(spark, sf).nation.select("n_nationkey",
+                                    F.replace(F.col("n_name"), F.lit("_"), F.lit("\u0092")).alias("zone_raw"))
+    return n.select("n_nationkey", "zone_raw", C.repair_smart_quote("zone_raw").alias("zone"))
+
+
+@query("range_filter")
+def range_filter(spark, sf):
+    """Silver's conjunctive range filter on typed rows (no dedup)."""
+    t = trips.typed(_bronze(spark, sf))
+    return t.filter(C.all_of([~p for _, p in trips.silver_rules()])).select(*trips.SILVER_COLUMNS)
+
+
+@query("month_window")
+def month_window(spark, sf):
+    """Half-open window: the offline silver keeps one pickup month."""
+    return trips.silver(_bronze(spark, sf), window=("1996-01-01", "1996-02-01"))
+
+
+@query("domain_filter")
+def domain_filter(spark, sf):
+    z = A.raw_zone_lookup(_t(spark, sf))
+    return z.filter(F.col("Borough").isin(A.ACCEPTED_BOROUGHS))
+
+
+@query("not_null_filter")
+def not_null_filter(spark, sf):
+    """Trips whose both boroughs resolved (left-join NULLs rejected)."""
+    e = trips.enriched(_silver(spark, sf), _zones(spark, sf), _daily(spark, sf))
+    return (e.filter(F.col("pickup_borough").isNotNull() & F.col("dropoff_borough").isNotNull())
+             .select("order_key", "line_no", "pickup_borough", "dropoff_borough"))
+
+
+@query("negated_guard")
+def negated_guard(spark, sf):
+    return trips.negated_guard(_silver(spark, sf))
+
+
+@query("reject_reason")
+def reject_reason(spark, sf):
+    """First failing silver rule per typed row (NULL = passes)."""
+    from aurum.operators.quarantine import tag_reasons
+    t = trips.typed(_bronze(spark, sf))
+    return tag_reasons(t, trips.silver_rules()).select("order_key", "line_no", "part_key", "_reject_reason")
+
+
+@query("binary_flags")
+def binary_flags(spark, sf):
+    return _daily(spark, sf).select("obs_date", "is_wet_day", "is_snow_day")
+
+
+@query("star_replace")
+def star_replace(spark, sf):
+    """``SELECT * REPLACE (fare_amount * 12 AS tip_amount)``."""
+    b = _bronze(spark, sf)
+    return b.withColumn("tip_amount", F.col("fare_amount") * F.lit(12.0))
+
+
+@query("derived_filter")
+def derived_filter(spark, sf):
+    """Filter on a derived alias (offline gold: avg_speed_mph < 80)."""
+    return trips.gold_offline(_silver(spark, sf))
+
+
+@query("qc_exclude")
+def qc_exclude(spark, sf):
+    return dims.daily_valid(A.raw_daily_long(_t(spark, sf)))
+
+
+@query("complete_cases")
+def complete_cases(spark, sf):
+    return X.complete_cases(X.training_frame(_gold(spark, sf)), X.WEATHER_FEATURES)
+
+
+# ------------------------------------------------------------ joins
+@query("role_playing_join")
+def role_playing_join(spark, sf):
+    s, z = _silver(spark, sf), _zones(spark, sf)
+    f = lookup(s, z, "pickup_location_id", "location_id", {"borough": "pickup_borough"}, bounded=True)
+    f = lookup(f, z, "dropoff_location_id", "location_id", {"borough": "dropoff_borough"}, bounded=True)
+    return f.select("order_key", "line_no", "pickup_borough", "dropoff_borough")
+
+
+@query("date_left_join")
+def date_left_join(spark, sf):
+    e = _t(spark, sf).events.select("event_id", "ts")
+    f = lookup(e, _daily(spark, sf), F.to_date("ts"), "obs_date",
+               {"obs_date": "obs_date", "precip_mm": "precip_mm", "tmax_c": "tmax_c"}, bounded=True)
+    return f.select("event_id", "obs_date", "precip_mm", "tmax_c")
+
+
+def _lift_frame(spark, sf):
+    """Offline gold inner-joined to the daily table (uncovered days drop)."""
+    g = trips.gold_offline(_silver(spark, sf))
+    d = _daily(spark, sf).select("obs_date", *trips.WEATHER_COLUMNS)
+    j = g.join(F.broadcast(d), trips.weather_key() == F.col("obs_date"), "inner")  # one row per day
+    return j.select("order_key", "line_no", *X.BASE_FEATURES, X.TARGET, *trips.WEATHER_COLUMNS)
+
+
+@query("date_inner_join")
+def date_inner_join(spark, sf):
+    return _lift_frame(spark, sf)
+
+
+@query("relationships_check")
+def relationships_check(spark, sf):
+    """Silver pickup locations with no row in the zone dimension."""
+    return missing_references(_silver(spark, sf), "pickup_location_id", _zones(spark, sf), "location_id")
+
+
+# ------------------------------------------------------------ aggregations
+@query("pivot_daily")
+def pivot_daily(spark, sf):
+    return dims.daily_pivot(A.raw_daily_long(_t(spark, sf)))
+
+
+@query("daily_wide")
+def daily_wide(spark, sf):
+    return _daily(spark, sf)
+
+
+@query("failed_qc_by_element")
+def failed_qc_by_element(spark, sf):
+    return dims.failed_qc_by_element(A.raw_daily_long(_t(spark, sf)))
+
+
+def _defects():
+    fare, d = F.col("fare_amount"), F.col("trip_distance_mi")
+    p = F.col("pickup_at")
+    lo, hi = F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"), F.lit("1996-02-01 00:00:00").cast("timestamp_ntz")
+    # ---- fixed defect labels ----
+    return [
+        ("negative fare", fare <= 0),
+        ("dropoff before pickup", F.col("dropoff_at") < p),
+        ("zero distance", d == 0),
+        ("distance > 100mi", d > 100),
+        ("passenger_count = 0", F.col("passenger_count") == 0),
+        ("passenger_count null", F.col("passenger_count").isNull()),
+        ("passenger_count > 6", F.col("passenger_count") > 6),
+        ("pickup outside month", (p < lo) | (p >= hi)),
+    ]
+
+
+@query("defect_profile")
+def defect_profile(spark, sf):
+    """What bronze contains, one labelled count per defect, from ONE scan."""
+    t = trips.typed(_bronze(spark, sf))
+    return labelled_counts(t, _defects()).orderBy(F.col("n").desc(), F.col("defect"))
+
+
+@query("gold_summary")
+def gold_summary(spark, sf):
+    g = _gold(spark, sf)
+    return g.agg(F.count(F.lit(1)).alias("n_rows"),
+                 C.round_half_up(F.avg("trip_duration_min"), 2).alias("avg_min"),
+                 C.round_half_up(F.avg("avg_speed_mph"), 2).alias("avg_mph"),
+                 C.round_half_up(F.avg("tip_rate"), 4).alias("avg_tip_rate"),
+                 F.min("pickup_at").alias("min_pickup"), F.max("pickup_at").alias("max_pickup"))
+
+
+@query("text_profile")
+def text_profile(spark, sf):
+    t = _t(spark, sf)
+    return feeds.text_profile(t.documents.select("doc_id", "text"), t.labels.select("doc_id"))
+
+
+@query("coverage_summary")
+def coverage_summary(spark, sf):
+    return dims.coverage_summary(_daily(spark, sf))
+
+
+@query("duplicate_groups")
+def duplicate_groups_q(spark, sf):
+    li = _t(spark, sf).lineitem.select("l_orderkey", "l_linenumber")
+    return duplicate_groups(li, ["l_orderkey", "l_linenumber"])
+
+
+GOLD_ROW_FLOOR = 50000
+
+
+@query("row_floor")
+def row_floor(spark, sf):
+    """``SELECT count(*) FROM gold HAVING count(*) < floor`` (0 or 1 row)."""
+    g = _gold(spark, sf)
+    return g.agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") < GOLD_ROW_FLOOR)
+
+
+@query("reject_rollup")
+def reject_rollup(spark, sf):
+    """All quarantines rolled up by source and reason."""
+    t = _t(spark, sf)
+    parts = [
+        dims.zone_quarantine(A.raw_zone_lookup(t)).select(F.lit("zone_lookup").alias("src"), "_reject_reason"),
+        feeds.app_log_quarantine(A.app_log_lines(t)).select(F.lit("app_log").alias("src"), "_reject_reason"),
+        dims.qc_quarantine(A.raw_daily_long(t)).select(F.lit("daily").alias("src"), "_reject_reason"),
+        trips.silver_tagged(_bronze(spark, sf)).filter(F.col("_reject_reason").isNotNull())
+             .select(F.lit("trips_silver").alias("src"), "_reject_reason"),
+        trips.quarantine_fact(_silver(spark, sf)).select(F.lit("trips_gold").alias("src"), "_reject_reason"),
+    ]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("src", "_reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("count_by_dim")
+def count_by_dim(spark, sf):
+    return count_by(_zones(spark, sf), ["borough"], "zones")
+
+
+@query("layer_counts")
+def layer_counts(spark, sf):
+    """Rows per layer and the bronze->silver drop, as one row (no cross join)."""
+    parts = [(_bronze(spark, sf), "bronze"), (_silver(spark, sf), "silver"), (_gold(spark, sf), "gold")]
+    u = None
+    for df, name in parts:
+        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layer"), "n")
+        u = c if u is None else u.unionByName(c)
+    w = u.agg(*[F.max(F.when(F.col("layer") == n, F.col("n"))).alias(n) for _, n in parts])
+    drop = F.col("bronze") - F.col("silver")
+    return w.select("bronze", "silver", "gold", drop.alias("dropped"),
+                    C.round_half_up(F.lit(100.0) * drop / F.col("bronze"), 2).alias("dropped_pct"))
+
+
+@query("data_version")
+def data_version(spark, sf):
+    return store.fingerprint(_gold(spark, sf), "trip_duration_min")
+
+
+@query("data_fingerprint")
+def data_fingerprint(spark, sf):
+    """Order-free strong content hash of the gold table."""
+    return store.content_hash(_gold(spark, sf))
+
+
+# ------------------------------------------------------------ sort / limit
+@query("first_n")
+def first_n(spark, sf):
+    """First 900 eligible rows under a total order (repeatable ``LIMIT``)."""
+    b = _bronze(spark, sf)
+    elig = b.filter((F.col("fare_amount") > 5) & F.col("trip_distance").between(1, 5))
+    return elig.orderBy("order_key", "line_no", "part_key").limit(900)
+
+
+# ------------------------------------------------------------ scalar functions
+@query("concat_reason")
+def concat_reason(spark, sf):
+    q = dims.qc_quarantine(A.raw_daily_long(_t(spark, sf)))
+    return q.select("ymd", "element", "_reject_reason")
+
+
+@query("text_describe")
+def text_describe(spark, sf):
+    return feeds.describe_text(_t(spark, sf).documents.select("doc_id", "text"))
+
+
+@query("elapsed")
+def elapsed(spark, sf):
+    return trips.typed(_bronze(spark, sf)).select("order_key", "line_no", "part_key", "trip_duration_s")
+
+
+@query("time_features")
+def time_features(spark, sf):
+    return trips.features(_silver(spark, sf)).select("order_key", "line_no", "pickup_hour", "pickup_dow",
+                                                     "is_weekend")
+
+
+@query("parse_compact_date")
+def parse_compact_date(spark, sf):
+    r = A.raw_daily_long(_t(spark, sf)).select("ymd")
+    return r.select("ymd", C.parse_date("ymd", "yyyyMMdd", strict=True).alias("obs_date"),
+                    C.parse_date(F.concat(F.col("ymd"), F.lit("x")), "yyyyMMdd").alias("bad_parse"))
+
+
+# ---- fixed date formats (three inbound shapes) ----
+DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "dd-MM-yyyy"]
+
+
+@query("parse_multi_date")
+def parse_multi_date(spark, sf):
+    """Dates arriving in three formats (by order key mod 3); first parse wins."""
+    o = _t(spark, sf).orders.select("o_orderkey", "o_orderdate")
+    k = F.pmod(F.col("o_orderkey"), F.lit(3))
+    text = (F.when(k == 0, F.date_format("o_orderdate", DATE_FORMATS[0]))
+             .when(k == 1, F.date_format("o_orderdate", DATE_FORMATS[1]))
+             .otherwise(F.date_format("o_orderdate", DATE_FORMATS[2])))
+    s = o.select("o_orderkey", text.alias("submitted"))
+    return s.select("o_orderkey", "submitted", C.parse_date_any("submitted", DATE_FORMATS).alias("submitted_on"))
+
+
+@query("ratio_features")
+def ratio_features(spark, sf):
+    return trips.features(_silver(spark, sf)).select("order_key", "line_no", "trip_duration_min",
+                                                     "avg_speed_mph", "tip_rate")
+
+
+@query("json_extract")
+def json_extract(spark, sf):
+    ev = feeds.app_events(A.app_log_lines(_t(spark, sf)))
+    return ev.select("_line_no", "level", "ctx_k", "ctx_lat")
+
+
+@query("json_unstable_type")
+def json_unstable_type(spark, sf):
+    ev = feeds.app_events(A.app_log_lines(_t(spark, sf)))
+    return ev.select("_line_no", "user_id", "value")
+
+
+@query("json_split")
+def json_split(spark, sf):
+    """Lines that are not one JSON value, quarantined with a reason."""
+    return feeds.app_log_quarantine(A.app_log_lines(_t(spark, sf))).select("_file", "_line_no", "_reject_reason")
+
+
+@query("parse_iso_ts")
+def parse_iso_ts(spark, sf):
+    ev = feeds.app_events(A.app_log_lines(_t(spark, sf)))
+    return ev.select("_line_no", "event_at")
+
+
+# ------------------------------------------------------------ quality gate
+def _gate_frames(spark, sf):
+    s = _silver(spark, sf)
+    return {"stg_trips": s, "stg_daily": _daily(spark, sf), "stg_zones": _zones(spark, sf),
+            "fct_trips": _gold(spark, sf)}
+
+
+def schema_tests(row_floor: int = GOLD_ROW_FLOOR) -> list:
+    """The 23 published schema tests (16 silver, 7 gold)."""
+    return [
+        Q.not_null("stg_trips", "pickup_at"),
+        Q.not_null("stg_trips", "vendor_id"),
+        Q.not_null("stg_trips", "fare_amount"),
+        Q.accepted_range("stg_trips", "fare_amount", min_value=0, inclusive=False),
+        Q.not_null("stg_trips", "trip_duration_s"),
+        Q.accepted_range("stg_trips", "trip_duration_s", 60, 10800),
+        Q.accepted_range("stg_trips", "passenger_count", 1, 6),
+        Q.unique("stg_trips", trips.NATURAL_KEY),
+        Q.not_null("stg_daily", "obs_date"),
+        Q.unique("stg_daily", "obs_date"),
+        Q.accepted_range("stg_daily", "precip_mm", 0, 500),
+        Q.accepted_range("stg_daily", "tmax_c", -40, 50),
+        Q.not_null("stg_zones", "location_id"),
+        Q.unique("stg_zones", "location_id"),
+        Q.not_null("stg_zones", "borough"),
+        Q.accepted_values("stg_zones", "borough", A.ACCEPTED_BOROUGHS),
+        Q.not_null("fct_trips", "pickup_at"),
+        Q.not_null("fct_trips", "trip_duration_min"),
+        Q.accepted_range("fct_trips", "trip_duration_min", 1, 180),
+        Q.accepted_range("fct_trips", "avg_speed_mph", 0, 80, inclusive=False),
+        Q.accepted_range("fct_trips", "tip_rate", 0, 3),
+        Q.accepted_range("fct_trips", "pickup_hour", 0, 23),
+        Q.relationships("fct_trips", "pickup_borough", "stg_zones", "borough"),
+    ]
+
+
+def promotion_gate(row_floor: int = GOLD_ROW_FLOOR) -> list:
+    """The offline promotion gate: 8 error checks + 1 warning."""
+    return [
+        Q.expression("stg_trips", "silver: no null order key", "pickup_at IS NULL OR vendor_id IS NULL"),
+        Q.expression("stg_trips", "silver: fare strictly positive", "fare_amount <= 0"),
+        Q.expression("stg_trips", "silver: duration in range", "trip_duration_s NOT BETWEEN 60 AND 10800"),
+        Q.unique("stg_trips", trips.NATURAL_KEY, name="silver: no exact duplicates"),
+        Q.expression("stg_trips", "silver: total >= fare", "total_amount < fare_amount - 0.01", severity="warn"),
+        Q.expression("fct_trips", "gold: speed plausible", "avg_speed_mph >= 80 OR avg_speed_mph <= 0"),
+        Q.expression("fct_trips", "gold: tip_rate bounded", "tip_rate < 0 OR tip_rate > 3"),
+        Q.row_floor("fct_trips", row_floor, name="gold: row count not collapsed"),
+        Q.expression("fct_trips", "gold: pickup_hour valid", "pickup_hour NOT BETWEEN 0 AND 23"),
+    ]
+
+
+def _single(check):
+    def fn(spark, sf):
+        return Q.run_checks([check], _gate_frames(spark, sf)).select("check_name", "failing", "status")
+    return fn
+
+
+QUERIES["check_not_null"] = _single(Q.not_null("fct_trips", "trip_duration_min"))
+QUERIES["check_unique"] = _single(Q.unique("stg_daily", "obs_date"))
+QUERIES["check_unique_combo"] = _single(Q.unique("stg_trips", trips.NATURAL_KEY))
+QUERIES["check_range"] = _single(Q.accepted_range("fct_trips", "trip_duration_min", 1, 180))
+QUERIES["check_accepted"] = _single(Q.accepted_values("stg_zones", "borough", A.ACCEPTED_BOROUGHS[:3]))
+QUERIES["check_cross_column"] = _single(promotion_gate()[4])
+
+
+@query("gate_report")
+def gate_report(spark, sf):
+    return Q.run_checks(promotion_gate(), _gate_frames(spark, sf))
+
+
+@query("schema_tests_report")
+def schema_tests_report(spark, sf):
+    return Q.run_checks(schema_tests(), _gate_frames(spark, sf))
+
+
+# ------------------------------------------------------------ quarantine
+@query("quarantine_fact")
+def quarantine_fact(spark, sf):
+    return trips.quarantine_fact(_silver(spark, sf))
+
+
+@query("quarantine_dim")
+def quarantine_dim(spark, sf):
+    return dims.zone_quarantine(A.raw_zone_lookup(_t(spark, sf)))
+
+
+@query("quarantine_qc")
+def quarantine_qc(spark, sf):
+    return dims.qc_quarantine(A.raw_daily_long(_t(spark, sf)))
+
+
+@query("quarantine_silver")
+def quarantine_silver(spark, sf):
+    tagged = trips.silver_tagged(_bronze(spark, sf))
+    return (tagged.filter(F.col("_reject_reason").isNotNull())
+                  .select("order_key", "line_no", "part_key", "_reject_reason"))
+
+
+@query("conservation")
+def conservation(spark, sf):
+    """bronze = silver + quarantined (one pass over the tagged rows)."""
+    return _conservation(trips.silver_tagged(_bronze(spark, sf)))
+
+
+# ------------------------------------------------------------ defect drill
+def _inject(spark, sf):
+    """The corrupt upstream file: 12x tip on the first 900 otherwise-valid rows."""
+    b = _bronze(spark, sf)
+    elig = b.filter((F.col("fare_amount") > 5) & F.col("trip_distance").between(1, 5))
+    # New order keys: the copies arrive as new trips, so the survivor of each
+    # natural key stays deterministic (a same-key copy would tie).
+    return (elig.withColumn("tip_amount", F.col("fare_amount") * F.lit(12.0))
+                .orderBy("order_key", "line_no", "part_key").limit(900)
+                .withColumn("order_key", F.col("order_key") + F.lit(10 ** 12)))
+
+
+@query("inject_defect")
+def inject_defect(spark, sf):
+    """Written as a new file in the landing folder, then read back."""
+    path = scratch_path(spark, "landing") + "/trips-CORRUPT.parquet"
+    _inject(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("defect_drill")
+def defect_drill(spark, sf):
+    """Inject -> reload -> rebuild -> gate: before/after counts in one row.
+
+    The corrupt file arrives beside the clean feed; the reload is a union by
+    name of everything in the landing folder.  The 12x tip passes every
+    silver filter and is stopped only by the gold tip_rate guard.
+    """
+    landing = scratch_path(spark, "landing")
+    _inject(spark, sf).write.mode("overwrite").parquet(landing + "/trips-CORRUPT.parquet")
+    corrupt = spark.read.parquet(landing + "/trips-CORRUPT.parquet")
+    before_b = _bronze(spark, sf)
+    after_b = L.union_by_name([before_b, corrupt])
+
+    def measures(b, tag):
+        s = trips.silver(b)
+        q = trips.gold_tagged(s)
+        return q.agg(
+            F.count(F.lit(1)).alias(f"silver_{tag}"),
+            F.sum(F.when(F.col("_reject_reason").isNotNull(), 1).otherwise(0)).cast("bigint").alias(f"quarantine_{tag}"),
+            F.sum(F.when(F.col("_reject_reason") == trips.R_TIP, 1).otherwise(0)).cast("bigint").alias(f"tip_fail_{tag}"))
+    before, after = measures(before_b, "before"), measures(after_b, "after")
+    # Two one-row aggregates folded into one row by a global max (no cross join).
+    u = (before.select(F.lit(1).alias("_k"), "*").unionByName(after.select(F.lit(1).alias("_k"), "*"),
+                                                               allowMissingColumns=True))
+    cols = ["silver_before", "quarantine_before", "tip_fail_before", "silver_after", "quarantine_after", "tip_fail_after"]
+    w = u.groupBy("_k").agg(*[F.max(c).alias(c) for c in cols]).drop("_k")
+    return w.select(*cols, (F.col("quarantine_after") - F.col("quarantine_before")).alias("quarantine_delta"))
+
+
+# ------------------------------------------------------------ experiment
+GBT_QUICK = {"maxIter": 5}   # 200 rounds is the documented full setting
+
+
+@query("train_test_split")
+def train_test_split(spark, sf):
+    f = X.hash_split(X.training_frame(_gold(spark, sf)), ["order_key", "line_no"])
+    return f.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("train_gbt")
+def train_gbt(spark, sf):
+    f = X.hash_split(X.training_frame(_gold(spark, sf), X.BASE_FEATURES), ["order_key", "line_no"])
+    model = X.fit_gbt(f.filter(F.col("split") == "train"), X.BASE_FEATURES, GBT_QUICK)
+    return X.regression_metrics(model.transform(f.filter(F.col("split") == "test")))
+
+
+@query("regression_metrics")
+def regression_metrics(spark, sf):
+    """MAE / R^2 of a given prediction column (distance at 20 mph + 5 min)."""
+    g = _gold(spark, sf).select("trip_distance_mi", X.TARGET)
+    p = g.withColumn("prediction", F.col("trip_distance_mi") * F.lit(3.0) + F.lit(5.0))
+    return X.regression_metrics(p)
+
+
+@query("feature_lift")
+def feature_lift(spark, sf):
+    return X.feature_lift(X.training_frame(_gold(spark, sf)), X.BASE_FEATURES, X.WEATHER_FEATURES,
+                          ["order_key", "line_no"], GBT_QUICK)
+
+
+@query("inject_effect")
+def inject_effect(spark, sf):
+    """Known multiplicative weather effect (strength 0.35, noise off)."""
+    return X.inject_effect(_lift_frame(spark, sf), 0.35).select("order_key", "line_no", X.TARGET)
+
+
+@query("run_record")
+def run_record(spark, sf):
+    g = X.training_frame(_gold(spark, sf), X.BASE_FEATURES)
+    ver = store.fingerprint(_gold(spark, sf), X.TARGET).first()
+    f = X.hash_split(g, ["order_key", "line_no"])
+    model = X.fit_gbt(f.filter(F.col("split") == "train"), X.BASE_FEATURES, GBT_QUICK)
+    m = X.regression_metrics(model.transform(f.filter(F.col("split") == "test"))).first()
+    rec = X.run_record(spark, dict(X.GBT_PARAMS, **GBT_QUICK), ver.n_rows, ver.data_version,
+                       {"mae": m.mae, "r2": m.r2}, "gold.fct_trips")
+    runs = scratch_path(spark, "runs")
+    rec.write.mode("append").parquet(runs)
+    return spark.read.parquet(runs)
+
+
+# ------------------------------------------------------------ text landing round trips
+@query("csv_landing")
+def csv_landing(spark, sf):
+    """Zone rows written as headered CSV text, landed back as all-string bronze."""
+    path = scratch_path(spark, "landing") + "/zone_lookup_csv"
+    A.raw_zone_lookup(_t(spark, sf)).write.mode("overwrite").option("header", True).csv(path)
+    raw = L.read_csv_strings(spark, path, ["LocationID", "Borough", "Zone", "service_zone"], multiline=True)
+    return dims.zone_silver(raw.drop("_corrupt_record"))
+
+
+@query("json_lines_landing")
+def json_lines_landing(spark, sf):
+    """App log written as text lines, landed raw, split into events/quarantine."""
+    path = scratch_path(spark, "landing") + "/app_log"
+    A.app_log_lines(_t(spark, sf)).select(F.regexp_replace("_raw", "[\\r\\n]+", " ").alias("value")) \
+        .write.mode("overwrite").text(path)
+    lines = L.read_lines(spark, path).select(F.lit("log").alias("_file"), F.lit(0).cast("bigint").alias("_line_no"), "_raw")
+    ok = feeds.app_events(lines).agg(F.count(F.lit(1)).alias("n")).select(F.lit("events").alias("part"), "n")
+    bad = feeds.app_log_quarantine(lines).agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("part"), "n")
+    return ok.unionByName(bad)
