@@ -398,15 +398,21 @@ def row_floor(spark, sf):
 
 @query("reject_rollup")
 def reject_rollup(spark, sf):
-    """All quarantines rolled up by source and reason."""
-    t = _t(spark, sf)
+    """All quarantines rolled up by source and reason.
+
+    The silver verdicts are materialized once; silver rejects and the gold
+    guard's rejects both read them.
+    """
+    from aurum.plans.layers import Layers
+    lay = Layers(spark, sf, materialize=True)
+    t = lay.t
     parts = [
         dims.zone_quarantine(A.raw_zone_lookup(t)).select(F.lit("zone_lookup").alias("src"), "_reject_reason"),
         feeds.app_log_quarantine(A.app_log_lines(t)).select(F.lit("app_log").alias("src"), "_reject_reason"),
         dims.qc_quarantine(A.raw_daily_long(t)).select(F.lit("daily").alias("src"), "_reject_reason"),
-        trips.silver_tagged(_bronze(spark, sf)).filter(F.col("_reject_reason").isNotNull())
-             .select(F.lit("trips_silver").alias("src"), "_reject_reason"),
-        trips.quarantine_fact(_silver(spark, sf)).select(F.lit("trips_gold").alias("src"), "_reject_reason"),
+        lay.silver_tagged.filter(F.col("_reject_reason").isNotNull())
+           .select(F.lit("trips_silver").alias("src"), "_reject_reason"),
+        trips.quarantine_fact(lay.silver_accepted).select(F.lit("trips_gold").alias("src"), "_reject_reason"),
     ]
     u = parts[0]
     for p in parts[1:]:
@@ -421,15 +427,23 @@ def count_by_dim(spark, sf):
 
 @query("layer_counts")
 def layer_counts(spark, sf):
-    """Rows per layer and the bronze->silver drop, as one row (no cross join)."""
-    parts = [(_bronze(spark, sf), "bronze"), (_silver(spark, sf), "silver"), (_gold(spark, sf), "gold")]
-    u = None
-    for df, name in parts:
-        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layer"), "n")
-        u = c if u is None else u.unionByName(c)
-    w = u.agg(*[F.max(F.when(F.col("layer") == n, F.col("n"))).alias(n) for _, n in parts])
+    """Rows per layer and the bronze->silver drop, as one row (no cross join).
+
+    Bronze and silver counts come from one pass over the tagged rows; gold
+    is built from the materialized accepted rows.
+    """
+    from aurum.plans.layers import Layers
+    lay = Layers(spark, sf, materialize=True)
+    tagged = lay.silver_tagged
+    bs = tagged.agg(F.count(F.lit(1)).alias("bronze"),
+                    F.count(F.when(F.col("_reject_reason").isNull(), F.lit(1))).alias("silver"))
+    g = trips.gold(lay.silver_accepted, lay.zones, lay.daily).agg(F.count(F.lit(1)).alias("gold"))
+    u = (bs.select(F.lit(1).alias("_k"), "bronze", "silver")
+           .unionByName(g.select(F.lit(1).alias("_k"), "gold"), allowMissingColumns=True)
+           .groupBy("_k").agg(F.max("bronze").alias("bronze"), F.max("silver").alias("silver"),
+                              F.max("gold").alias("gold")))
     drop = F.col("bronze") - F.col("silver")
-    return w.select("bronze", "silver", "gold", drop.alias("dropped"),
+    return u.select("bronze", "silver", "gold", drop.alias("dropped"),
                     C.round_half_up(F.lit(100.0) * drop / F.col("bronze"), 2).alias("dropped_pct"))
 
 
@@ -531,9 +545,9 @@ def parse_iso_ts(spark, sf):
 
 # ------------------------------------------------------------ quality gate
 def _gate_frames(spark, sf):
-    s = _silver(spark, sf)
-    return {"stg_trips": s, "stg_daily": _daily(spark, sf), "stg_zones": _zones(spark, sf),
-            "fct_trips": _gold(spark, sf)}
+    """Silver and gold materialized once; every check reads them."""
+    from aurum.plans.layers import Layers
+    return Layers(spark, sf, materialize=True).gate_frames()
 
 
 def schema_tests(row_floor: int = GOLD_ROW_FLOOR) -> list:

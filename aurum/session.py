@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs a shuffle later:
+    # the dedup after the fact join then runs its partial aggregate first.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
@@ -32,7 +35,9 @@ def build_session(master: str | None = None, app: str = "aurum",
     """Return (or reuse) a session with the engine's settings applied.
 
     On a cluster ``master`` is None and the launcher decides.  Locally the
-    caller passes ``local[N]``; shuffle partitions then default to ~2x cores.
+    caller passes ``local[N]``; shuffle partitions then default to N (AQE
+    coalesces further).  On a cluster, size ``spark.sql.shuffle.partitions``
+    to the data (~128 MB per partition at the largest shuffle).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -42,7 +47,7 @@ def build_session(master: str | None = None, app: str = "aurum",
     if shuffle_partitions is None and master and master.startswith("local"):
         cores = master[master.find("[") + 1:master.find("]")]
         n = (os.cpu_count() or 8) if cores in ("*", "") else int(cores)
-        shuffle_partitions = max(8, 2 * n)
+        shuffle_partitions = n
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
@@ -74,3 +79,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint into the shared checkpoint folder.
+
+    Used where one intermediate feeds several consumers in one job (silver
+    feeds gold, quarantine and checks).  Never a local checkpoint: the files
+    must survive the loss of the executor that wrote them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
