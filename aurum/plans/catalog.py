@@ -777,3 +777,15 @@ def pipeline_run(spark, sf):
     from aurum.plans.pipeline import run
     written, _ = run(spark, sf)
     return written
+
+
+OFFLINE_WINDOW = ("1996-01-01", "1996-02-01")
+
+
+@query("offline_gate_report")
+def offline_gate_report(spark, sf):
+    """The offline twin: month-window silver, tip-unguarded gold, same gate."""
+    from aurum.session import materialize
+    s = materialize(trips.silver(_bronze(spark, sf), window=OFFLINE_WINDOW))
+    g = trips.gold_offline(s)
+    return Q.run_checks(promotion_gate(), {"stg_trips": s, "fct_trips": g})

@@ -64,14 +64,19 @@ def build_session(master: str | None = None, app: str = "aurum",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    A cluster sets ``spark.checkpoint.dir``; it is used as is.  Only when it
-    is unset (local runs, tests) a folder under the system temp dir is made.
+    A cluster sets ``spark.checkpoint.dir``; it is used as is.  Only a local
+    session (tests, single-machine runs) may fall back to a folder of its own;
+    on a cluster an unset value is an error, because a machine-local folder
+    would not survive the loss of the executor that wrote it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="aurum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
