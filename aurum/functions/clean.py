@@ -137,6 +137,16 @@ def json_valid(c) -> Column:
             & text.rlike("(?s)" + _JSON_SHAPE)).eqNullSafe(F.lit(True))
 
 
+def json_shape_ok(c) -> Column:
+    """Text has the shape of exactly one JSON value (no trailing text)."""
+    return _c(c).rlike("(?s)" + _JSON_SHAPE)
+
+
+def variant_field(v, path: str, dtype: str) -> Column:
+    """Field of an already parsed VARIANT; missing or uncastable -> NULL."""
+    return F.try_variant_get(_c(v), path, dtype)
+
+
 def json_text(c, path: str) -> Column:
     """Text at a JSON path ('$.a.b'); missing key or malformed -> NULL."""
     return F.get_json_object(_c(c), path)

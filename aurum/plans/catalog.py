@@ -77,7 +77,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from aurum.functions import clean as C  # noqa: E402
 from aurum.operators import experiment as X  # noqa: E402
 from aurum.operators import quality as Q  # noqa: E402
-from aurum.operators.dedup import keep_first  # noqa: E402
 from aurum.operators.joins import lookup, missing_references  # noqa: E402
 from aurum.operators.quarantine import conservation as _conservation  # noqa: E402
 from aurum.operators.reshape import count_by, duplicate_groups, labelled_counts  # noqa: E402

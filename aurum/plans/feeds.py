@@ -16,16 +16,22 @@ R_NOT_JSON = "not valid json"
 
 
 def app_events(lines: DataFrame) -> DataFrame:
-    """Valid JSON lines -> typed events (one path lookup per field)."""
-    raw = F.col("_raw")
-    return (lines.filter(C.json_valid(raw))
-                 .select("_file", "_line_no",
-                         C.parse_iso_timestamp(C.json_text(raw, "$.ts")).alias("event_at"),
-                         C.json_text(raw, "$.level").alias("level"),
-                         C.json_typed(raw, "$.user", "bigint").alias("user_id"),
-                         C.json_typed(raw, "$.value", "double").alias("value"),
-                         C.json_typed(raw, "$.ctx.k", "bigint").alias("ctx_k"),
-                         C.json_typed(raw, "$.ctx.lat", "double").alias("ctx_lat")))
+    """Valid JSON lines -> typed events.
+
+    Each line is parsed once into a VARIANT; validity and every field come
+    from that one parse (path lookups on the binary value, tolerant casts),
+    instead of re-parsing the text once per field.
+    """
+    parsed = lines.select("_file", "_line_no", "_raw", F.try_parse_json("_raw").alias("_v"))
+    ok = parsed.filter((F.col("_v").isNotNull() & C.json_shape_ok("_raw")).eqNullSafe(F.lit(True)))
+    v = F.col("_v")
+    return ok.select("_file", "_line_no",
+                     C.parse_iso_timestamp(C.variant_field(v, "$.ts", "string")).alias("event_at"),
+                     C.variant_field(v, "$.level", "string").alias("level"),
+                     C.variant_field(v, "$.user", "bigint").alias("user_id"),
+                     C.variant_field(v, "$.value", "double").alias("value"),
+                     C.variant_field(v, "$.ctx.k", "bigint").alias("ctx_k"),
+                     C.variant_field(v, "$.ctx.lat", "double").alias("ctx_lat"))
 
 
 def app_log_quarantine(lines: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ and the dedup.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,22 @@ class Layers:
     def gold(self) -> DataFrame:
         return self._m(trips.gold(self.silver, self.zones, self.daily))
 
-    def gate_frames(self) -> dict[str, DataFrame]:
-        return {"stg_trips": self.silver, "stg_daily": self.daily, "stg_zones": self.zones,
-                "fct_trips": self.gold}
+    def gate_frames(self) -> "LazyFrames":
+        """Check-table name -> layer, built (and materialized) only when a
+        check actually reads it."""
+        return LazyFrames({"stg_trips": lambda: self.silver, "stg_daily": lambda: self.daily,
+                           "stg_zones": lambda: self.zones, "fct_trips": lambda: self.gold})
+
+
+class LazyFrames(Mapping):
+    def __init__(self, makers: dict):
+        self._makers = makers
+
+    def __getitem__(self, key: str) -> DataFrame:
+        return self._makers[key]()
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)

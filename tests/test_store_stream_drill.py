@@ -76,3 +76,16 @@ def test_conservation_on_testdata(spark):
     c = catalog.QUERIES["conservation"](spark, SF_SMALL).first()
     assert c.balanced and c.input_rows == c.accepted_rows + c.quarantined_rows
     assert c.accepted_rows == catalog.QUERIES["silver_fact"](spark, SF_SMALL).count()
+
+
+def test_pipeline_run_writes_every_layer_consistently(spark):
+    from aurum.plans.pipeline import run
+    root = scratch_path(spark, "lakehouse")
+    written, report = run(spark, SF_SMALL, root)
+    n = {(r.layer, r.table_name): r.n_rows for r in written.collect()}
+    assert n[("bronze", "raw_trips")] == n[("silver", "trips")] + n[("silver", "trips_quarantine")]
+    assert n[("silver", "trips")] == n[("gold", "fct_trips")] + n[("gold", "fct_trips_quarantine")]
+    assert n[("bronze", "raw_app_log")] == n[("silver", "app_events")] + n[("silver", "app_log_quarantine")]
+    assert report.count() == 9
+    # tables are readable as the newest committed version
+    assert store.read_latest(spark, root, "gold", "fct_trips").count() == n[("gold", "fct_trips")]
