@@ -33,10 +33,18 @@ class Layers:
     def bronze(self) -> DataFrame:
         return A.raw_trips(self.t)
 
+    @cached_property
+    def typed(self) -> DataFrame:
+        return self._m(trips.typed(self.bronze))
+
     @cached_property
     def silver_tagged(self) -> DataFrame:
-        """Every bronze row with its silver verdict (NULL = accepted)."""
-        return self._m(trips.silver_tagged(self.bronze))
+        """Every bronze row with its silver verdict (NULL = accepted).
+
+        The survivor match-back reads the typed rows twice, so they are
+        materialized first; the fact joins then run once.
+        """
+        return self._m(trips.tag_typed(self.typed))
 
     @cached_property
     def silver(self) -> DataFrame:

@@ -102,7 +102,16 @@ def silver_tagged(bronze: DataFrame, window: tuple[str, str] | None = None) -> D
     Reasons: ``duplicate`` for rows that lost their key, else the first
     failing filter, else ``null in guard`` when a filter is undecidable.
     """
-    t = label_survivors(typed(bronze), NATURAL_KEY, SURVIVOR_ORDER, "_survivor")
+    return tag_typed(typed(bronze), window)
+
+
+def tag_typed(typed_df: DataFrame, window: tuple[str, str] | None = None) -> DataFrame:
+    """``silver_tagged`` on already typed rows.
+
+    The survivor match-back reads its input twice; pass a materialized
+    (written or checkpointed) input so the bronze joins run once.
+    """
+    t = label_survivors(typed_df, NATURAL_KEY, SURVIVOR_ORDER, "_survivor")
     rules = [(R_DUPLICATE, ~F.col("_survivor"))] + silver_rules(window)
     return tag_reasons(t, rules, null_reason=R_NULL).drop("_survivor")
 
