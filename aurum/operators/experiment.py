@@ -87,10 +87,15 @@ def feature_lift(frame: DataFrame, base: list[str], added: list[str], keys: list
         "lift_pct double, threshold_pct double, verdict string")
 
 
-def inject_effect(df: DataFrame, strength: float, noise_seed: int | None = None) -> DataFrame:
-    """Multiply the target by a known weather effect (optionally with 2% noise).
+def inject_effect(df: DataFrame, strength: float, noise_seed: int | None = None,
+                  keys: list[str] | None = None) -> DataFrame:
+    """Multiply the target by a known weather effect (optionally with ~2% noise).
 
     slowdown = 1 + s * clip(precip/20, 0, 1.5) + 1.6 * s * clip(snow/100, 0, 1.5)
+
+    With ``keys`` the noise is a seeded hash of the row key (uniform, same
+    spread as N(1, 0.02)), identical under any partitioning or re-evaluation;
+    without keys it is ``randn(seed)``.
     """
     def clip(c):
         return F.least(F.greatest(c, F.lit(0.0)), F.lit(1.5))
@@ -98,7 +103,10 @@ def inject_effect(df: DataFrame, strength: float, noise_seed: int | None = None)
     slow = (F.lit(1.0) + s * clip(F.col("precip_mm") / F.lit(20.0))
             + F.lit(1.6) * s * clip(F.col("snow_mm") / F.lit(100.0)))
     y = F.col(TARGET) * slow
-    if noise_seed is not None:
+    if noise_seed is not None and keys:
+        u = F.pmod(F.xxhash64(F.lit(noise_seed), *[F.col(k) for k in keys]), F.lit(1000003)) / F.lit(1000003.0)
+        y = y * (F.lit(1.0) + F.lit(0.02 * 12 ** 0.5) * (u - F.lit(0.5)))
+    elif noise_seed is not None:
         y = y * (F.lit(1.0) + F.lit(0.02) * F.randn(noise_seed))
     return df.withColumn(TARGET, y)
 
@@ -111,3 +119,32 @@ def run_record(spark, params: dict, n_rows: int, data_version: str, metrics: dic
           int(n_rows), str(sorted(params.items())), float(metrics["mae"]), float(metrics["r2"]))],
         "run_at timestamp_ntz, source_table string, data_version string, n_rows long, params string, "
         "mae double, r2 double")
+
+
+# ---- fixed apparatus thresholds (minutes of MAE) ----
+CONTROL_MAX_ABS_LIFT = 0.15
+TREATMENT_MIN_LIFT = 0.30
+
+
+def apparatus_check(frame: DataFrame, base: list[str], added: list[str], keys: list[str],
+                    params: dict | None = None, control: float = 0.0, treatment: float = 0.35,
+                    noise_seed: int = 3) -> DataFrame:
+    """Validate the experiment itself: a known injected effect must show up.
+
+    The target is multiplied by a weather effect of ``control`` (none) and
+    ``treatment`` strength (with 2% seeded noise); the MAE lift from adding
+    the weather features must be ~0 for the control and clearly positive for
+    the treatment.
+    """
+    cc = complete_cases(frame, added)
+    lifts = []
+    for strength in (control, treatment):
+        f = inject_effect(cc, strength, noise_seed, keys)
+        b = score(f, base, keys, params)
+        w = score(f, base + added, keys, params)
+        lifts.append(float(b["mae"] - w["mae"]))
+    ok = abs(lifts[0]) < CONTROL_MAX_ABS_LIFT and lifts[1] > TREATMENT_MIN_LIFT
+    return frame.sparkSession.createDataFrame(
+        [(control, lifts[0], treatment, lifts[1], "PASS" if ok else "FAIL")],
+        "control_strength double, control_lift_min double, treatment_strength double, "
+        "treatment_lift_min double, verdict string")

@@ -790,3 +790,10 @@ def offline_gate_report(spark, sf):
     s = materialize(trips.silver(_bronze(spark, sf), window=OFFLINE_WINDOW))
     g = trips.gold_offline(s)
     return Q.run_checks(promotion_gate(), {"stg_trips": s, "fct_trips": g})
+
+
+@query("apparatus_check")
+def apparatus_check(spark, sf):
+    """Control (no effect) vs treatment (known weather effect) lift."""
+    frame = _lift_frame(spark, sf)
+    return X.apparatus_check(frame, X.BASE_FEATURES, X.WEATHER_FEATURES, ["order_key", "line_no"], GBT_QUICK)
