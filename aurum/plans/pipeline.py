@@ -25,7 +25,7 @@ RUN_SCHEMA = "layer string, table_name string, version int, n_rows bigint"
 def run(spark: SparkSession, sf_dir: str, root: str | None = None,
         checks: list | None = None, raise_on_closed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Build every layer once; returns (tables written, gate report)."""
-    root = root or scratch_path(spark, "lakehouse")
+    root = root or scratch_path(spark, "layers")
     t = Tables(spark, sf_dir)
     ts = L.batch_timestamp()
     written = []

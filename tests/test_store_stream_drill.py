@@ -80,7 +80,7 @@ def test_conservation_on_testdata(spark):
 
 def test_pipeline_run_writes_every_layer_consistently(spark):
     from aurum.plans.pipeline import run
-    root = scratch_path(spark, "lakehouse")
+    root = scratch_path(spark, "layers")
     written, report = run(spark, SF_SMALL, root)
     n = {(r.layer, r.table_name): r.n_rows for r in written.collect()}
     assert n[("bronze", "raw_trips")] == n[("silver", "trips")] + n[("silver", "trips_quarantine")]
