@@ -797,3 +797,14 @@ def apparatus_check(spark, sf):
     """Control (no effect) vs treatment (known weather effect) lift."""
     frame = _lift_frame(spark, sf)
     return X.apparatus_check(frame, X.BASE_FEATURES, X.WEATHER_FEATURES, ["order_key", "line_no"], GBT_QUICK)
+
+
+@query("csv_headerless_landing")
+def csv_headerless_landing(spark, sf):
+    """Daily rows written as headerless CSV, landed with a declared all-string
+    schema and a landing-time year filter, then pivoted and rescaled."""
+    path = scratch_path(spark, "landing") + "/station_csv"
+    A.raw_daily_long(_t(spark, sf)).write.mode("overwrite").option("header", False).csv(path)
+    cols = ["station_id", "ymd", "element", "value", "m_flag", "q_flag", "s_flag", "obs_time"]
+    raw = L.read_csv_strings(spark, path, cols, header=False).drop("_corrupt_record")
+    return dims.daily_wide(L.year_filter(raw, "ymd", ["2024"]))

@@ -10,6 +10,7 @@ from an ``Observation`` on the write itself, not a second scan.
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def write_version(df: DataFrame, root: str, layer: str, name: str, note: str = "
     if log is not None:
         prev = log.agg(F.max("version")).first()[0] or 0   # one-row result
     version = prev + 1
-    obs = Observation(f"write_{layer}_{name}_{version}")
+    obs = Observation(f"write_{layer}_{name}_{version}_{uuid.uuid4().hex[:8]}")
     out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
     if files:
         out = out.repartition(files)
