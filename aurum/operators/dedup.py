@@ -42,8 +42,3 @@ def label_survivors(df: DataFrame, keys: list[str], order: list[str],
     return (df.join(win, on=on, how="left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
               .select(*df.columns, flag))
-
-
-def record_numbers(df: DataFrame, file_col: str | None = None) -> DataFrame:
-    """Unique record number per row without a single-partition sort."""
-    return df.withColumn("_record_no", F.monotonically_increasing_id())

@@ -107,7 +107,7 @@ def bronze_union_by_name(spark, sf):
 def bronze_provenance(spark, sf):
     """Lineitem landed with the four provenance columns (row index per file)."""
     li = _t(spark, sf).lineitem
-    return L.with_provenance(li, "lineitem", record_no=F.col("_metadata.row_index"))
+    return L.with_provenance(li, "lineitem", record_no=L.record_number(parquet_scan=True))
 
 
 @query("record_no")

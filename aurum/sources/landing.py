@@ -44,14 +44,15 @@ def rename_columns(df: DataFrame, mapping: dict[str, str], keep_rest: bool = Fal
     return df.select(*cols)
 
 
-def record_number(source_file: Column | None = None) -> Column:
-    """Per-file record number without a global sort.
+def record_number(parquet_scan: bool = False) -> Column:
+    """Record number without a global sort.
 
-    Parquet exposes the row's position in its file (``_metadata.row_index``);
-    other sources use ``monotonically_increasing_id`` (unique, not dense).
-    Either is computed inside the scan task, so no single-partition window.
+    A Parquet scan exposes the row's position in its file
+    (``_metadata.row_index``: unique per file, stable across re-reads); other
+    sources use ``monotonically_increasing_id`` (unique, not dense).  Both
+    are computed inside the scan task -- no single-partition window.
     """
-    return F.monotonically_increasing_id()
+    return F.col("_metadata.row_index") if parquet_scan else F.monotonically_increasing_id()
 
 
 def with_provenance(df: DataFrame, source: str, ingested_at: datetime.datetime | None = None,
