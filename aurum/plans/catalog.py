@@ -9,9 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from aurum.plans import dims, trips
+from pyspark.sql import functions as F
+
+from aurum.functions import clean as C
+from aurum.operators import experiment as X
+from aurum.operators import quality as Q
+from aurum.operators.joins import lookup, missing_references
+from aurum.operators.quarantine import conservation as _conservation
+from aurum.operators.quarantine import tag_reasons
+from aurum.operators.reshape import count_by, duplicate_groups, labelled_counts
+from aurum.plans import dims, feeds, trips
+from aurum.plans.layers import Layers
+from aurum.session import materialize, scratch_path
 from aurum.sources import adapters as A
+from aurum.sources import landing as L
+from aurum.sources import store
 from aurum.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,18 +84,6 @@ def gold_fact(spark, sf):
 
 
 # ------------------------------------------------------------ scans, sources
-from pyspark.sql import functions as F  # noqa: E402
-
-from aurum.functions import clean as C  # noqa: E402
-from aurum.operators import experiment as X  # noqa: E402
-from aurum.operators import quality as Q  # noqa: E402
-from aurum.operators.joins import lookup, missing_references  # noqa: E402
-from aurum.operators.quarantine import conservation as _conservation  # noqa: E402
-from aurum.operators.reshape import count_by, duplicate_groups, labelled_counts  # noqa: E402
-from aurum.plans import feeds  # noqa: E402
-from aurum.sources import landing as L  # noqa: E402
-from aurum.sources import store  # noqa: E402
-from aurum.session import scratch_path  # noqa: E402
 
 
 def _t(spark, sf):
@@ -166,7 +166,7 @@ def latest_version(spark, sf):
 
 @query("incremental_landing")
 def incremental_landing(spark, sf):
-    from aurum.streaming.incremental import land_available
+    from aurum.streaming.incremental import land_available  # streaming module loaded on demand
     return land_available(spark, f"{sf.rstrip('/')}/lineitem*.parquet",
                           _t(spark, sf).lineitem.schema)
 
@@ -249,7 +249,6 @@ def negated_guard(spark, sf):
 @query("reject_reason")
 def reject_reason(spark, sf):
     """First failing silver rule per typed row (NULL = passes)."""
-    from aurum.operators.quarantine import tag_reasons
     t = trips.typed(_bronze(spark, sf))
     return tag_reasons(t, trips.silver_rules()).select("order_key", "line_no", "part_key", "_reject_reason")
 
@@ -402,7 +401,6 @@ def reject_rollup(spark, sf):
     The silver verdicts are materialized once; silver rejects and the gold
     guard's rejects both read them.
     """
-    from aurum.plans.layers import Layers
     lay = Layers(spark, sf, materialize=True)
     t = lay.t
     parts = [
@@ -431,7 +429,6 @@ def layer_counts(spark, sf):
     Bronze and silver counts come from one pass over the tagged rows; gold
     is built from the materialized accepted rows.
     """
-    from aurum.plans.layers import Layers
     lay = Layers(spark, sf, materialize=True)
     tagged = lay.silver_tagged
     bs = tagged.agg(F.count(F.lit(1)).alias("bronze"),
@@ -545,7 +542,6 @@ def parse_iso_ts(spark, sf):
 # ------------------------------------------------------------ quality gate
 def _gate_frames(spark, sf):
     """Silver and gold materialized once; every check reads them."""
-    from aurum.plans.layers import Layers
     return Layers(spark, sf, materialize=True).gate_frames()
 
 
@@ -635,7 +631,6 @@ def quarantine_qc(spark, sf):
 
 @query("quarantine_silver")
 def quarantine_silver(spark, sf):
-    from aurum.session import materialize
     tagged = trips.tag_typed(materialize(trips.typed(_bronze(spark, sf))))
     return (tagged.filter(F.col("_reject_reason").isNotNull())
                   .select("order_key", "line_no", "part_key", "_reject_reason"))
@@ -644,7 +639,6 @@ def quarantine_silver(spark, sf):
 @query("conservation")
 def conservation(spark, sf):
     """bronze = silver + quarantined (one pass over the tagged rows)."""
-    from aurum.session import materialize
     return _conservation(trips.tag_typed(materialize(trips.typed(_bronze(spark, sf)))))
 
 
@@ -786,7 +780,6 @@ OFFLINE_WINDOW = ("1996-01-01", "1996-02-01")
 @query("offline_gate_report")
 def offline_gate_report(spark, sf):
     """The offline twin: month-window silver, tip-unguarded gold, same gate."""
-    from aurum.session import materialize
     s = materialize(trips.silver(_bronze(spark, sf), window=OFFLINE_WINDOW))
     g = trips.gold_offline(s)
     return Q.run_checks(promotion_gate(), {"stg_trips": s, "fct_trips": g})
