@@ -801,3 +801,18 @@ def csv_headerless_landing(spark, sf):
     cols = ["station_id", "ymd", "element", "value", "m_flag", "q_flag", "s_flag", "obs_time"]
     raw = L.read_csv_strings(spark, path, cols, header=False).drop("_corrupt_record")
     return dims.daily_wide(L.year_filter(raw, "ymd", ["2024"]))
+
+
+@query("multi_file_landing")
+def multi_file_landing(spark, sf):
+    """The trip feed arrives as two files whose schemas drifted (the early one
+    has no late-fee column); both land as one bronze table by column name and
+    silver resolves the drift with a default."""
+    landing = scratch_path(spark, "landing")
+    b = _bronze(spark, sf)
+    early = F.year("pickup_datetime") <= 1997
+    b.filter(early).drop("late_fee").write.mode("overwrite").parquet(landing + "/trips-early.parquet")
+    b.filter(~early).write.mode("overwrite").parquet(landing + "/trips-late.parquet")
+    landed = L.land_parquet_files(spark, [landing + "/trips-early.parquet", landing + "/trips-late.parquet"],
+                                  "trips")
+    return trips.typed(landed, keep=["_source_file"])

@@ -44,11 +44,13 @@ R_SPEED = "avg_speed_mph outside (0, 80) -- physically implausible"
 R_TIP = "tip_rate outside [0, 3] -- tip more than 3x the fare"
 
 
-def typed(bronze: DataFrame) -> DataFrame:
-    """Hard casts to the silver types, plus elapsed seconds."""
+def typed(bronze: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Hard casts to the silver types, plus elapsed seconds (``keep``: extra
+    bronze columns passed through, e.g. provenance)."""
     pickup = F.col("pickup_datetime").cast("timestamp_ntz")
     dropoff = F.col("dropoff_datetime").cast("timestamp_ntz")
     return bronze.select(
+        *[F.col(c) for c in keep],
         F.col("order_key").cast("bigint").alias("order_key"),
         F.col("line_no").cast("int").alias("line_no"),
         F.col("part_key").cast("bigint").alias("part_key"),

@@ -36,6 +36,24 @@ def read_parquet_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union_by_name([spark.read.parquet(p) for p in paths])
 
 
+def land_parquet_files(spark: SparkSession, paths: list[str], source: str,
+                       ingested_at: datetime.datetime | None = None) -> DataFrame:
+    """Land several Parquet files/folders of one feed as one bronze table.
+
+    Each path is read on its own (its own schema), stamped with provenance
+    from its own scan -- the landed folder name and the row's index in its
+    file -- and the shapes are unioned by name (missing columns -> NULL).
+    """
+    ts = ingested_at or batch_timestamp()
+    frames = []
+    for p in paths:
+        df = spark.read.parquet(p)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        frames.append(with_provenance(df, source, ts, source_file=folder,
+                                      record_no=record_number(parquet_scan=True)))
+    return union_by_name(frames)
+
+
 def rename_columns(df: DataFrame, mapping: dict[str, str], keep_rest: bool = False) -> DataFrame:
     """Project source columns onto the contract's names (one ``select``)."""
     cols = [F.col(src).alias(dst) for src, dst in mapping.items()]
