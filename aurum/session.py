@@ -51,6 +51,8 @@ def build_session(master: str | None = None, app: str = "aurum",
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # Checkpoint files of DataFrames that are gone are removed by the cleaner.
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
