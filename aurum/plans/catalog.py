@@ -92,7 +92,12 @@ def _t(spark, sf):
 
 @query("bronze_union_by_name")
 def bronze_union_by_name(spark, sf):
-    """Two differently shaped party feeds aligned by column name."""
+    """Two differently shaped party feeds aligned by column name.
+
+    Suppliers have no market segment (NULL after the union); the supplier
+    feed carries its nation key as bigint, customers' is int, and the union
+    widens to bigint.
+    """
     t = _t(spark, sf)
     cust = t.customer.select(F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
                              F.col("c_nationkey").alias("nation_key"), F.col("c_acctbal").alias("acctbal"),
