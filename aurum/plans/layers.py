@@ -63,7 +63,9 @@ class Layers:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return dims.daily_wide(A.raw_daily_long(self.t))
+        """One row per day, but built from the whole measurement feed: read
+        by gold and by several checks, so it is materialized once too."""
+        return self._m(dims.daily_wide(A.raw_daily_long(self.t)))
 
     @cached_property
     def gold(self) -> DataFrame:
