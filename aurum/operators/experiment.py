@@ -33,8 +33,14 @@ def complete_cases(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def hash_split(df: DataFrame, keys: list[str], train_pct: int = 80, seed: int = 42,
                col: str = "split") -> DataFrame:
-    """'train' / 'test' by a seeded hash of the key."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(100))
+    """'train' / 'test' by a seeded hash of the key.
+
+    The bucket is the first 32 bits of md5("seed|key..."), mod 100: a
+    portable hash, so any engine reproduces the same split, under any
+    partitioning (``randomSplit`` depends on partitioning).
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(100)
     return df.withColumn(col, F.when(bucket < train_pct, F.lit("train")).otherwise(F.lit("test")))
 
 
