@@ -31,6 +31,7 @@ class Check:
     parent: tuple[str, str] | None = None
     min_rows: int = 0
     severity: str = "error"
+    skip_null: bool = False         # unique: ignore NULL keys (single-column form)
 
     def failing_pred(self) -> Column:
         return F.expr(self.predicate)
@@ -64,9 +65,8 @@ def unique(table: str, cols: list[str] | str, severity: str = "error", name: str
     cols = [cols] if isinstance(cols, str) else list(cols)
     nm = name or (f"{table}.{cols[0]} unique" if len(cols) == 1
                   else f"{table}.({','.join(cols)}) unique_combination")
-    c = Check(nm, table, "unique", cols=cols, severity=severity)
-    c.values = [len(cols) == 1 if skip_null is None else skip_null]
-    return c
+    return Check(nm, table, "unique", cols=cols, severity=severity,
+                 skip_null=(len(cols) == 1) if skip_null is None else skip_null)
 
 
 def accepted_values(table: str, col: str, values: list, severity: str = "error") -> Check:
@@ -89,9 +89,7 @@ def row_floor(table: str, min_rows: int, severity: str = "error", name: str | No
 def _group_failures(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
     df = frames[check.table]
     if check.kind == "unique":
-        src = df
-        if check.values and check.values[0]:
-            src = df.filter(F.col(check.cols[0]).isNotNull())
+        src = df.filter(F.col(check.cols[0]).isNotNull()) if check.skip_null else df
         return duplicate_groups(src, check.cols).agg(F.count(F.lit(1)).alias("failing"))
     if check.kind == "values":
         c = check.cols[0]
