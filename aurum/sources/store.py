@@ -54,9 +54,10 @@ def write_version(df: DataFrame, root: str, layer: str, name: str, note: str = "
         prev = log.agg(F.max("version")).first()[0] or 0   # one-row result
     version = prev + 1
     obs = Observation(f"write_{layer}_{name}_{version}_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
-    if files:
-        out = out.repartition(files)
+    out = df.repartition(files) if files else df
+    # Observed in the write (result) stage, whose per-partition metrics are
+    # counted once even when tasks are retried after an executor loss.
+    out = out.observe(obs, F.count(F.lit(1)).alias("n_rows"))
     out.write.mode("overwrite").parquet(f"{troot}/v{version:06d}")
     n = obs.get["n_rows"]
     rec = spark.createDataFrame(
