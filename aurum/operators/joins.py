@@ -17,15 +17,19 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str, take: dict[s
     """Attach ``take`` (dim column -> output name) by key.
 
     Call once per role to join the same dimension under several roles
-    (pickup / dropoff).  ``bounded`` marks a dimension with a proven small
-    row bound; only then is it broadcast explicitly.
+    (pickup / dropoff).  The dimension side has the same shape for every
+    role (renaming happens after the join), so the planner reuses one
+    broadcast for all roles.  ``bounded`` marks a dimension with a proven
+    small row bound; only then is it broadcast explicitly.
     """
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    alias = "_d_" + "_".join(take.values())
-    d = dim.select(F.col(dim_key).alias(alias), *[F.col(c).alias(o) for c, o in take.items()])
+    # Fresh aliases (same names for every role): no attribute clashes when
+    # the same dimension is joined twice, identical plans for exchange reuse.
+    d = dim.select(F.col(dim_key).alias("_lookup_key"), *[F.col(c).alias(c) for c in take])
     if bounded:
         d = F.broadcast(d)
-    return fact.join(d, fk == F.col(alias), how).drop(alias)
+    j = fact.join(d, fk == d["_lookup_key"], how)
+    return j.select(*[fact[c] for c in fact.columns], *[d[c].alias(o) for c, o in take.items()])
 
 
 def missing_references(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
