@@ -23,7 +23,7 @@ def app_events(lines: DataFrame) -> DataFrame:
     instead of re-parsing the text once per field.
     """
     parsed = lines.select("_file", "_line_no", "_raw", F.try_parse_json("_raw").alias("_v"))
-    ok = parsed.filter((F.col("_v").isNotNull() & C.json_shape_ok("_raw")).eqNullSafe(F.lit(True)))
+    ok = parsed.filter((C.json_shape_ok("_raw") & F.col("_v").isNotNull()).eqNullSafe(F.lit(True)))
     v = F.col("_v")
     return ok.select("_file", "_line_no",
                      C.parse_iso_timestamp(C.variant_field(v, "$.ts", "string")).alias("event_at"),
