@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     from aurum.session import build_session
     spark = build_session(a.master)
     if a.command == "run":
-        from aurum.plans.pipeline import run
+        from aurum.plans.build import run
         written, report = run(spark, a.sf, a.root)
         written.show(100, truncate=False)
         report.orderBy("check_no").show(100, truncate=False)

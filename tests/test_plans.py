@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 # are covered by the oracle tests.
 EAGER = {"compact_table", "latest_version", "idempotent_overwrite", "incremental_landing", "inject_defect",
          "defect_drill", "run_record", "train_gbt", "feature_lift", "csv_landing", "json_lines_landing",
-         "pipeline_run"}
+         "layered_build"}
 NAMES = sorted(set(E.queries()) - EAGER)
 
 

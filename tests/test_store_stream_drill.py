@@ -78,8 +78,8 @@ def test_conservation_on_testdata(spark):
     assert c.accepted_rows == catalog.QUERIES["silver_fact"](spark, SF_SMALL).count()
 
 
-def test_pipeline_run_writes_every_layer_consistently(spark):
-    from aurum.plans.pipeline import run
+def test_layered_build_writes_every_layer_consistently(spark):
+    from aurum.plans.build import run
     root = scratch_path(spark, "layers")
     written, report = run(spark, SF_SMALL, root)
     n = {(r.layer, r.table_name): r.n_rows for r in written.collect()}
