@@ -406,7 +406,7 @@ def reject_rollup(spark, sf):
     The silver verdicts are materialized once; silver rejects and the gold
     guard's rejects both read them.
     """
-    lay = Layers(spark, sf, materialize=True)
+    lay = Layers(spark, sf, materialize={"typed", "silver_tagged"})
     t = lay.t
     parts = [
         dims.zone_quarantine(A.raw_zone_lookup(t)).select(F.lit("zone_lookup").alias("src"), "_reject_reason"),
@@ -434,7 +434,7 @@ def layer_counts(spark, sf):
     Bronze and silver counts come from one pass over the tagged rows; gold
     is built from the materialized accepted rows.
     """
-    lay = Layers(spark, sf, materialize=True)
+    lay = Layers(spark, sf, materialize={"typed", "silver_tagged"})
     tagged = lay.silver_tagged
     bs = tagged.agg(F.count(F.lit(1)).alias("bronze"),
                     F.count(F.when(F.col("_reject_reason").isNull(), F.lit(1))).alias("silver"))
@@ -545,9 +545,9 @@ def parse_iso_ts(spark, sf):
 
 
 # ------------------------------------------------------------ quality gate
-def _gate_frames(spark, sf):
-    """Silver and gold materialized once; every check reads them."""
-    return Layers(spark, sf, materialize=True).gate_frames()
+def _gate_frames(spark, sf, shared=frozenset({"silver", "gold", "daily"})):
+    """Layers the checks read more than once are materialized once."""
+    return Layers(spark, sf, materialize=set(shared)).gate_frames()
 
 
 def schema_tests(row_floor: int = GOLD_ROW_FLOOR) -> list:
@@ -596,7 +596,8 @@ def promotion_gate(row_floor: int = GOLD_ROW_FLOOR) -> list:
 
 def _single(check):
     def fn(spark, sf):
-        return Q.run_checks([check], _gate_frames(spark, sf)).select("check_name", "failing", "status")
+        # one check reads each layer once: nothing to share, nothing materialized
+        return Q.run_checks([check], _gate_frames(spark, sf, set())).select("check_name", "failing", "status")
     return fn
 
 
@@ -610,7 +611,8 @@ QUERIES["check_cross_column"] = _single(promotion_gate()[4])
 
 @query("gate_report")
 def gate_report(spark, sf):
-    return Q.run_checks(promotion_gate(), _gate_frames(spark, sf))
+    # silver feeds the fused checks, the duplicate check and gold; gold feeds one aggregate
+    return Q.run_checks(promotion_gate(), _gate_frames(spark, sf, {"silver"}))
 
 
 @query("schema_tests_report")

@@ -22,12 +22,18 @@ from aurum.sources.tables import Tables
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    """``materialize``: True for every shared layer, or the set of layer names
+    (``typed``, ``silver_tagged``, ``silver``, ``daily``, ``gold``) that have
+    several consumers in the job at hand."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | set[str] = False):
         self.t = Tables(spark, sf_dir)
         self.materialize = materialize
 
-    def _m(self, df: DataFrame) -> DataFrame:
-        return _materialize(df) if self.materialize else df
+    def _m(self, df: DataFrame, layer: str) -> DataFrame:
+        on = self.materialize is True or (isinstance(self.materialize, (set, frozenset))
+                                          and layer in self.materialize)
+        return _materialize(df) if on else df
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -35,7 +41,7 @@ class Layers:
 
     @cached_property
     def typed(self) -> DataFrame:
-        return self._m(trips.typed(self.bronze))
+        return self._m(trips.typed(self.bronze), "typed")
 
     @cached_property
     def silver_tagged(self) -> DataFrame:
@@ -44,11 +50,11 @@ class Layers:
         The survivor match-back reads the typed rows twice, so they are
         materialized first; the fact joins then run once.
         """
-        return self._m(trips.tag_typed(self.typed))
+        return self._m(trips.tag_typed(self.typed), "silver_tagged")
 
     @cached_property
     def silver(self) -> DataFrame:
-        return self._m(trips.silver(self.bronze))
+        return self._m(trips.silver(self.bronze), "silver")
 
     @cached_property
     def silver_accepted(self) -> DataFrame:
@@ -65,11 +71,11 @@ class Layers:
     def daily(self) -> DataFrame:
         """One row per day, but built from the whole measurement feed: read
         by gold and by several checks, so it is materialized once too."""
-        return self._m(dims.daily_wide(A.raw_daily_long(self.t)))
+        return self._m(dims.daily_wide(A.raw_daily_long(self.t)), "daily")
 
     @cached_property
     def gold(self) -> DataFrame:
-        return self._m(trips.gold(self.silver, self.zones, self.daily))
+        return self._m(trips.gold(self.silver, self.zones, self.daily), "gold")
 
     def gate_frames(self) -> "LazyFrames":
         """Check-table name -> layer, built (and materialized) only when a
