@@ -766,7 +766,8 @@ def json_lines_landing(spark, sf):
     path = scratch_path(spark, "landing") + "/app_log"
     A.app_log_lines(_t(spark, sf)).select(F.regexp_replace("_raw", "[\\r\\n]+", " ").alias("value")) \
         .write.mode("overwrite").text(path)
-    lines = L.read_lines(spark, path).select(F.lit("log").alias("_file"), F.lit(0).cast("bigint").alias("_line_no"), "_raw")
+    lines = L.read_lines(spark, path).select(F.col("_metadata.file_name").alias("_file"),
+                                             L.record_number().alias("_line_no"), "_raw")
     ok = feeds.app_events(lines).agg(F.count(F.lit(1)).alias("n")).select(F.lit("events").alias("part"), "n")
     bad = feeds.app_log_quarantine(lines).agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("part"), "n")
     return ok.unionByName(bad)
