@@ -45,6 +45,8 @@ def not_null(table: str, col: str, severity: str = "error") -> Check:
 def accepted_range(table: str, col: str, min_value=None, max_value=None, inclusive: bool = True,
                    severity: str = "error") -> Check:
     """Fails where the value is outside the bounds; NULL passes; a bound may be absent."""
+    if min_value is None and max_value is None:
+        raise ValueError("accepted_range needs min_value and/or max_value")
     lo, hi = (">=", "<=") if inclusive else (">", "<")
     parts = []
     if min_value is not None:
@@ -104,6 +106,8 @@ def _group_failures(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
 
 def run_checks(checks: list[Check], frames: dict[str, DataFrame]) -> DataFrame:
     """Evaluate all checks; returns the report DataFrame (lazy)."""
+    if not checks:
+        raise ValueError("no checks")
     parts: list[DataFrame] = []
     by_table: dict[str, list[tuple[int, Check]]] = {}
     for i, ch in enumerate(checks, start=1):
