@@ -65,10 +65,11 @@ def regression_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "
                    F.avg(F.abs(y - p)).alias("_mae"),
                    F.sum((y - p) * (y - p)).alias("_sse"),
                    F.sum(y * y).alias("_syy"), F.sum(y).alias("_sy"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
+    # Empty or constant targets give NULL, not a division error (ANSI).
+    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.nullif(F.col("n"), F.lit(0))
     return agg.select(F.col("n").alias("n_test"),
                       round_half_up(F.col("_mae"), digits).alias("mae"),
-                      round_half_up(F.lit(1.0) - F.col("_sse") / sst, digits).alias("r2"))
+                      round_half_up(F.lit(1.0) - F.col("_sse") / F.nullif(sst, F.lit(0.0)), digits).alias("r2"))
 
 
 def score(frame: DataFrame, features: list[str], keys: list[str], params: dict | None = None) -> dict:
