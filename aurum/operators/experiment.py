@@ -86,7 +86,10 @@ def feature_lift(frame: DataFrame, base: list[str], added: list[str], keys: list
     cc = complete_cases(frame, added)
     b = score(cc, base, keys, params)
     w = score(cc, base + added, keys, params)
-    lift = 100.0 * (b["mae"] - w["mae"]) / b["mae"] if b["mae"] else 0.0
+    if b["mae"] and w["mae"] is not None:
+        lift = 100.0 * (b["mae"] - w["mae"]) / b["mae"]
+    else:                                   # no test rows: no evidence, no feature
+        lift = 0.0
     verdict = "KEEP" if lift >= threshold_pct else "CUT"
     return frame.sparkSession.createDataFrame(
         [(b["n_test"], b["mae"], b["r2"], w["mae"], w["r2"], float(lift), threshold_pct, verdict)],
