@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from aurum.llm import oracle
 from aurum.llm.exact_dedup import exact_dedup
 from aurum.llm.mixing import mix
+from aurum.llm.ngram_join import ngram_join
 from aurum.llm.session_tables import table
 from aurum.llm.url_filter import url_filter
 
@@ -38,3 +39,8 @@ def op3_url_filter(spark, sf_dir):
 @query("op8_mix_sources", oracle.mixing_sql())
 def op8_mix_sources(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
