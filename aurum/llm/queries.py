@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aurum.llm import oracle
 from aurum.llm.exact_dedup import exact_dedup
+from aurum.llm.langid import identify
 from aurum.llm.mixing import mix
 from aurum.llm.ngram_join import ngram_join
 from aurum.llm.session_tables import table
+from aurum.llm.toxicity import toxicity
 from aurum.llm.url_filter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +46,13 @@ def op8_mix_sources(spark, sf_dir):
 @query("op9_ngram_join")
 def op9_ngram_join(spark, sf_dir):
     return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

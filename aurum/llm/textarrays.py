@@ -83,13 +83,14 @@ def slices(offs: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 
 class Words:
     """Words of rows [i, j): ``start``/``end`` byte positions in ``data`` and the
-    first word of every row in ``first`` (length rows + 1)."""
+    first word of every row in ``first`` (length rows + 1).  ``ink`` says which
+    bytes make words (default: all but white space)."""
 
-    def __init__(self, offs: np.ndarray, raw: np.ndarray, i: int, j: int):
+    def __init__(self, offs: np.ndarray, raw: np.ndarray, i: int, j: int, ink: np.ndarray | None = None):
         lo, hi = int(offs[i]), int(offs[j])
         self.data = raw[lo:hi]
         self.rows = offs[i:j + 1] - lo
-        ink = ~_IS_SPACE[self.data]
+        ink = ~_IS_SPACE[self.data] if ink is None else ink[self.data]
         n = len(ink)
         begins = ink.copy()
         ends = ink.copy()
