@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aurum.llm import oracle
+from aurum.llm.bpe import bpe_round_trip
 from aurum.llm.exact_dedup import exact_dedup
 from aurum.llm.langid import identify
 from aurum.llm.mixing import mix
 from aurum.llm.ngram_join import ngram_join
 from aurum.llm.session_tables import table
+from aurum.llm.token_store import store_round_trip
 from aurum.llm.toxicity import toxicity
 from aurum.llm.url_filter import url_filter
 
@@ -56,3 +58,13 @@ def op1_language_id(spark, sf_dir):
 @query("op10_toxicity")
 def op10_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_token_store")
+def op4_token_store(spark, sf_dir):
+    return store_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op6_bpe")
+def op6_bpe(spark, sf_dir):
+    return bpe_round_trip(table(spark, sf_dir, "documents"))
