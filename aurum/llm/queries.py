@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from aurum.llm import oracle
 from aurum.llm.bpe import bpe_round_trip
 from aurum.llm.exact_dedup import exact_dedup
+from aurum.llm.kdtree_topk import topk
 from aurum.llm.langid import identify
 from aurum.llm.mixing import mix
 from aurum.llm.ngram_join import ngram_join
@@ -16,6 +18,7 @@ from aurum.llm.session_tables import table
 from aurum.llm.token_store import store_round_trip
 from aurum.llm.toxicity import toxicity
 from aurum.llm.url_filter import url_filter
+from aurum.llm.warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +71,18 @@ def op4_token_store(spark, sf_dir):
 @query("op6_bpe")
 def op6_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op5_topk", oracle.TOPK)
+def op5_topk(spark, sf_dir):
+    return topk(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_warc", oracle.WARC)
+def op7_warc(spark, sf_dir):
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
