@@ -10,7 +10,8 @@ into pairs.
    in another class too, so the pass also ships every token once per task (tokens
    that already meet within the task as one flagged entry, so a token in a third
    of all documents does not land in one task) and counts, per class, the tokens
-   that are shared.  Most documents end here.
+   that are shared.  Tokens travel as hash range and 32 more bits; a clash can
+   only let a document through to the exact steps.  Most documents end here.
 2. **Groups.**  The remaining classes write their sets.  Tokens are ordered
    ordinary-before-frequent, then by hash; with |A| - ceil(.75 |A|) + 1 first tokens
    (the prefix) two linked sets always share one.  The order is the same for all, so
@@ -52,11 +53,13 @@ BLOCK = 256
 HOT_FROM = 32
 #: ... and so many of the most frequent are ordered last (any choice is exact).
 HOT_TOKENS = 200_000
+#: Sets that a task compares at a time, about.
+CELLS = 2000
 #: Tokens gathered by a task before they are sorted and shipped.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 _MANY = 0xFFFF
 _U = np.uint64
-_LOW = _U((1 << 40) - 1)
+_LOW = _U((1 << 32) - 1)
 
 _FIRST = pa.schema([("kind", pa.int8()), ("slot", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()),
                     ("fp", pa.binary()), ("cls", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
@@ -83,9 +86,8 @@ def _pack(tok: np.ndarray, idx: np.ndarray, classes: np.ndarray) -> bytes:
     mine, inv = np.unique(used, return_inverse=True)
     local = np.full(len(idx), _MANY, np.uint16)
     local[idx != _MANY] = inv
-    low = (tok & _LOW).view(np.uint8).reshape(-1, 8)[:, :5]
     return b"".join((np.array([len(tok), len(mine)], np.uint32).tobytes(), classes[mine].tobytes(),
-                     local.tobytes(), np.ascontiguousarray(low).tobytes()))
+                     (tok & _LOW).astype(np.uint32).tobytes(), local.tobytes()))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,13 +95,12 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     m, k = np.frombuffer(blob, np.uint32, 2).tolist()
     at = 8
     classes = np.frombuffer(blob, np.int64, k, at)
-    local = np.frombuffer(blob, np.uint16, m, at + 8 * k)
-    low = np.zeros((m, 8), np.uint8)
-    low[:, :5] = np.frombuffer(blob, np.uint8, 5 * m, at + 8 * k + 2 * m).reshape(-1, 5)
+    low = np.frombuffer(blob, np.uint32, m, at + 8 * k)
+    local = np.frombuffer(blob, np.uint16, m, at + 8 * k + 4 * m)
     many = local == _MANY
     cls = np.zeros(m, np.int64)
     cls[~many] = classes[local[~many]]
-    return low.view(np.uint64).ravel(), cls, many
+    return low, cls, many
 
 
 def _rows(**cols) -> pa.RecordBatch:
@@ -290,28 +291,23 @@ def _open(a: _Block, b: _Block, forest: _Forest) -> None:
 
 
 def _open_pairs(table: pa.Table) -> pa.Table:
-    """All block pairs of one task: (a, b, cls, toks) rows; returns forest edges."""
+    """All block pairs of one task: (a, b, block, cls, toks) rows; returns forest edges."""
     a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
     block, cls = table.column("block").to_numpy(), table.column("cls").to_numpy()
     lists = table.column("toks").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.chunk(0) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
     offs, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-    members: dict[int, dict[int, int]] = {}
-    for i, (k, c) in enumerate(zip(block.tolist(), cls.tolist())):
-        members.setdefault(k, {}).setdefault(c, i)
-    made: dict[int, _Block] = {}
-
-    def get(k: int) -> _Block:
-        if k not in made:
-            rows = members[k]
-            made[k] = _Block(list(rows), [flat[offs[i]:offs[i + 1]] for i in rows.values()])
-        return made[k]
+    sides: dict[tuple[int, int], dict[int, list[int]]] = {}
+    for i, (x, y, k) in enumerate(zip(a.tolist(), b.tolist(), block.tolist())):
+        sides.setdefault((x, y), {}).setdefault(k, []).append(i)
 
     forest = _Forest()
-    for x, y in sorted(set(zip(a.tolist(), b.tolist()))):
-        if x in members and y in members:
-            _open(get(x), get(y), forest)
+    for x, y in sorted(sides):
+        of = sides[x, y]
+        if x in of and y in of:
+            made = {k: _Block([int(cls[i]) for i in rows], [flat[offs[i]:offs[i + 1]] for i in rows]) for k, rows in of.items()}
+            _open(made[x], made[y], forest)
     edges = [(x, forest.root(x)) for x in list(forest.up)]
     edges = [(x, r) for x, r in edges if x != r]
     return pa.table({"u": pa.array([x for x, _ in edges], pa.int64()), "v": pa.array([r for _, r in edges], pa.int64())})
@@ -344,7 +340,9 @@ def links(docs: DataFrame, seen: DataFrame) -> DataFrame:
     classes = (seen.filter((F.col("kind") == DOC) & (F.col("n") > 0)).groupBy("cls")
                    .agg(F.first("n").alias("n"), F.min("text_key").alias("text_key")))
     left = written(classes.join(share, "cls").filter(DEN * F.col("shared") >= NUM * F.col("n"))
-                          .select("text_key").distinct(), "ngram-left")
+                          .select("text_key", "cls", "n"), "ngram-left")
+    lengths = left.select("cls", "n")
+    left = left.select("text_key").distinct()
     keyed = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     sets = (keyed.join(broadcast_if_small(left, 2_000_000), "text_key", "left_semi").select("text")
                  .mapInArrow(_set_rows, "cls bigint, toks array<bigint>").dropDuplicates(["cls"]))
@@ -363,17 +361,24 @@ def links(docs: DataFrame, seen: DataFrame) -> DataFrame:
     block = group.join(size, "g").select(
         "cls", F.xxhash64("g", F.pmod(F.col("cls"), F.ceil(F.col("members") / F.lit(float(BLOCK))))).alias("block"))
     block = written(block, "ngram-blocks")
-    matrix = written(at.join(block, "cls").select("tok", "block").distinct(), "ngram-matrix")
-    pairs = (matrix.select("tok", F.col("block").alias("a"))
-                   .join(matrix.select("tok", F.col("block").alias("b")), "tok").filter("a <= b")
-                   .select("a", "b").distinct())
-    pairs = written(pairs, "ngram-pairs")
-
-    members = written(block.join(sets, "cls"), "ngram-members")
-    tasks = max(1, math.ceil(pairs.count() / 64))
-    cell = pairs.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks)))
-    sides = cell.select("task", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
-    rows = sides.join(members, "block").select("task", "a", "b", "block", "cls", "toks")
+    held = written(at.join(block, "cls").select("tok", "cls", "block"), "ngram-held")
+    matrix = held.select("tok", "block").distinct()
+    wide = matrix.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("tok")
+    matrix = written(matrix.join(wide, "tok").select("tok", F.col("block").alias("other")), "ngram-matrix")
+    # for every pair of blocks, only the classes that hold a token of the other block
+    across = (held.join(matrix, "tok").filter("block <> other").select("block", "other", "cls").distinct()
+                  .join(lengths, "cls"))
+    # ... whose length can match a class of the other block's
+    span = across.groupBy(F.col("block").alias("other"), F.col("other").alias("block")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"))
+    across = (across.join(span, ["block", "other"])
+                    .filter((NUM * F.col("n") <= DEN * F.col("most")) & (NUM * F.col("least") <= DEN * F.col("n")))
+                    .select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "cls"))
+    inner = (block.join(block.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("block"), "block")
+                  .select(F.col("block").alias("a"), F.col("block").alias("b"), "block", "cls"))
+    cells = written(across.unionByName(inner), "ngram-cells")
+    tasks = max(1, math.ceil(cells.count() / CELLS))
+    rows = cells.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks))).join(sets, "cls")
     return rows.groupBy("task").applyInArrow(_open_pairs, "u bigint, v bigint")
 
 
