@@ -240,7 +240,8 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", name: str = "text") ->
 
 
 def digested(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, ids_sha256 and decoded_sha256: encoded, then decoded from the ids."""
+    """``docs`` with n_tokens, ids_sha256 and decoded_sha256: encoded, then decoded from the
+    ids.  Columns of these names are replaced."""
     @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(col: pa.Array) -> pa.Array:
         bpe = load(path)
@@ -253,7 +254,9 @@ def digested(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             back.append(hashlib.sha256(bpe.decode_bytes(ids.astype(np.int64))).hexdigest())
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(made, pa.string()), pa.array(back, pa.string())],
                                           ["n_tokens", "ids_sha256", "decoded_sha256"])
-    return docs.withColumn("_bpe", digest(F.col(text))).select(*docs.columns, "_bpe.*")
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in made]).alias("row"), digest(F.col(text)).alias("bpe"))
+    return rows.select("row.*", "bpe.*")
 
 
 def bpe_round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aurum.llm.session_tables import broadcast_if_small, written
+from aurum.llm.session_tables import broadcast_if_small, packed, unpacked, written
 
 #: A digest with at least 1/SHARE of all rows is a heavy hitter.
 SHARE = 2048
@@ -117,17 +117,15 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     repeated rows.
     """
     lost = decide(docs).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_lost_id"), F.col("digest").alias("_lost_digest"), F.col("n").alias("_lost_n"),
+        F.col("doc_id").alias("lost_id"), F.col("digest").alias("lost_digest"), F.col("n").alias("lost_n"),
         (F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("n") == -F.col("keep.shorter"))).alias("repeat"))
     lost = written(lost.distinct(), "dedup-lost")
-    key = {"_digest": text_digest(F.col("text")), "_n": F.length(F.coalesce(F.col("text"), F.lit("")))}
-    marked = docs.withColumns(key)
-    on = (F.col("doc_id").eqNullSafe(F.col("_lost_id")) & (F.col("_digest") == F.col("_lost_digest"))
-          & (F.col("_n") == F.col("_lost_n")))
+    rows = packed(docs, id=F.col("doc_id"), digest=text_digest(F.col("text")),
+                  n=F.length(F.coalesce(F.col("text"), F.lit(""))))
+    on = F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("digest") == F.col("lost_digest")) & (F.col("n") == F.col("lost_n"))
     repeats = lost.filter("repeat")
-    stay = marked.join(broadcast_if_small(lost.drop("repeat")), on, "left_anti")
+    stay = rows.join(broadcast_if_small(lost.drop("repeat")), on, "left_anti")
     if not repeats.isEmpty():
-        again = (marked.join(broadcast_if_small(repeats.drop("repeat")), on, "left_semi")
-                       .dropDuplicates(["_digest"]))
+        again = rows.join(broadcast_if_small(repeats.drop("repeat")), on, "left_semi").dropDuplicates(["digest"])
         stay = stay.unionByName(again)
-    return stay.select(*docs.columns)
+    return unpacked(stay)

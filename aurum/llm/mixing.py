@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aurum.llm.session_tables import broadcast_if_small, written
+from aurum.llm.session_tables import broadcast_if_small, packed, unpacked, written
 
 LEVELS = ["domain", "lang", "source"]
 BUCKETS = 4096
@@ -171,25 +171,19 @@ def mixed_documents(docs: DataFrame, percent: int = 100, weights=WEIGHTS, max_ep
 
     Texts are matched to the choice by (doc_id, text); repeated rows share the
     choice of their group, one row each for as many copies as were chosen."""
-    key = F.md5(F.coalesce(F.col("text"), F.lit("")))
     rows = written(measured(docs), "mix-rows")
     chosen = choose(rows, written(leaf_budgets(rows, percent, weights, max_epochs), "mix-budgets"), seed)
-    picked = chosen.join(rows.select("row", "text_md5"), "row")
-    leafs = ["lang", "source"]
-    counts = (picked.groupBy("doc_id", "text_md5", *leafs).agg(F.sum("copies").alias("copies")))
-    # one of the repeated rows carries the copies of its group
-    named = counts.select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_key"),
-                          *[F.col(c).alias(f"_{c}") for c in leafs], "copies")
-    on = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("_key_of") == F.col("_key"),
-          *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in leafs]]
-    repeated = (rows.groupBy("doc_id", "text_md5", *leafs).agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    base = docs.withColumn("_key_of", key)
-    if not repeated.isEmpty():
-        twice = repeated.select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_key"),
-                                *[F.col(c).alias(f"_{c}") for c in leafs])
-        twice = written(twice, "mix-repeated")
-        same = base.join(broadcast_if_small(twice), on, "left_semi").dropDuplicates(["doc_id", "_key_of", *leafs])
-        base = base.join(broadcast_if_small(twice), on, "left_anti").unionByName(same)
-    taken = base.join(broadcast_if_small(written(named, "mix-chosen")), on)
-    return (taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-                 .select(*docs.columns))
+    names = ["doc_id", "text_md5", "lang", "source"]
+    theirs = [F.col(c).alias(f"its_{c}") for c in names]
+    on = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in names]
+    picked = chosen.select("row", "copies").join(rows.select("row", *names), "row")
+    picked = written(picked.groupBy(*names).agg(F.sum("copies").cast("int").alias("copies")).select(*theirs, "copies"), "mix-chosen")
+    repeated = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(*theirs)
+    repeated = written(repeated, "mix-repeated")
+    base = packed(docs, doc_id=F.col("doc_id"), text_md5=F.md5(F.coalesce(F.col("text"), F.lit(""))),
+                  lang=F.col("lang"), source=F.col("source"))
+    if not repeated.isEmpty():               # one of the repeated rows carries the copies of its group
+        twice = broadcast_if_small(repeated)
+        base = base.join(twice, on, "left_anti").unionByName(base.join(twice, on, "left_semi").dropDuplicates(names))
+    taken = base.join(broadcast_if_small(picked), on)
+    return unpacked(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.session import scratch_path
@@ -28,3 +28,14 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a written, narrow table) marked for broadcast when its counted rows
     are at most ``rows``; beyond that it is left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Every row as one struct ``_row`` beside the named keys, so that no column of
+    the input can clash with a helper column."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("_row"), *[v.alias(k) for k, v in keys.items()])
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("_row.*")
