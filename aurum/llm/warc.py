@@ -39,6 +39,7 @@ SAMPLE_RECORDS = 1000
 SAMPLE_BYTES = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 ARCHIVE_BYTES = 64 << 20
+CHUNK = 1 << 16
 LEVEL = 3
 _FRAME = struct.Struct("<II")
 _SKIPPABLE = 0x184D2A5D
@@ -86,7 +87,7 @@ class ArchiveWriter:
     def add(self, rec: bytes) -> None:
         if self.out is None:
             self.name = f"pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.warc.zst"
-            self.out = self.fs.open_output_stream(f"{self.folder}/{self.name}")
+            self.out = self.fs.open_output_stream(f"{self.folder}/{self.name}", compression=None)
             if self.dictionary:
                 self.out.write(_FRAME.pack(_SKIPPABLE, len(self.dictionary)) + self.dictionary)
             info = b"software: dictionary-compressed archive writer\r\n"
@@ -104,53 +105,37 @@ class ArchiveWriter:
         self.out, self.records, self.bytes = None, 0, 0
 
 
+def frames(f, context: zstandard.ZstdDecompressor, ahead: bytes = b"") -> Iterator[bytes]:
+    """The decompressed frames of a stream, one after the other; a cut frame is an error."""
+    while True:
+        ahead = ahead or f.read(CHUNK)
+        if not ahead:
+            return
+        frame, parts = context.decompressobj(), []
+        while not frame.eof:
+            if not ahead:
+                raise ValueError("the last frame is cut off")
+            parts.append(frame.decompress(ahead))
+            ahead = frame.unused_data if frame.eof else f.read(CHUNK)
+        yield b"".join(parts)
+
+
 def read_archive(folder: str, name: str) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record, read as a stream of frames."""
+    """(headers, block) of every record."""
     fs, base = pafs.FileSystem.from_uri(folder)
-    with fs.open_input_stream(f"{base}/{name}") as f:
+    with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
         start = f.read(_FRAME.size)
         magic, size = _FRAME.unpack(start)
+        loaded = None
         if magic == _SKIPPABLE:
             loaded, start = zstandard.ZstdCompressionDict(f.read(size)), b""
-        else:
-            loaded = None
-        source = _Joined(start, f)
-        with zstandard.ZstdDecompressor(dict_data=loaded).stream_reader(source, read_across_frames=True) as z:
-            ahead = b""
-            while True:
-                while (end := ahead.find(b"\r\n\r\n")) < 0:
-                    more = z.read(1 << 16)
-                    if not more:
-                        if ahead:
-                            raise ValueError(f"{name}: cut off")
-                        return
-                    ahead += more
-                lines = ahead[:end].decode("utf-8").split("\r\n")
-                if lines[0] != "WARC/1.1":
-                    raise ValueError(f"{name}: not a record: {lines[0][:40]!r}")
-                head = dict(x.split(": ", 1) for x in lines[1:])
-                want, parts = int(head["Content-Length"]) + 4, [ahead[end + 4:]]
-                have = len(parts[0])
-                while have < want:
-                    more = z.read(max(1 << 16, want - have))
-                    if not more:
-                        raise ValueError(f"{name}: cut off")
-                    parts.append(more)
-                    have += len(more)
-                rest = b"".join(parts)
-                yield head, rest[:want - 4]
-                ahead = rest[want:]
-
-
-class _Joined:
-    def __init__(self, start: bytes, f):
-        self.start, self.f = start, f
-
-    def read(self, n: int = -1) -> bytes:
-        if self.start:
-            out, self.start = self.start, b""
-            return out
-        return self.f.read(n if n >= 0 else None)
+        for rec in frames(f, zstandard.ZstdDecompressor(dict_data=loaded), start):
+            head, _, block = rec.partition(b"\r\n\r\n")
+            lines = head.decode("utf-8").split("\r\n")
+            fields = dict(x.split(": ", 1) for x in lines[1:])
+            if lines[0] != "WARC/1.1" or len(block) != int(fields["Content-Length"]) + 4:
+                raise ValueError(f"{name}: not a record: {lines[0][:40]!r}")
+            yield fields, block[:-4]
 
 
 # ------------------------------------------------------------ Spark
@@ -213,7 +198,7 @@ def read_warc(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFram
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
         for batch in batches:
-            for file in batch.column("file").to_pylist():
+            for file, records in zip(batch.column("file").to_pylist(), batch.column("records").to_pylist()):
                 rows = []
                 for head, block in read_archive(folder, file):
                     kind = head["WARC-Type"]
@@ -226,10 +211,12 @@ def read_warc(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFram
                         raise ValueError(f"{file}: payload of {head['WARC-Record-ID']} does not match its digest")
                     page, refers = head.get("X-Page-Id"), head.get("X-Refers-To-Page")
                     rows.append((None if page is None else int(page), size, digest, kind, None if refers is None else int(refers)))
+                if len(rows) != records:
+                    raise ValueError(f"{file}: {len(rows)} records, the manifest has {records}")
                 cols = list(zip(*rows)) or [[]] * 5
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    return manifest.select("file").repartition(F.col("file")).mapInArrow(
+    return manifest.select("file", "records").repartition(F.col("file")).mapInArrow(
         read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
