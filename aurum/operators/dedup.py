@@ -1,12 +1,11 @@
 """Keep one row per natural key.
 
-Semantics: ``row_number() over (partition by keys order by order_cols) = 1``.
+Semantics: ``row_number() over (partition by keys order by order_cols) = 1``,
+NULLs first, NULL keys forming a group like any other value.
 
-Default plan: ``groupBy(keys).agg(min_by(struct(row), struct(order)))``.
-The aggregate runs a partial (map-side) step before the shuffle, so a key
-that owns a third of the table ships one row per map task, not its rows;
-the window form would sort the whole hot group inside one task.  The
-ordering must be total (add tie-breakers) for a repeatable survivor.
+The window form plans a ``WindowGroupLimit`` on both sides of the shuffle: every
+task passes on one row per key, so a key that owns a third of the table does not
+gather in one task, and only the columns a consumer asks for are read.
 """
 
 from __future__ import annotations
@@ -14,31 +13,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# A landed row's identity: the file it came from and its place in that file.
+ROW_ID = ["_source_file", "_record_no"]
 
-def keep_first(df: DataFrame, keys: list[str], order: list[str], method: str = "aggregate") -> DataFrame:
+
+def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per ``keys``: the smallest by ``order`` (ascending, NULLs first)."""
-    if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        return (df.withColumn("_rn", F.row_number().over(w))
-                  .filter(F.col("_rn") == 1).drop("_rn"))
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return (df.groupBy(*keys).agg(best.alias("_best"))
-              .select(*[F.col(k) for k in keys], *[F.col("_best")[c].alias(c) for c in rest])
-              .select(*df.columns))
-
-
-def label_survivors(df: DataFrame, keys: list[str], order: list[str],
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return (df.withColumn("_rn", F.row_number().over(w))
+              .filter(F.col("_rn") == 1).drop("_rn"))
+
+
+def label_survivors(df: DataFrame, keys: list[str], order: list[str], row_id: list[str] = ROW_ID,
                     flag: str = "_survivor") -> DataFrame:
-    """Every row, with a boolean ``flag``: True for its key's survivor.
+    """Every row, with a boolean ``flag``: True for its key's one survivor.
 
-    The survivors come from ``keep_first`` (skew-safe partial aggregate) and
-    are matched back on keys + order columns.  Because the order is total,
-    that composite key is unique per row: the match-back join spreads a hot
-    natural key over all partitions instead of ranking it in one task.
+    ``row_id`` names the columns that identify a row (never NULL).  It is the last
+    tie-breaker, so exact copies and NULL order values have one survivor too, and
+    the only key of the match-back: unique per row, it spreads a hot natural key
+    over all partitions.
     """
-    on = list(dict.fromkeys(keys + order))
-    win = keep_first(df.select(*on), keys, order).withColumn(flag, F.lit(True))
-    return (df.join(win, on=on, how="left")
+    missing = [c for c in row_id if c not in df.columns]
+    if missing:
+        raise ValueError(f"label_survivors needs the row identity columns {missing}")
+    cols = list(dict.fromkeys(keys + order + row_id))
+    win = keep_first(df.select(*cols), keys, order + row_id).select(*row_id).withColumn(flag, F.lit(True))
+    return (df.join(win, on=row_id, how="left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
               .select(*df.columns, flag))

@@ -8,10 +8,13 @@ any partitioning (``randomSplit`` is not).
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aurum.session import materialize
+
 # ---- fixed feature lists and decision rule ----
 BASE_FEATURES = ["trip_distance_mi", "pickup_hour", "pickup_dow", "is_weekend",
                  "passenger_count", "pickup_location_id", "dropoff_location_id"]
@@ -64,28 +67,33 @@ def regression_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "
     agg = pred.agg(F.count(F.lit(1)).alias("n"),
                    F.avg(F.abs(y - p)).alias("_mae"),
                    F.sum((y - p) * (y - p)).alias("_sse"),
-                   F.sum(y * y).alias("_syy"), F.sum(y).alias("_sy"))
+                   F.var_pop(y).alias("_var"))
     # Empty or constant targets give NULL, not a division error (ANSI).
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.nullif(F.col("n"), F.lit(0))
+    sst = F.col("_var") * F.col("n")
     return agg.select(F.col("n").alias("n_test"),
                       round_half_up(F.col("_mae"), digits).alias("mae"),
                       round_half_up(F.lit(1.0) - F.col("_sse") / F.nullif(sst, F.lit(0.0)), digits).alias("r2"))
 
 
-def score(frame: DataFrame, features: list[str], keys: list[str], params: dict | None = None) -> dict:
-    """Fit on the train part, evaluate on the test part; returns metrics."""
-    s = hash_split(frame, keys)
+def score(s: DataFrame, features: list[str], params: dict | None = None) -> dict:
+    """Fit on the train part of a split frame, evaluate on the test part; returns metrics."""
     model = fit_gbt(s.filter(F.col("split") == "train"), features, params)
     m = regression_metrics(model.transform(s.filter(F.col("split") == "test"))).first()
     return {"n_test": m.n_test, "mae": m.mae, "r2": m.r2}
 
 
+def fits(work: list[tuple[DataFrame, list[str]]], params: dict | None = None) -> list[dict]:
+    """Scores of several (frame, features) pairs.  Boosting rounds are sequential and
+    each is a short job, so independent fits run side by side and fill the cluster."""
+    with ThreadPoolExecutor(max_workers=len(work)) as pool:
+        return list(pool.map(lambda w: score(*w, params), work))
+
+
 def feature_lift(frame: DataFrame, base: list[str], added: list[str], keys: list[str],
                  params: dict | None = None, threshold_pct: float = LIFT_THRESHOLD_PCT) -> DataFrame:
     """Lift % of test MAE from adding features; KEEP at >= threshold, else CUT."""
-    cc = complete_cases(frame, added)
-    b = score(cc, base, keys, params)
-    w = score(cc, base + added, keys, params)
+    cc = materialize(hash_split(complete_cases(frame, added), keys))
+    b, w = fits([(cc, base), (cc, base + added)], params)
     if b["mae"] and w["mae"] is not None:
         lift = 100.0 * (b["mae"] - w["mae"]) / b["mae"]
     else:                                   # no test rows: no evidence, no feature
@@ -147,12 +155,9 @@ def apparatus_check(frame: DataFrame, base: list[str], added: list[str], keys: l
     the treatment.
     """
     cc = complete_cases(frame, added)
-    lifts = []
-    for strength in (control, treatment):
-        f = inject_effect(cc, strength, noise_seed, keys)
-        b = score(f, base, keys, params)
-        w = score(f, base + added, keys, params)
-        lifts.append(float(b["mae"] - w["mae"]))
+    frames = [materialize(hash_split(inject_effect(cc, s, noise_seed, keys), keys)) for s in (control, treatment)]
+    m = fits([(f, cols) for f in frames for cols in (base, base + added)], params)
+    lifts = [float(m[i]["mae"] - m[i + 1]["mae"]) for i in (0, 2)]
     ok = abs(lifts[0]) < CONTROL_MAX_ABS_LIFT and lifts[1] > TREATMENT_MIN_LIFT
     return frame.sparkSession.createDataFrame(
         [(control, lifts[0], treatment, lifts[1], "PASS" if ok else "FAIL")],

@@ -1,9 +1,7 @@
 """Dimension lookups and referential checks.
 
-Broadcast is used only where the dimension has a proven bound (derived one
-row per key from a fixed-size table, or one row per calendar day); every
-other join is left to the planner, whose size estimate and AQE's runtime
-statistics choose broadcast or sort-merge.
+No join is hinted: the planner's size estimate and AQE's runtime sizes choose
+between broadcast and sort-merge, so a dimension that grows stops being broadcast.
 """
 
 from __future__ import annotations
@@ -13,21 +11,18 @@ from pyspark.sql import functions as F
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str, take: dict[str, str],
-           how: str = "left", bounded: bool = False) -> DataFrame:
+           how: str = "left") -> DataFrame:
     """Attach ``take`` (dim column -> output name) by key.
 
     Call once per role to join the same dimension under several roles
     (pickup / dropoff).  The dimension side has the same shape for every
     role (renaming happens after the join), so the planner reuses one
-    broadcast for all roles.  ``bounded`` marks a dimension with a proven
-    small row bound; only then is it broadcast explicitly.
+    exchange for all roles.
     """
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     # Fresh aliases (same names for every role): no attribute clashes when
     # the same dimension is joined twice, identical plans for exchange reuse.
     d = dim.select(F.col(dim_key).alias("_lookup_key"), *[F.col(c).alias(c) for c in take])
-    if bounded:
-        d = F.broadcast(d)
     j = fact.join(d, fk == d["_lookup_key"], how)
     return j.select(*[fact[c] for c in fact.columns], *[d[c].alias(o) for c, o in take.items()])
 

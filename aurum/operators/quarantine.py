@@ -1,4 +1,4 @@
-"""Quarantine, don't drop: split rows into accepted and rejected-with-reason."""
+"""Rejected rows are set aside under the label of the first rule they break."""
 
 from __future__ import annotations
 
@@ -30,20 +30,12 @@ def tag_reasons(df: DataFrame, rules: list[tuple[str, Column]], null_reason: str
     return df.withColumn(reason_col, out.otherwise(F.lit(None).cast("string")))
 
 
-def accepted(tagged: DataFrame, reason_col: str = REASON) -> DataFrame:
-    return tagged.filter(F.col(reason_col).isNull()).drop(reason_col)
-
-
-def rejected(tagged: DataFrame, reason_col: str = REASON) -> DataFrame:
-    return tagged.filter(F.col(reason_col).isNotNull())
-
-
-def conservation(tagged: DataFrame, reason_col: str = REASON) -> DataFrame:
-    """One pass: input = accepted + quarantined, as one row."""
-    n = F.count(F.lit(1))
-    acc = F.sum(F.when(F.col(reason_col).isNull(), F.lit(1)).otherwise(F.lit(0)))
-    qtn = F.sum(F.when(F.col(reason_col).isNotNull(), F.lit(1)).otherwise(F.lit(0)))
-    return (tagged.agg(n.cast("bigint").alias("input_rows"),
-                       F.coalesce(acc, F.lit(0)).cast("bigint").alias("accepted_rows"),
-                       F.coalesce(qtn, F.lit(0)).cast("bigint").alias("quarantined_rows"))
-                  .withColumn("balanced", F.col("input_rows") == F.col("accepted_rows") + F.col("quarantined_rows")))
+def conservation(landed: DataFrame, accepted: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """Counts of three independently built tables as one row, and whether they agree."""
+    def n(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias(name)).withColumn("_k", F.lit(1))
+    names = ["input_rows", "accepted_rows", "quarantined_rows"]
+    parts = [n(df, name) for df, name in zip((landed, accepted, quarantined), names)]
+    u = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    one = u.groupBy("_k").agg(*[F.max(c).alias(c) for c in names]).drop("_k")
+    return one.withColumn("balanced", F.col("input_rows") == F.col("accepted_rows") + F.col("quarantined_rows"))

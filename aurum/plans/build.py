@@ -36,11 +36,11 @@ def run(spark: SparkSession, sf_dir: str, root: str | None = None,
         return spark.read.parquet(info["path"])
 
     # ---- bronze: verbatim + provenance, nothing that can fail
-    b_trips = put(L.with_provenance(A.raw_trips(t), "trips", ts, F.lit("lineitem+orders")), "bronze", "raw_trips")
-    b_zones = put(L.with_provenance(A.raw_zone_lookup(t), "zone_lookup", ts, F.lit("nation+region")),
+    b_trips = put(L.with_provenance(A.raw_trips(t), "trips", ts), "bronze", "raw_trips")
+    b_zones = put(L.with_provenance(A.raw_zone_lookup(t), "zone_lookup", ts),
                   "bronze", "raw_zone_lookup")
-    b_daily = put(L.with_provenance(A.raw_daily_long(t), "daily", ts, F.lit("events")), "bronze", "raw_daily")
-    b_log = put(L.with_provenance(A.app_log_lines(t), "app_log", ts, F.col("_file")), "bronze", "raw_app_log")
+    b_daily = put(L.with_provenance(A.raw_daily_long(t), "daily", ts), "bronze", "raw_daily")
+    b_log = put(L.with_provenance(A.app_log_lines(t), "app_log", ts, F.col("_file"), F.col("_line_no")), "bronze", "raw_app_log")
 
     # ---- silver: verdicts computed once, split into accepted and quarantined
     tagged = materialize(trips.silver_tagged(b_trips))

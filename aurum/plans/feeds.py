@@ -22,16 +22,16 @@ def app_events(lines: DataFrame) -> DataFrame:
     from that one parse (path lookups on the binary value, tolerant casts),
     instead of re-parsing the text once per field.
     """
-    parsed = lines.select("_file", "_line_no", "_raw", F.try_parse_json("_raw").alias("_v"))
-    ok = parsed.filter((C.json_shape_ok("_raw") & F.col("_v").isNotNull()).eqNullSafe(F.lit(True)))
+    parsed = lines.select("_file", "_line_no", C.one_json_value("_raw").alias("_v"))
+    ok = parsed.filter(C.is_one_value("_v"))
     v = F.col("_v")
     return ok.select("_file", "_line_no",
-                     C.parse_iso_timestamp(C.variant_field(v, "$.ts", "string")).alias("event_at"),
-                     C.variant_field(v, "$.level", "string").alias("level"),
-                     C.variant_field(v, "$.user", "bigint").alias("user_id"),
-                     C.variant_field(v, "$.value", "double").alias("value"),
-                     C.variant_field(v, "$.ctx.k", "bigint").alias("ctx_k"),
-                     C.variant_field(v, "$.ctx.lat", "double").alias("ctx_lat"))
+                     C.parse_iso_timestamp(C.variant_field(v, "$[0].ts", "string")).alias("event_at"),
+                     C.variant_field(v, "$[0].level", "string").alias("level"),
+                     C.variant_field(v, "$[0].user", "bigint").alias("user_id"),
+                     C.variant_field(v, "$[0].value", "double").alias("value"),
+                     C.variant_field(v, "$[0].ctx.k", "bigint").alias("ctx_k"),
+                     C.variant_field(v, "$[0].ctx.lat", "double").alias("ctx_lat"))
 
 
 def app_log_quarantine(lines: DataFrame) -> DataFrame:
@@ -63,3 +63,24 @@ def text_profile(docs: DataFrame, labels: DataFrame, runaway_chars: int = 10000)
         F.max("body_chars").cast("bigint").alias("max_chars"),
         F.sum("body_words").cast("bigint").alias("total_words"),
     )
+
+
+def document_arrays(docs: DataFrame, size: int) -> DataFrame:
+    """Documents as the delivering system writes them: JSON arrays of ``size`` ids' documents,
+    one array per line.  By id modulo 4 the date has one of three shapes or none of them."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(366)).cast("int"))
+    k = F.pmod(F.col("doc_id"), F.lit(4))
+    submitted = (F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "M/d/yyyy"))
+                  .when(k == 2, F.date_format(day, "dd-MM-yyyy")).otherwise(F.date_format(day, "yyyy.MM.dd")))
+    rating = F.when(F.pmod(F.col("doc_id"), F.lit(7)) != 0, F.pmod(F.col("doc_id"), F.lit(5)) + 1)
+    item = F.struct(F.col("doc_id").alias("id"), rating.alias("rating"), submitted.alias("submitted"), F.col("text").alias("body"))
+    return (docs.groupBy(F.floor(F.col("doc_id") / F.lit(size)).alias("chunk"))
+                .agg(F.to_json(F.collect_list(item)).alias("value")).select("value"))
+
+
+def typed_documents(raw: DataFrame, formats: list[str]) -> DataFrame:
+    v = raw.select(F.try_parse_json("_raw").alias("v"))
+    body = C.variant_field("v", "$.body", "string")
+    return v.select(C.variant_field("v", "$.id", "bigint").alias("doc_id"), C.variant_field("v", "$.rating", "int").alias("rating"),
+                    C.parse_date_any(C.variant_field("v", "$.submitted", "string"), formats).alias("submitted_on"),
+                    C.char_count(body).alias("body_chars"), C.word_count(body).alias("body_words"))

@@ -1,9 +1,9 @@
 """Trip fact: bronze -> silver (typed, deduplicated, filtered) -> gold.
 
-Silver contract: typed by hard casts, one row per natural key (dedup runs
-BEFORE the row filters, so a bad row can win its key and take its good twin
-with it -- ``quarantine_silver`` labels those losers ``duplicate``), every
-dropped row explainable by a labelled rule.
+Silver: hard casts to fixed types, then one survivor per natural key, then the
+row rules.  As the survivor is chosen first, it may itself fail a rule; its
+copies are then labelled duplicates all the same (``quarantine_silver``), and
+every row that is not in silver carries a reason.
 
 Gold: derived features, borough and daily-measure enrichment, plausibility
 guard.  Guard failures go to ``quarantine_fact`` with a reason.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.functions import clean as C
-from aurum.operators.dedup import keep_first, label_survivors
+from aurum.operators.dedup import ROW_ID, keep_first, label_survivors
 from aurum.operators.joins import lookup
 from aurum.operators.quarantine import tag_reasons
 from aurum.sources.adapters import WEATHER_MONTH, WEATHER_YEAR
@@ -45,8 +45,9 @@ R_TIP = "tip_rate outside [0, 3] -- tip more than 3x the fare"
 
 
 def typed(bronze: DataFrame, keep: list[str] = ()) -> DataFrame:
-    """Hard casts to the silver types, plus elapsed seconds (``keep``: extra
-    bronze columns passed through, e.g. provenance)."""
+    """Hard casts to the silver types, plus elapsed seconds.  The row identity
+    passes through where bronze has it (``keep``: further bronze columns)."""
+    keep = [*[c for c in ROW_ID if c in bronze.columns and c not in keep], *keep]
     pickup = F.col("pickup_datetime").cast("timestamp_ntz")
     dropoff = F.col("dropoff_datetime").cast("timestamp_ntz")
     return bronze.select(
@@ -72,7 +73,8 @@ def typed(bronze: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 def deduplicated(bronze: DataFrame) -> DataFrame:
     """One row per natural key (survivor = smallest by SURVIVOR_ORDER)."""
-    return keep_first(typed(bronze), NATURAL_KEY, SURVIVOR_ORDER)
+    t = typed(bronze)
+    return keep_first(t, NATURAL_KEY, SURVIVOR_ORDER + [c for c in ROW_ID if c in t.columns])
 
 
 def silver_rules(window: tuple[str, str] | None = None) -> list[tuple[str, object]]:
@@ -101,8 +103,8 @@ def silver(bronze: DataFrame, window: tuple[str, str] | None = None) -> DataFram
 def silver_tagged(bronze: DataFrame, window: tuple[str, str] | None = None) -> DataFrame:
     """Every typed row with its silver verdict: NULL = accepted.
 
-    Reasons: ``duplicate`` for rows that lost their key, else the first
-    failing filter, else ``null in guard`` when a filter is undecidable.
+    The label is ``duplicate`` for rows that lost their key, then the first rule a
+    row breaks, then ``null in guard`` when a rule cannot be decided.
     """
     return tag_typed(typed(bronze), window)
 
@@ -113,7 +115,7 @@ def tag_typed(typed_df: DataFrame, window: tuple[str, str] | None = None) -> Dat
     The survivor match-back reads its input twice; pass a materialized
     (written or checkpointed) input so the bronze joins run once.
     """
-    t = label_survivors(typed_df, NATURAL_KEY, SURVIVOR_ORDER, "_survivor")
+    t = label_survivors(typed_df, NATURAL_KEY, SURVIVOR_ORDER, flag="_survivor")
     rules = [(R_DUPLICATE, ~F.col("_survivor"))] + silver_rules(window)
     return tag_reasons(t, rules, null_reason=R_NULL).drop("_survivor")
 
@@ -161,14 +163,13 @@ WEATHER_COLUMNS = ["precip_mm", "snow_mm", "tmax_c", "avg_wind_ms", "is_wet_day"
 def enriched(silver_df: DataFrame, zones: DataFrame, daily: DataFrame) -> DataFrame:
     """Features + boroughs (pickup and dropoff roles) + daily measures.
 
-    Both dimensions have a proven bound -- zones one row per nation (fixed
-    25), daily one row per calendar day -- so they are broadcast and the
-    fact is never shuffled for enrichment.
+    Both dimensions are small (zones one row per nation, daily one per calendar
+    day); the planner broadcasts them as long as their sizes allow it.
     """
     f = features(silver_df)
-    f = lookup(f, zones, "pickup_location_id", "location_id", {"borough": "pickup_borough"}, bounded=True)
-    f = lookup(f, zones, "dropoff_location_id", "location_id", {"borough": "dropoff_borough"}, bounded=True)
-    f = lookup(f, daily, weather_key(), "obs_date", {c: c for c in WEATHER_COLUMNS}, bounded=True)
+    f = lookup(f, zones, "pickup_location_id", "location_id", {"borough": "pickup_borough"})
+    f = lookup(f, zones, "dropoff_location_id", "location_id", {"borough": "dropoff_borough"})
+    f = lookup(f, daily, weather_key(), "obs_date", {c: c for c in WEATHER_COLUMNS})
     return f.select(*GOLD_COLUMNS)
 
 

@@ -88,20 +88,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, how: str = "checkpoint"):
-    """Cut lineage: write the rows once into the shared checkpoint folder.
-
-    Used where one intermediate feeds several consumers (silver feeds gold,
-    quarantine and checks).  The default is a reliable checkpoint (files in
-    ``spark.checkpoint.dir``, which survive the loss of the executor that
-    wrote them).  ``how="parquet"`` writes a Parquet table there instead, so
-    consumers can prune columns in the scan -- the better choice for wide
-    intermediates read by narrow checks.  Never a local checkpoint.
+def materialize(df):
+    """Cut lineage: write the rows once, as Parquet, into the shared folder.
+
+    For an intermediate with several consumers: each of them prunes columns in the
+    scan, and the files survive the loss of the executor that wrote them.  Never a
+    local checkpoint.
     """
-    spark = df.sparkSession
-    if how == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    path = scratch_path(spark, "materialized")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(df.sparkSession, "materialized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

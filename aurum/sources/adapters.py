@@ -42,10 +42,17 @@ WEATHER_ELEMENTS = {  # daily measure -> element code in the long file
 WEATHER_YEAR, WEATHER_MONTH = 2024, 1   # calendar the daily feed covers
 
 
+def scan_identity() -> list:
+    """Where a row was read from: file name and row position, from the Parquet scan
+    itself, so the pair is the same on every read and retry."""
+    return [F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.row_index").alias("_record_no")]
+
+
 def raw_trips(t: Tables) -> DataFrame:
-    """The trip feed, in the landing contract's snake-case names."""
+    """The trip feed, in the landing contract's snake-case names.  A line without
+    an order keeps NULLs and is quarantined by silver."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                           "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+                           "l_extendedprice", "l_discount", "l_tax", "l_shipdate", *scan_identity())
     od = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = t.customer.select("c_custkey", "c_nationkey")
     su = t.supplier.select("s_suppkey", "s_nationkey")
@@ -53,7 +60,7 @@ def raw_trips(t: Tables) -> DataFrame:
     # stays hash-partitioned on the natural key's leading column.
     orders_c = od.join(cu, od.o_custkey == cu.c_custkey, "left")
     lines_s = li.join(su, li.l_suppkey == su.s_suppkey, "left")
-    j = lines_s.join(orders_c, lines_s.l_orderkey == orders_c.o_orderkey, "inner")
+    j = lines_s.join(orders_c, lines_s.l_orderkey == orders_c.o_orderkey, "left")
     lag_days = F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
     fare = F.col("l_extendedprice")
     return j.select(
@@ -72,25 +79,27 @@ def raw_trips(t: Tables) -> DataFrame:
         (fare * F.col("l_discount")).alias("tip_amount"),
         (fare * (F.lit(1.0) - F.col("l_discount")) * (F.lit(1.0) + F.col("l_tax"))).alias("total_amount"),
         F.nullif(F.col("l_tax"), F.lit(0.0)).alias("late_fee"),
+        "_source_file", "_record_no",
     )
 
 
 def raw_zone_lookup(t: Tables) -> DataFrame:
     """The zone dimension as the text feed delivers it (all strings)."""
-    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey", *scan_identity())
     r = t.region.select("r_regionkey", "r_name")
-    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")  # region: 5 rows
+    j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
     return j.select(
         F.col("n_nationkey").cast("string").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),
         F.col("n_regionkey").cast("string").alias("service_zone"),
+        "_source_file", "_record_no",
     )
 
 
 def raw_daily_long(t: Tables) -> DataFrame:
     """Long/narrow measurement rows, all text, as the station file has them."""
-    e = t.events.select("ts", "event_type", "value")
+    e = t.events.select("ts", "event_type", "value", *scan_identity())
     return e.select(
         F.lit("EVENTS").alias("station_id"),
         F.date_format("ts", "yyyyMMdd").alias("ymd"),
@@ -100,6 +109,7 @@ def raw_daily_long(t: Tables) -> DataFrame:
         F.when(F.col("value") >= F.lit(QC_GROSS_LIMIT), F.lit("G")).otherwise(F.lit("")).alias("q_flag"),
         F.lit("").alias("s_flag"),
         F.date_format("ts", "HHmm").alias("obs_time"),
+        "_source_file", "_record_no",
     )
 
 

@@ -41,27 +41,20 @@ def land_parquet_files(spark: SparkSession, paths: list[str], source: str,
     """Land several Parquet files/folders of one feed as one bronze table.
 
     Each path is read on its own (its own schema), stamped with provenance
-    from its own scan -- the landed folder name and the row's index in its
+    from its own scan -- landed folder and file, and the row's index in that
     file -- and the shapes are unioned by name (missing columns -> NULL).
     """
     ts = ingested_at or batch_timestamp()
     frames = []
     for p in paths:
         df = spark.read.parquet(p)
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        df = df.drop(*[c for c in PROVENANCE if c in df.columns])
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+/[^/]+$", 0)
         frames.append(with_provenance(df, source, ts, source_file=folder,
                                       record_no=record_number(parquet_scan=True)))
     return union_by_name(frames)
 
 
-def rename_columns(df: DataFrame, mapping: dict[str, str], keep_rest: bool = False) -> DataFrame:
-    """Project source columns onto the contract's names (one ``select``)."""
-    cols = [F.col(src).alias(dst) for src, dst in mapping.items()]
-    if keep_rest:
-        cols += [F.col(c) for c in df.columns if c not in mapping]
-    return df.select(*cols)
-
-
 def record_number(parquet_scan: bool = False) -> Column:
     """Record number without a global sort.
 
@@ -75,15 +68,16 @@ def record_number(parquet_scan: bool = False) -> Column:
 
 def with_provenance(df: DataFrame, source: str, ingested_at: datetime.datetime | None = None,
                     source_file: Column | None = None, record_no: Column | None = None) -> DataFrame:
-    """Add the four provenance columns in front of the payload."""
+    """The four provenance columns in front of the payload.  A frame that carries its
+    row identity already (taken from the scan) keeps it."""
     ts = ingested_at or batch_timestamp()
-    prov = [
-        F.lit(source).alias("_source"),
-        (source_file if source_file is not None else F.col("_metadata.file_name")).alias("_source_file"),
-        F.lit(ts).cast("timestamp_ntz").alias("_ingested_at"),
-        (record_no if record_no is not None else record_number()).alias("_record_no"),
-    ]
-    return df.select(*prov, *[F.col(c) for c in df.columns])
+    if source_file is None:
+        source_file = F.col("_source_file" if "_source_file" in df.columns else "_metadata.file_name")
+    if record_no is None:
+        record_no = F.col("_record_no") if "_record_no" in df.columns else record_number()
+    prov = [F.lit(source).alias("_source"), source_file.alias("_source_file"),
+            F.lit(ts).cast("timestamp_ntz").alias("_ingested_at"), record_no.alias("_record_no")]
+    return df.select(*prov, *[F.col(c) for c in df.columns if c not in PROVENANCE])
 
 
 def year_filter(df: DataFrame, ymd_col: str, years: list[str]) -> DataFrame:
@@ -133,3 +127,10 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     doc = spark.read.text(path, wholetext=True)
     return doc.select(F.explode(F.from_json("value", "array<variant>")).alias("j")) \
               .select(F.to_json("j").alias("_raw"))
+
+
+def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON array per *line*: one row per element.  Lines split over tasks, so
+    the files may be of any size."""
+    return spark.read.text(path).select(F.explode(F.from_json("value", "array<variant>")).alias("j")) \
+                .select(F.to_json("j").alias("_raw"))

@@ -1,10 +1,11 @@
 """Layered, versioned Parquet tables in the shared folder.
 
-A table is ``<root>/<layer>/<name>/v<NNNNNN>/`` plus an append-only commit
-log ``<root>/<layer>/<name>/_log/``.  Each write goes to a new version
-directory, so a failed or retried job never leaves a half-overwritten
-table behind; readers take the newest committed version.  Row counts come
-from an ``Observation`` on the write itself, not a second scan.
+A table is a folder ``<root>/<layer>/<name>/`` with one data folder per write and an
+append-only commit log ``_log/``.  A data folder's name is never used twice and
+never overwritten; it belongs to the table once a commit record names it, so a
+failed, retried or concurrent write cannot harm a committed version.  Two
+writers that start from the same version both commit; readers take the newest
+record.  Row counts come from an ``Observation`` on the write, not a second scan.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ import datetime
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from aurum.functions.clean import round_half_up
-
-LOG_SCHEMA = "version int, committed_at timestamp_ntz, n_rows bigint, note string"
+LOG_SCHEMA = "version int, committed_at timestamp_ntz, n_rows bigint, note string, path string"
+TARGET_FILE_BYTES = 128 << 20
 
 
 def table_root(root: str, layer: str, name: str) -> str:
@@ -25,10 +26,13 @@ def table_root(root: str, layer: str, name: str) -> str:
 
 
 def _log(spark: SparkSession, troot: str) -> DataFrame | None:
+    """The log, or None when there is none yet; any other failure is raised."""
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{troot}/_log")
-    except Exception:  # noqa: BLE001 - no log yet
-        return None
+        return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).parquet(f"{troot}/_log")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def versions(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
@@ -38,9 +42,9 @@ def versions(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame
 
 
 def latest_version(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """Newest commit: ``ORDER BY committed_at DESC, version DESC LIMIT 1``."""
+    """Newest commit: the highest version, of equal ones the last committed."""
     return (versions(spark, root, layer, name)
-            .orderBy(F.col("committed_at").desc(), F.col("version").desc()).limit(1))
+            .orderBy(F.col("version").desc(), F.col("committed_at").desc(), F.col("path").desc()).limit(1))
 
 
 def write_version(df: DataFrame, root: str, layer: str, name: str, note: str = "",
@@ -53,25 +57,27 @@ def write_version(df: DataFrame, root: str, layer: str, name: str, note: str = "
     if log is not None:
         prev = log.agg(F.max("version")).first()[0] or 0   # one-row result
     version = prev + 1
-    obs = Observation(f"write_{layer}_{name}_{version}_{uuid.uuid4().hex[:8]}")
+    path = f"{troot}/v{version:06d}-{uuid.uuid4().hex[:12]}"
+    obs = Observation(f"write_{layer}_{name}_{uuid.uuid4().hex[:8]}")
     out = df.repartition(files) if files else df
     # Observed in the write (result) stage, whose per-partition metrics are
     # counted once even when tasks are retried after an executor loss.
     out = out.observe(obs, F.count(F.lit(1)).alias("n_rows"))
-    out.write.mode("overwrite").parquet(f"{troot}/v{version:06d}")
+    out.write.mode("errorifexists").parquet(path)
     n = obs.get["n_rows"]
     rec = spark.createDataFrame(
-        [(version, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), int(n), note)],
+        [(version, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), int(n), note, path)],
         LOG_SCHEMA)
-    rec.coalesce(1).write.mode("append").parquet(f"{troot}/_log")
-    return {"version": version, "path": f"{troot}/v{version:06d}", "n_rows": int(n)}
+    # a folder of its own per commit: committers of one folder would remove each other's work
+    rec.coalesce(1).write.mode("errorifexists").parquet(f"{troot}/_log/commit-{uuid.uuid4().hex[:12]}")
+    return {"version": version, "path": path, "n_rows": int(n)}
 
 
 def read_latest(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     v = latest_version(spark, root, layer, name).first()
     if v is None:
         raise FileNotFoundError(f"no committed version of {layer}.{name}")
-    return spark.read.parquet(f"{table_root(root, layer, name)}/v{v.version:06d}")
+    return spark.read.parquet(v.path)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -79,29 +85,46 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def compact(spark: SparkSession, root: str, layer: str, name: str, files: int) -> dict:
-    """Rewrite the newest version into ``files`` files as a new version.
+def compact(spark: SparkSession, root: str, layer: str, name: str,
+            target_bytes: int = TARGET_FILE_BYTES) -> dict:
+    """Rewrite the newest version into files of about ``target_bytes`` as a new version.
 
-    ``repartition`` (a round-robin shuffle) evens file sizes; rows are
-    unchanged.  The old version stays until expired.
+    The number of files follows from the bytes on disk; ``repartition`` (a
+    round-robin shuffle) evens their sizes.  The old version stays until expired.
     """
     cur = read_latest(spark, root, layer, name)
+    size = (cur.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
+               .groupBy("p").agg(F.max("s").alias("s")).agg(F.sum("s")).first()[0]) or 0
+    files = max(1, -(-size // target_bytes))
     return write_version(cur, root, layer, name, note=f"compaction to {files} files", files=files)
 
 
+def _cents(col: str, digits: int = 2):
+    """A double as whole units of 10**-digits, rounded per row."""
+    return F.floor(F.col(col) * F.lit(10.0 ** digits) + F.lit(0.5)).cast("decimal(38,0)")
+
+
 def fingerprint(df: DataFrame, sum_col: str) -> DataFrame:
-    """Content version: row count + rounded column sum, hashed.
+    """Content version: row count and column sum, hashed.
 
-    ``n_rows`` and ``sum_cents`` are exact integers, so the text hashed is
-    the same on any engine.  ``content_hash`` is the order-free strong form:
-    XOR of a 64-bit hash of every row.
+    The sum adds whole hundredths, rounded per row, so it does not depend on the
+    order of the rows and is the same on any engine.
     """
-    cents = F.floor(round_half_up(F.sum(sum_col), 2) * F.lit(100.0) + F.lit(0.5)).cast("bigint")
-    one = df.agg(F.count(F.lit(1)).alias("n_rows"), cents.alias("sum_cents"))
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.coalesce(F.sum(_cents(sum_col)), F.lit(0)).cast("bigint").alias("sum_cents"))
     text = F.concat_ws("|", F.col("n_rows").cast("string"), F.col("sum_cents").cast("string"))
     return one.select("n_rows", "sum_cents", F.substring(F.sha2(text, 256), 1, 16).alias("data_version"))
 
 
-def content_hash(df: DataFrame) -> DataFrame:
-    return df.agg(F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns])).alias("content_hash"),
-                  F.count(F.lit(1)).alias("n_rows"))
+def content_hash(df: DataFrame, exact: list[str], decimals: dict[str, int] | None = None) -> DataFrame:
+    """Order-free content hash: the sum of 60 bits of every row's md5.
+
+    A row's text joins the ``exact`` columns as they are and the ``decimals`` columns
+    as whole units; a sum, unlike XOR, also notices rows that occur an even number
+    of times.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in exact]
+    parts += [F.coalesce(_cents(c, d).cast("string"), F.lit("~")) for c, d in (decimals or {}).items()]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.coalesce(F.sum(bits), F.lit(0)).cast("string").alias("content_hash"))

@@ -11,12 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-# Fixed-size tables: row counts do not grow with the scale factor, which is
-# the proven size bound that makes broadcasting them (or anything derived
-# from them one row per key) safe at any scale.
-FIXED_SIZE = {"region": 5, "nation": 25}
-
-
 class Tables:
     """Lazy accessor: ``t = Tables(spark, sf_dir); t.lineitem``."""
 

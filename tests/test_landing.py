@@ -6,84 +6,87 @@ from pyspark.sql import functions as F
 from aurum.plans import dims, feeds
 from aurum.sources import landing as L
 
-ZONE_ROWS = [
-    "LocationID,Borough,Zone,service_zone",
-    "1,EWR,Airport North,EWR",
-    '3,Bronx,"Hills, Upper",Boro Zone',
-    '13,Manhattan,"Harbor\nPoint",Yellow Zone',
-    "14,Brooklyn,Ridge\u2019s End,Boro Zone",
-    "1,021,Queens,River Side,Boro Zone",
-    "Apr-07,Manhattan,Midtown West,Yellow Zone",
-    "16,Queens,Bayview",
-    "",
-    "17,Brooklyn,N/A,NULL",
-    "18,Atlantis,Sunken,Boro Zone",
-]
-BOROUGHS = ["Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island", "EWR"]
+COLUMNS = ["LocationID", "Borough", "Zone", "service_zone"]
+REGIONS = ["AMERICA", "ASIA", "EUROPE"]
+
+
+def _line(*cells: str) -> str:
+    return ",".join(cells)
+
+
+def messy_nations() -> dict[str, str]:
+    """One line per defect class of a nation list kept in a spreadsheet."""
+    return {
+        "clean": _line("24", "AMERICA", "UNITED STATES", "1"),
+        "blank line": "",
+        "sentinel in the last cell": _line("12", "ASIA", "JAPAN", "NULL"),
+        "sentinel region": _line("4", "N/A", "EGYPT", "4"),
+        "region out of the domain": _line("20", "ANTARCTICA", "ROSS ISLAND", "9"),
+        "id turned into a date": _line("2024-02-01", "EUROPE", "FRANCE", "3"),
+        "separator splits the id": _line("2", "500", "ASIA", "CHINA", "2"),
+        "cell missing": _line("7", "EUROPE", "GERMANY"),
+        "quoted comma": _line("3", "AMERICA", '"CANADA, DOMINION OF"', "1"),
+        "quoted line feed": _line("21", "ASIA", '"VIET\nNAM"', "2"),
+        "typographic quote": _line("6", "EUROPE", "L\u2019HEXAGONE", "3"),
+    }
 
 
 def test_csv_landing_all_strings_and_messy_rows(spark, tmp_path):
-    p = tmp_path / "zones.csv"
-    p.write_bytes("\n".join(ZONE_ROWS).encode("cp1252"))
-    raw = L.read_csv_strings(spark, str(p), ["LocationID", "Borough", "Zone", "service_zone"],
-                             multiline=True, encoding="ISO-8859-1")
+    p = tmp_path / "nations.csv"
+    p.write_bytes("\n".join([_line(*COLUMNS), *messy_nations().values()]).encode("cp1252"))
+    raw = L.read_csv_strings(spark, str(p), COLUMNS, multiline=True, encoding="ISO-8859-1")
     assert all(t == "string" for _, t in raw.dtypes)
-    rows = raw.collect()
-    zones = {r.LocationID: r for r in rows}
-    assert zones["13"].Zone == "Harbor\nPoint"                  # quoted newline kept
-    assert zones["3"].Zone == "Hills, Upper"                    # quoted comma kept
-    assert zones["16"].service_zone is None                     # ragged row padded
-    assert zones["1"]._corrupt_record is not None or zones["1"].Zone == "Airport North"
-    raw = raw.drop("_corrupt_record")
-    silver = {r.location_id: r for r in dims.zone_silver(raw, BOROUGHS, repair_quote=True).collect()}
-    assert silver[14].zone == "Ridge's End"                     # cp1252 quote repaired
-    assert silver[17].borough == "Brooklyn" and silver[17].service_zone is None
-    q = {r.LocationID: r._reject_reason for r in dims.zone_quarantine(raw, BOROUGHS).collect()}
-    assert q["Apr-07"] == dims.R_LOCATION
-    assert q["18"] == dims.R_BOROUGH
-    assert q["1"] == dims.R_BOROUGH                              # field shift caught by domain check
-    # nothing vanishes: every landed row is in silver or quarantine
-    assert dims.zone_silver(raw, BOROUGHS).count() + dims.zone_quarantine(raw, BOROUGHS).count() == raw.count()
+    by_id = {r.LocationID: r for r in raw.collect()}
+    assert by_id["21"].Zone == "VIET\nNAM" and by_id["3"].Zone == "CANADA, DOMINION OF"
+    assert by_id["7"].service_zone is None                       # padded
+    assert by_id["2"]._corrupt_record == "2,500,ASIA,CHINA,2"    # the landed line is kept
+    silver = {r.location_id: r for r in dims.zone_silver(raw, REGIONS, repair_quote=True).collect()}
+    assert sorted(silver) == [3, 6, 7, 12, 21, 24]
+    assert silver[6].zone == "L'HEXAGONE" and silver[12].service_zone is None
+    why = {r.LocationID: r._reject_reason for r in dims.zone_quarantine(raw, REGIONS).collect()}
+    assert why == {"2024-02-01": dims.R_LOCATION, "20": dims.R_BOROUGH, "2": dims.R_BOROUGH, "4": dims.R_BOROUGH_NULL}
+    assert len(silver) + len(why) == raw.count()                 # nothing vanishes
 
 
 def test_headerless_csv_with_declared_schema(spark, tmp_path):
     p = tmp_path / "station.csv"
-    p.write_text("ST1,20250101,TMAX,56,,,W,2400\nST1,20250101,PRCP,13,,,W,2400\n"
-                 "ST1,20250101,TMAX,9999,,G,W,2400\nST1,20240101,SNOW,20,,,W,\n")
+    rows = [("HUB", "19970615", "HIGH", "231", "", "", "n", "0600"), ("HUB", "19970615", "RAIN", "47", "", "", "n", "0600"),
+            ("HUB", "19970615", "HIGH", "5000", "", "X", "n", "0600"), ("HUB", "19960615", "SNOW", "3", "", "", "n", "")]
+    p.write_text("\n".join(_line(*r) for r in rows) + "\n")
     cols = ["station_id", "ymd", "element", "value", "m_flag", "q_flag", "s_flag", "obs_time"]
-    raw = L.read_csv_strings(spark, str(p), cols, header=False).drop("_corrupt_record")
-    assert raw.count() == 4
-    landed = L.year_filter(raw, "ymd", ["2025"])
-    assert landed.count() == 3
-    daily = dims.daily_wide(landed, {"tmax": "TMAX", "tmin": "TMIN", "prcp": "PRCP", "snow": "SNOW", "awnd": "AWND"})
+    raw = L.read_csv_strings(spark, str(p), cols, header=False)
+    landed = L.year_filter(raw, "ymd", ["1997"])
+    assert (raw.count(), landed.count()) == (4, 3)
+    daily = dims.daily_wide(landed, {"tmax": "HIGH", "tmin": "LOW", "prcp": "RAIN", "snow": "SNOW", "awnd": "WIND"})
     r = daily.first()
-    assert (r.tmax_c, r.precip_mm, r.snow_mm, r.is_wet_day, r.is_snow_day) == (5.6, 1.3, 0.0, 1, 0)
-    assert dims.qc_quarantine(landed).first()._reject_reason == "failed source quality control (q_flag=G)"
+    assert (r.tmax_c, r.precip_mm, r.snow_mm, r.is_wet_day, r.is_snow_day) == (23.1, 4.7, 0.0, 1, 0)
+    assert dims.qc_quarantine(landed).first()._reject_reason == "failed source quality control (q_flag=X)"
 
 
 def test_raw_lines_and_json_split(spark, tmp_path):
-    lines = [json.dumps({"ts": "2025-01-02T03:04:00Z", "level": "INFO", "user": 5, "ctx": {"k": 1}}),
-             '{"ts":"2025-01-09T11:00:00Z","level":"ERROR"',
-             "a stray stderr line",
-             json.dumps({"ts": "2025-01-03T00:00:00Z", "level": "WARN", "user": "6"})]
+    event = lambda **k: json.dumps({"ts": "1998-03-01T10:20:30Z", "level": "view"} | k)
+    lines = [event(user=81, ctx={"k": 9}), event(user="17", level="signup"),     # the type of user drifts
+             event(user=5)[:-9],                                                  # cut while being written
+             "Traceback of another process",
+             event() + event(), "1, 2", '1],["2', "[1],[2]", ""]                   # not one value
     p = tmp_path / "app.jsonl"
     p.write_text("\n".join(lines))
     raw = L.read_lines(spark, str(p)).select(F.lit("app").alias("_file"),
                                              F.monotonically_increasing_id().alias("_line_no"), "_raw")
-    ev = feeds.app_events(raw).orderBy("event_at").collect()
-    assert [(e.level, e.user_id, e.ctx_k) for e in ev] == [("INFO", 5, 1), ("WARN", 6, None)]
-    assert str(ev[0].event_at) == "2025-01-02 03:04:00"
-    assert feeds.app_log_quarantine(raw).count() == 2
+    ev = feeds.app_events(raw).orderBy("user_id").collect()
+    assert [(e.level, e.user_id, e.ctx_k) for e in ev] == [("signup", 17, None), ("view", 81, 9)]
+    assert str(ev[0].event_at) == "1998-03-01 10:20:30"
+    assert feeds.app_log_quarantine(raw).count() == raw.count() - 2 == 6
 
 
 def test_json_array_document(spark, tmp_path):
-    recs = [{"review_id": 1, "stars": 5, "body": "fine"}, {"review_id": 2, "stars": None, "body": ""}]
-    p = tmp_path / "reviews.json"
+    recs = [{"doc": 31, "grade": None, "text": "two words"}, {"doc": 30, "grade": 1, "text": ""}]
+    p = tmp_path / "documents.json"
     p.write_text(json.dumps(recs, indent=1))
     raw = L.read_json_array(spark, str(p))
-    got = raw.select(F.get_json_object("_raw", "$.review_id").cast("int").alias("id"),
-                     F.get_json_object("_raw", "$.body").alias("body")).orderBy("id").collect()
-    assert [(r.id, r.body) for r in got] == [(1, "fine"), (2, "")]
+    got = raw.select(F.get_json_object("_raw", "$.doc").cast("int").alias("id"),
+                     F.get_json_object("_raw", "$.text").alias("text")).orderBy("id").collect()
+    assert [(r.id, r.text) for r in got] == [(30, ""), (31, "two words")]
 
 
 def test_provenance_and_union_by_name(spark, tmp_path):

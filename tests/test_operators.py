@@ -6,6 +6,7 @@ from aurum.operators.dedup import keep_first, label_survivors
 from aurum.operators.joins import missing_references
 from aurum.operators.quarantine import conservation, tag_reasons
 from aurum.operators.reshape import labelled_counts, pivot_max
+from aurum.session import materialize
 
 
 @pytest.fixture
@@ -16,22 +17,24 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k int, k2 int, ord int, payload string")
 
 
-def test_keep_first_matches_window_and_survives_hot_key(spark, skewed):
+def test_keep_first_survives_hot_key(spark, skewed):
     a = keep_first(skewed, ["k", "k2"], ["ord", "payload"])
-    w = keep_first(skewed, ["k", "k2"], ["ord", "payload"], method="window")
-    assert sorted(a.collect()) == sorted(w.collect())
+    assert a.count() == 607
     hot = {r.k2: r.ord for r in a.filter("k = 1").collect()}
     # k2 = j keeps the smallest ord among i = j (mod 7), i.e. the largest i
     assert hot == {j: 100 - max(i for i in range(300) if i % 7 == j) for j in range(7)}
 
 
-def test_keep_first_plans_a_partial_aggregate(spark, skewed):
+def test_keep_first_plans_a_group_limit(spark, skewed):
     plan = keep_first(skewed, ["k"], ["ord"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert "WindowGroupLimit" in plan
 
 
 def test_label_survivors_conserves_rows(spark, skewed):
-    lab = label_survivors(skewed, ["k", "k2"], ["ord", "payload"])
+    ids = skewed.withColumns({"_source_file": F.lit("f"), "_record_no": F.monotonically_increasing_id()})
+    lab = label_survivors(materialize(ids), ["k", "k2"], ["ord", "payload"])
+    with pytest.raises(ValueError):
+        label_survivors(skewed, ["k"], ["ord"])
     n_surv = lab.filter("_survivor").count()
     assert lab.count() == skewed.count()
     assert n_surv == keep_first(skewed, ["k", "k2"], ["ord", "payload"]).count()
@@ -44,8 +47,11 @@ def test_tag_reasons_first_rule_wins_and_null_is_labelled(spark):
     assert plain == [None, "fare", None, "pax"]          # NULL fare: neither side
     labelled = tag_reasons(df, rules, null_reason="null in guard")
     assert [r._reject_reason for r in labelled.collect()] == [None, "fare", "null in guard", "pax"]
-    c = conservation(labelled).first()
+    parts = [labelled.filter(F.col("_reject_reason").isNull()), labelled.filter(F.col("_reject_reason").isNotNull())]
+    c = conservation(df, *parts).first()
     assert (c.input_rows, c.accepted_rows, c.quarantined_rows, c.balanced) == (4, 1, 3, True)
+    assert not conservation(df, parts[0], parts[1].limit(2)).first().balanced          # a row that vanished
+    assert not conservation(df, parts[0].unionByName(parts[0]), parts[1]).first().balanced   # a row that doubled
 
 
 def test_pivot_ignores_unlisted_elements(spark):
