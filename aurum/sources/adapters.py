@@ -19,7 +19,8 @@ trips   lineitem x orders x customer x supplier, one row per lineitem row.
 zones   nation x region as all-text CSV-like rows: LocationID, Borough
         (region name), Zone (nation name), service_zone (region key).
 daily   events as long/narrow text rows: ymd of ts, element = event_type,
-        value = whole units of ``value``, q_flag 'G' (gross-limit failure)
+        value = whole units of ``value`` times a factor of the day
+        (((day * 7) mod 10) + 1) / 10, q_flag 'G' (gross-limit failure)
         for values >= 300.
 app log events as JSON lines, plus conversation turns as stray non-JSON
         lines.  ``user`` is written as a JSON string for signup events
@@ -100,11 +101,12 @@ def raw_zone_lookup(t: Tables) -> DataFrame:
 def raw_daily_long(t: Tables) -> DataFrame:
     """Long/narrow measurement rows, all text, as the station file has them."""
     e = t.events.select("ts", "event_type", "value", *scan_identity())
+    seasonal = (F.dayofmonth("ts") * 7) % 10 + 1             # days differ, as weather does
     return e.select(
         F.lit("EVENTS").alias("station_id"),
         F.date_format("ts", "yyyyMMdd").alias("ymd"),
         F.col("event_type").alias("element"),
-        F.floor(F.col("value") + F.lit(0.5)).cast("bigint").cast("string").alias("value"),
+        F.floor(F.col("value") * seasonal / F.lit(10.0) + F.lit(0.5)).cast("bigint").cast("string").alias("value"),
         F.lit("").alias("m_flag"),
         F.when(F.col("value") >= F.lit(QC_GROSS_LIMIT), F.lit("G")).otherwise(F.lit("")).alias("q_flag"),
         F.lit("").alias("s_flag"),
