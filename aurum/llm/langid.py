@@ -34,6 +34,7 @@ ORDERS = (2, 3, 4)
 DIM = 16
 #: Bound of the training sample.
 TRAIN_PER_LANG = 500
+SAMPLE_PARTS = 64
 EPOCHS = 8
 RATE = 2.0
 PRECISION = 0.995
@@ -169,9 +170,12 @@ def train(x: Sparse, y: np.ndarray, langs: list[str], seed: int = 11) -> Languag
 def sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> DataFrame:
     """Ids and languages to learn from: crc32 of the id modulo 3 is not 1."""
     able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 3) != 1))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (able.select("doc_id", "lang").withColumn("_n", F.row_number().over(first))
-                .filter(F.col("_n") <= per_lang).select("doc_id", F.col("lang").alias("_lang")))
+    rows = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(SAMPLE_PARTS)))
+    # first within parts of a language, then within the language: no task sees a whole language
+    for keys in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("h", "doc_id")
+        rows = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).drop("n")
+    return rows.select("doc_id", F.col("lang").alias("_lang"))
 
 
 def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
