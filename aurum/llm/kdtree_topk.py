@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aurum.llm.session_tables import written
+from aurum.llm.training import first_by_hash
 
 QUERY_EVERY = 50
 K = 5
@@ -246,7 +247,7 @@ def topk(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFra
     size = able.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("e")), F.lit(0)).alias("dim")).first()
     n, dim = int(size.n), int(size.dim)
     per_shard = max(SHARD_ROWS, -(-n // MAX_SHARDS))
-    sample = able.orderBy(F.xxhash64("row")).limit(TOP_SAMPLE).select("e").toArrow()       # bounded
+    sample = first_by_hash(able, TOP_SAMPLE, "row").select("e").toArrow()                  # bounded
     tree = spark.sparkContext.broadcast(TopTree(matrix(sample.column("e"), dim) if sample.num_rows else np.zeros((0, dim), np.int64),
                                                 -(-n // per_shard)))
 

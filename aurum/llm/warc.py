@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.llm.session_tables import broadcast_if_small, written
+from aurum.llm.training import first_by_hash
 from aurum.session import scratch_path
 
 MIN_REVISIT = 100
@@ -150,8 +151,10 @@ def originals(pages: DataFrame) -> DataFrame:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded choice of payloads, the same on every run."""
-    sample = (pages.select("html").filter(F.length("html") > 0).withColumn("h", F.xxhash64("html"))
-                   .orderBy("h").limit(SAMPLE_RECORDS).select("html").toLocalIterator())
+    able = pages.select("html", F.xxhash64("html").alias("h")).filter(F.length("html") > 0)
+    last = first_by_hash(able.select("h").distinct(), SAMPLE_RECORDS, "h")                # narrow rows only
+    last = written(last, "warc-sample")
+    sample = able.join(F.broadcast(last), "h").dropDuplicates(["h"]).orderBy("h").select("html").toLocalIterator()
     chosen, size = [], 0
     for r in sample:
         one = r.html.encode("utf-8")
