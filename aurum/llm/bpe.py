@@ -38,9 +38,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aurum.llm.textarrays import bounded_batches, release_memory
+
 VOCABULARY = "byte_bpe_50k.json"
-#: Entries of the tables that a worker keeps; a full table starts anew.
-KEPT_CUTS, KEPT_PAIRS = 600_000, 500_000
+#: Entries of a generation of the tables that a worker keeps (two generations each).
+KEPT_CUTS, KEPT_PAIRS = 200_000, 100_000
 _NEVER = 1 << 60
 #: White space as the pretokenizer's pattern sees it (Unicode White_Space).
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -55,6 +57,25 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class Recent(dict):
+    """Made values by key, in two generations: a full one becomes the old one, and what
+    is asked for again comes back from there, so frequent keys stay."""
+
+    def __init__(self, make, limit):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit():
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -93,10 +114,8 @@ class Bpe:
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.start = np.concatenate(([0], np.cumsum(sizes)))
         self.decimal = [b"%d," % i for i in range(size)]
-        self.pair: dict[tuple[int, int], bool] = {}
-        self.cuts: dict[str, bytes] = {"": b""}
-        self.left_edge = functools.lru_cache(None)(lambda t: self._edge(t, 0))
-        self.right_edge = functools.lru_cache(None)(lambda t: self._edge(t, 1))
+        self.pair = Recent(lambda p: self._survives(self._edge(p[0], 1), self._edge(p[1], 0)), lambda: KEPT_PAIRS)
+        self.cuts = Recent(self._encode_cut, lambda: KEPT_CUTS)
 
     def _edge(self, t: int, side: int) -> list[tuple[int, int]]:
         """(token, rank of the merge that swallows it) along one edge, from the byte up."""
@@ -110,13 +129,7 @@ class Bpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a border between tokens a and b survives all merges."""
-        known = self.pair.get((a, b))
-        if known is None:
-            known = self._survives(self.right_edge(a), self.left_edge(b))
-            if len(self.pair) >= KEPT_PAIRS:
-                self.pair.clear()
-            self.pair[a, b] = known
-        return known
+        return self.pair[a, b]
 
     def _survives(self, left: list, right: list) -> bool:
         i = j = 0
@@ -177,26 +190,12 @@ class Bpe:
         if _OTHER.search(text):
             return self._encode_part(text)
         cuts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        kept = self.cuts
-        try:
-            return b"".join([kept[c] for c in cuts])
-        except KeyError:
-            pass
-        out = []
-        for c in cuts:
-            ids = kept.get(c)
-            if ids is None:
-                if len(kept) >= KEPT_CUTS:
-                    kept.clear()
-                    kept[""] = b""
-                if c[-1] in ".,!?" and c[-2:-1].isalpha():      # letters end a piece, the mark is one of its own
-                    stem = kept.get(c[:-1])
-                    ids = (self._encode_part(c[:-1]) if stem is None else stem) + self._encode_part(c[-1])
-                else:
-                    ids = self._encode_part(c)
-                kept[c] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.cuts.__getitem__, cuts))
+
+    def _encode_cut(self, cut: str) -> bytes:
+        if cut[-1:] in (".", ",", "!", "?") and cut[-2:-1].isalpha():     # letters end a piece, the mark is one of its own
+            return self.cuts[cut[:-1]] + self._encode_part(cut[-1])
+        return self._encode_part(cut)
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode_bytes(text or ""), np.uint32)
@@ -219,6 +218,8 @@ def load(path: str) -> Bpe:
 
 def encoded(docs: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with the token ids of a text column."""
+    bounded_batches(docs.sparkSession)
+
     @F.arrow_udf("array<int>")
     def ids_of(col: pa.Array) -> pa.Array:
         bpe = load(path)
@@ -242,6 +243,8 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", name: str = "text") ->
 def digested(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 and decoded_sha256: encoded, then decoded from the
     ids.  Columns of these names are replaced."""
+    bounded_batches(docs.sparkSession)
+
     @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(col: pa.Array) -> pa.Array:
         bpe = load(path)
@@ -252,6 +255,7 @@ def digested(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             decimal = b"".join(map(bpe.decimal.__getitem__, ids.tolist()))[:-1]
             made.append(hashlib.sha256(decimal).hexdigest())
             back.append(hashlib.sha256(bpe.decode_bytes(ids.astype(np.int64))).hexdigest())
+        release_memory()
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(made, pa.string()), pa.array(back, pa.string())],
                                           ["n_tokens", "ids_sha256", "decoded_sha256"])
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]

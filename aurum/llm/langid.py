@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aurum.llm.textarrays import slices, text_buffers
+from aurum.llm.textarrays import bounded_batches, slices, text_buffers
 from aurum.llm.training import Sparse, fold, list_column, per_batch, row_sums
 
 BITS = 15
@@ -202,6 +202,7 @@ def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
 
 def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every document."""
+    bounded_batches(docs.sparkSession)
     model = fit(docs) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)       # a fixed size per language
 

@@ -15,7 +15,8 @@ into pairs.
 2. **Groups.**  The remaining classes write their sets.  Tokens are ordered
    ordinary-before-frequent, then by hash; with |A| - ceil(.75 |A|) + 1 first tokens
    (the prefix) two linked sets always share one.  The order is the same for all, so
-   any list of frequent tokens is right; the list is the ``HOT_TOKENS`` most frequent.
+   any list of frequent tokens is right; the list holds at most ``HOT_TOKENS`` of the
+   most frequent.
    A class joins the group of the prefix token that most classes have: similar
    documents come together.  Groups are cut into blocks of about ``BLOCK`` classes.
 3. **Matrix.**  (token, block) rows say which blocks hold a prefix token.  Blocks that
@@ -44,7 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.llm.ngram_sets import shingle_sets
-from aurum.llm.session_tables import broadcast_if_small, written
+from aurum.llm.session_tables import broadcast_if_small, packed, unpacked, written
+from aurum.llm.textarrays import bounded_batches, release_memory
 
 #: A link needs NUM * union <= 100 * intersection.
 NUM, DEN = 75, 100
@@ -56,7 +58,7 @@ HOT_TOKENS = 200_000
 #: Sets that a task compares at a time, about.
 CELLS = 2000
 #: Tokens gathered by a task before they are sorted and shipped.
-FLUSH = 2_000_000
+FLUSH = 1_500_000
 _MANY = 0xFFFF
 _U = np.uint64
 _LOW = _U((1 << 32) - 1)
@@ -173,6 +175,7 @@ def _first_pass(bits: int):
                             fp=fps, cls=[_class_id(x) for x in fps], n=ns)
             serial += k
         yield from box.flush()
+        release_memory()
     return run
 
 
@@ -185,6 +188,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     parts = [_unpack(b.as_buffer()) for b in blobs]
     if not parts:
         return keep
+    release_memory()
     tok, cls, many = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(tok)
     tok, cls, many = tok[order], cls[order], many[order]
@@ -217,6 +221,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offs = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             toks = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.record_batch([pa.array(list(seen), pa.int64()), toks], names=["cls", "toks"])
+    release_memory()
 
 
 def _prefixes(hot):
@@ -308,6 +313,7 @@ def _open_pairs(table: pa.Table) -> pa.Table:
         if x in of and y in of:
             made = {k: _Block([int(cls[i]) for i in rows], [flat[offs[i]:offs[i + 1]] for i in rows]) for k, rows in of.items()}
             _open(made[x], made[y], forest)
+    release_memory()
     edges = [(x, forest.root(x)) for x in list(forest.up)]
     edges = [(x, r) for x, r in edges if x != r]
     return pa.table({"u": pa.array([x for x, _ in edges], pa.int64()), "v": pa.array([r for _, r in edges], pa.int64())})
@@ -348,8 +354,17 @@ def links(docs: DataFrame, seen: DataFrame) -> DataFrame:
                  .mapInArrow(_set_rows, "cls bigint, toks array<bigint>").dropDuplicates(["cls"]))
     sets = written(sets, "ngram-sets")
 
-    df = sets.select(F.explode("toks").alias("tok")).groupBy("tok").count().filter(F.col("count") >= HOT_FROM)
-    top = df.orderBy(F.desc("count"), "tok").limit(HOT_TOKENS).select("tok")
+    df = written(sets.select(F.explode("toks").alias("tok")).groupBy("tok").count()
+                     .filter(F.col("count") >= HOT_FROM), "ngram-frequent")
+    # the steps of the count, from the top, that together hold at most HOT_TOKENS tokens
+    step = F.floor(F.log2("count") * 8).cast("int")
+    cut, held = None, 0
+    for r in df.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("s")).toLocalIterator():
+        held += r.c
+        if held > HOT_TOKENS:
+            break
+        cut = r.s
+    top = df.filter(step >= cut).select("tok") if cut is not None else df.select("tok").limit(0)
     hot = np.array([r.tok for r in top.toLocalIterator()], np.int64).view(np.uint64)      # at most HOT_TOKENS numbers
     hot = spark.sparkContext.broadcast(np.sort(hot))
     prefix = written(sets.mapInArrow(_prefixes(hot), "cls bigint, tok bigint"), "ngram-prefixes")
@@ -388,6 +403,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     ``kept`` marks the document that stands for its component (smallest doc_id,
     then smallest text key); rows that repeat it are marked as well."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(24, max(8, math.ceil(math.log2(4 * parts))))
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
@@ -418,19 +434,23 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
-    """The documents that stand for their component, with all their columns."""
-    made = ngram_join(docs)
-    lost = written(made.filter(~F.col("kept")).select(F.col("doc_id").alias("_lost_id"), F.col("text_key").alias("_lost_key"))
-                       .distinct(), "ngram-lost")
-    marked = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    on = F.col("doc_id").eqNullSafe(F.col("_lost_id")) & (F.col("_key") == F.col("_lost_key"))
-    stay = marked.join(broadcast_if_small(lost), on, "left_anti")
-    repeated = written(docs.select(F.col("doc_id").alias("_lost_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_lost_key"))
-                           .groupBy("_lost_id", "_lost_key").count().filter("count > 1").drop("count"), "ngram-repeated")
-    if not repeated.isEmpty():
-        wordy = F.col("text").rlike(r"[^\x20\x09-\x0D]")          # empty sets link with nothing, all stay
-        twice = broadcast_if_small(repeated)
-        again = stay.filter(wordy).join(twice, on, "left_semi").dropDuplicates(["doc_id", "_key"])
-        stay = (stay.join(twice, on, "left_anti").unionByName(again)
-                    .unionByName(stay.filter(~F.coalesce(wordy, F.lit(False))).join(twice, on, "left_semi")))
-    return stay.select(*docs.columns)
+    """The documents that stand for their component, with all their columns.
+
+    Documents without words have no component and all stay.  Rows that repeat a
+    document that stays are thinned to one."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    made = written(ngram_join(docs), "ngram-result")
+    lost = made.filter(~F.col("kept")).select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key"))
+    lost = written(lost.distinct(), "ngram-lost")
+    rows = packed(docs, id=F.col("doc_id"), text_key=key)
+    on = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("text_key") == F.col("its_key"))
+    stay = rows.join(broadcast_if_small(lost), on, "left_anti")
+    again = (made.filter(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id", "text_key")
+                 .agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+                 .select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key")))
+    again = written(again, "ngram-repeated")
+    if not again.isEmpty():
+        twice = broadcast_if_small(again)
+        stay = stay.join(twice, on, "left_anti").unionByName(
+            stay.join(twice, on, "left_semi").dropDuplicates(["id", "text_key"]))
+    return unpacked(stay)

@@ -13,13 +13,41 @@ never white space, so byte runs and character runs are the same words).
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
+#: Rows that Spark hands to Python at a time.
+BATCH_ROWS = 1000
 SLICE_BYTES = 1 << 20
 
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts are long: Arrow batches of this session hold at most BATCH_ROWS rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):          # not the GNU C library
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Gives freed array memory back to the system; workers outlive their tasks, and what
+    they keep would count against the next stage."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)

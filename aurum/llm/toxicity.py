@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm.textarrays import Words, slices, text_buffers
+from aurum.llm.textarrays import Words, bounded_batches, release_memory, slices, text_buffers
 from aurum.llm.training import Sparse, first_by_hash, fold, list_column, per_batch, row_sums
 
 BITS = 18
@@ -161,11 +161,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Factoriz
 
 def with_score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine, name: str = "score") -> DataFrame:
     """``docs`` with one more column, the probability that the text is toxic."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)          # a fixed size, whatever the corpus
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(shared.value.scores(text))
+        out = pa.array(shared.value.scores(text))
+        release_memory()
+        return out
 
     return docs.withColumn(name, score(F.col("text")))
 
