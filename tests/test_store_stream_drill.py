@@ -67,6 +67,19 @@ def test_fingerprint_stable_and_sensitive(spark):
     assert strong(1, 1, 5) == strong(5, 1, 1) != strong(2, 2, 5)
 
 
+def test_gold_hash_notices_a_change_in_any_column(spark):
+    gold = catalog._gold(spark, SF_SMALL).orderBy("order_key", "line_no").limit(3).localCheckpoint()
+    change = {"string": lambda c: F.concat(F.coalesce(c, F.lit("")), F.lit("x")),
+              "timestamp": lambda c: c + F.expr("interval 1 day"), "timestamp_ntz": lambda c: c + F.expr("interval 1 day")}
+    kinds = dict(gold.dtypes)
+    whole = lambda df: catalog._whole_gold_hash(df).first().content_hash
+    plain = whole(gold)
+    assert plain == whole(gold.orderBy(F.desc("order_key"), F.desc("line_no")))
+    for c in gold.columns:
+        to = change.get(kinds[c], lambda x: F.coalesce(x, F.lit(0)) + 1)
+        assert whole(gold.withColumn(c, to(F.col(c)).cast(kinds[c]))) != plain, c
+
+
 def test_incremental_landing_picks_up_only_new_files(spark):
     src = scratch_path(spark, "landing")
     target, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
