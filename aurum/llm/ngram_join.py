@@ -1,9 +1,9 @@
 """N-gram Jaccard join with a token-group matrix.
 
 Documents link when 100 * |A & B| >= 75 * |A | B| for their sets of 5-word
-shingles; the result names each document's connected component.  Links between
-different texts are never lost; equal sets are one *class* and are not expanded
-into pairs.
+shingles; the result names each document's connected component and counts its links.
+Links between different texts are never lost; equal sets are one *class* and are not
+expanded into pairs.
 
 1. **Sets and shared tokens.**  One pass over the whole texts makes the sets as
    64-bit hashes.  A class can only link when three quarters of its tokens occur
@@ -23,20 +23,23 @@ into pairs.
    share one are compared: in the task that holds both, the token union of a block
    gives an upper bound of every query class's overlap with *any* member,
    and only blocks whose bound qualifies are opened and counted exactly.  The task
-   returns a spanning forest of the links, never the pairs.
+   returns, per class, its place in a spanning forest of the links and the documents
+   it links with, never the pairs.
 4. **Components.**  The forests are contracted by alternating large-star and
    small-star steps until they are stars.
 
 A document without words or text has an empty set and links with nothing; with
 fewer than five words its whole sequence is one shingle.  component_id is the
-smallest doc_id of the component, null only if no member has a doc_id.  Repeated
-rows are copies.  Only doc_id and text are read.  An empty table gives an empty result.
+smallest doc_id of the component, null only if no member has a doc_id.  n_links is the
+number of other rows that a row links with: the copies of every class its class links
+with, and the other copies of its own.  Repeated rows are copies.  Only doc_id and text are read.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -266,8 +269,9 @@ class _Forest:
 class _Block:
     """A block's members with its column of the matrix: the token union, and who has each."""
 
-    def __init__(self, cls: list[int], sets: list[np.ndarray]):
-        self.cls = cls
+    def __init__(self, cls: list[int], sets: list[np.ndarray], copies: np.ndarray):
+        self.cls, self.copies = cls, copies
+        self.links = np.zeros(len(cls), np.int64)
         self.n = np.array([len(s) for s in sets], np.int64)
         flat = np.concatenate(sets)
         who = np.repeat(np.arange(len(sets)), self.n)
@@ -279,7 +283,8 @@ class _Block:
 
 
 def _open(a: _Block, b: _Block, forest: _Forest) -> None:
-    """Links every class of ``a`` with those of ``b`` that it is similar to."""
+    """Links every class of ``a`` with those of ``b`` that it is similar to, and adds
+    to both sides' ``links`` the copies of the classes found there."""
     at = np.minimum(np.searchsorted(b.union, a.flat), len(b.union) - 1)
     hit = b.union[at] == a.flat
     bound = np.bincount(a.who_flat[hit], minlength=len(a.cls))
@@ -291,14 +296,22 @@ def _open(a: _Block, b: _Block, forest: _Forest) -> None:
         start, size = b.at[cols], b.at[cols + 1] - b.at[cols]
         take = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         both = np.bincount(b.who[take], minlength=len(b.cls))
-        for m in np.flatnonzero(DEN * both >= NUM * (a.n[q] + b.n - both)).tolist():
+        found = np.flatnonzero(DEN * both >= NUM * (a.n[q] + b.n - both))
+        if a is b:                                          # every pair comes from both its ends
+            found = found[found != q]
+        else:
+            b.links[found] += a.copies[q]
+        a.links[q] += b.copies[found].sum()
+        for m in found.tolist():
             forest.join(a.cls[q], b.cls[m])
 
 
 def _open_pairs(table: pa.Table) -> pa.Table:
-    """All block pairs of one task: (a, b, block, cls, toks) rows; returns forest edges."""
+    """All block pairs of one task: (a, b, block, cls, toks, copies) rows; returns for
+    every linked class (u, v, links): its root in the forest, the documents linked with here."""
     a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
     block, cls = table.column("block").to_numpy(), table.column("cls").to_numpy()
+    copies = table.column("copies").to_numpy()
     lists = table.column("toks").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.chunk(0) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
@@ -307,16 +320,19 @@ def _open_pairs(table: pa.Table) -> pa.Table:
     for i, (x, y, k) in enumerate(zip(a.tolist(), b.tolist(), block.tolist())):
         sides.setdefault((x, y), {}).setdefault(k, []).append(i)
 
-    forest = _Forest()
+    forest, links = _Forest(), Counter()
     for x, y in sorted(sides):
         of = sides[x, y]
         if x in of and y in of:
-            made = {k: _Block([int(cls[i]) for i in rows], [flat[offs[i]:offs[i + 1]] for i in rows]) for k, rows in of.items()}
+            made = {k: _Block([int(cls[i]) for i in rows], [flat[offs[i]:offs[i + 1]] for i in rows], copies[rows])
+                    for k, rows in of.items()}
             _open(made[x], made[y], forest)
+            for side in made.values():
+                links.update({side.cls[i]: int(side.links[i]) for i in np.flatnonzero(side.links)})
     release_memory()
-    edges = [(x, forest.root(x)) for x in list(forest.up)]
-    edges = [(x, r) for x, r in edges if x != r]
-    return pa.table({"u": pa.array([x for x, _ in edges], pa.int64()), "v": pa.array([r for _, r in edges], pa.int64())})
+    nodes = list(forest.up)
+    return pa.table({"u": pa.array(nodes, pa.int64()), "v": pa.array([forest.root(x) for x in nodes], pa.int64()),
+                     "links": pa.array([links[x] for x in nodes], pa.int64())})
 
 
 # --------------------------------------------------------- 4. components
@@ -340,19 +356,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(u, v): a spanning forest of the links between classes."""
+    """(u, v, links): per class and task a step of a spanning forest of the links between
+    classes, and the documents of other classes that the class was found to link with."""
     spark = docs.sparkSession
     share = (seen.filter(F.col("kind") == COUNT).groupBy("cls").agg(F.sum("n").alias("shared")))
     classes = (seen.filter((F.col("kind") == DOC) & (F.col("n") > 0)).groupBy("cls")
-                   .agg(F.first("n").alias("n"), F.min("text_key").alias("text_key")))
+                   .agg(F.first("n").alias("n"), F.min("text_key").alias("text_key"), F.count(F.lit(1)).alias("copies")))
     left = written(classes.join(share, "cls").filter(DEN * F.col("shared") >= NUM * F.col("n"))
-                          .select("text_key", "cls", "n"), "ngram-left")
-    lengths = left.select("cls", "n")
+                          .select("text_key", "cls", "n", "copies"), "ngram-left")
+    lengths, copies = left.select("cls", "n"), left.select("cls", "copies")
     left = left.select("text_key").distinct()
     keyed = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     sets = (keyed.join(broadcast_if_small(left, 2_000_000), "text_key", "left_semi").select("text")
                  .mapInArrow(_set_rows, "cls bigint, toks array<bigint>").dropDuplicates(["cls"]))
-    sets = written(sets, "ngram-sets")
+    sets = written(sets.join(copies, "cls"), "ngram-sets")
 
     df = written(sets.select(F.explode("toks").alias("tok")).groupBy("tok").count()
                      .filter(F.col("count") >= HOT_FROM), "ngram-frequent")
@@ -394,11 +411,11 @@ def links(docs: DataFrame, seen: DataFrame) -> DataFrame:
     cells = written(across.unionByName(inner), "ngram-cells")
     tasks = max(1, math.ceil(cells.count() / CELLS))
     rows = cells.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks))).join(sets, "cls")
-    return rows.groupBy("task").applyInArrow(_open_pairs, "u bigint, v bigint")
+    return written(rows.groupBy("task").applyInArrow(_open_pairs, "u bigint, v bigint, links bigint"), "ngram-links")
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, text_key, kept: one row per document.
+    """doc_id, n_shingles, component_id, n_links, text_key, kept: one row per document.
 
     ``kept`` marks the document that stands for its component (smallest doc_id,
     then smallest text key); rows that repeat it are marked as well."""
@@ -411,7 +428,9 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     seen = (keyed.mapInArrow(_first_pass(bits), _FIRST_SQL).groupBy("slot")
                  .applyInArrow(_count_shared, "kind tinyint, doc_id bigint, text_key bigint, fp binary, cls bigint, n bigint"))
     seen = written(seen, "ngram-seen")
-    roots = components(links(docs, seen))
+    found = links(docs, seen)
+    roots = components(found)
+    linked = found.groupBy(F.col("u").alias("cls")).agg(F.sum("links").alias("linked"))
 
     docs_seen = seen.filter(F.col("kind") == DOC).select("doc_id", "text_key", "fp", "cls", "n")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep")
@@ -420,16 +439,18 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     nodes = roots.select(F.col("u").alias("cls"), F.col("v").alias("root")).unionByName(
         roots.select(F.col("v").alias("cls"), F.col("v").alias("root")).distinct())
     of_comp = classes.join(nodes, "cls").groupBy("root").agg(F.min("rep").alias("comp"))
-    named = nodes.join(of_comp, "root").select("cls", "comp")
+    named = nodes.join(of_comp, "root").join(linked, "cls").select("cls", "comp", "linked")
     # classes that say something new: copies, or links
     told = (classes.join(named, "cls", "left").filter((F.col("copies") > 1) | F.col("comp").isNotNull())
-                   .select("fp", F.coalesce("comp", "rep").alias("comp")))
+                   .select("fp", F.coalesce("comp", "rep").alias("comp"),
+                           (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     told = written(told, "ngram-told")
     out = docs_seen.join(broadcast_if_small(told), "fp", "left")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_key"))
     comp = F.when((F.col("n") > 0) & F.col("comp").isNotNull(), F.col("comp")).otherwise(own)
     return out.withColumn("_c", comp).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("_c.doc_id").alias("component_id"), "text_key",
+        "doc_id", F.col("n").alias("n_shingles"), F.col("_c.doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "text_key",
         (F.col("doc_id").eqNullSafe(F.col("_c.doc_id")) & (F.col("text_key") == F.col("_c.text_key"))).alias("kept"))
 
 

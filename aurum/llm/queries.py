@@ -50,7 +50,7 @@ def op8_mix_sources(spark, sf_dir):
 
 @query("op9_ngram_join")
 def op9_ngram_join(spark, sf_dir):
-    return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query("op1_language_id")

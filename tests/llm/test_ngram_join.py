@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from aurum.llm import ngram_join as J
 from aurum.llm.ngram_sets import shingle_sets
@@ -77,6 +78,25 @@ def test_every_cut_is_exact(spark, monkeypatch):
     assert got(spark.createDataFrame(rows, SCHEMA).repartition(4)) == brute(rows)
 
 
+def links_of(rows):
+    sets = [shingles(t) for _, t in rows]
+    hit = lambda a, b: a and b and 100 * len(a & b) >= 75 * len(a | b)
+    return sorted(((d, sum(bool(hit(sets[i], b)) for j, b in enumerate(sets) if j != i)) for i, (d, _) in enumerate(rows)), key=str)
+
+
+@pytest.mark.parametrize("cells", [2000, 5])
+def test_links_agree_with_brute_force(spark, monkeypatch, cells):
+    """Within a block, across blocks, over tasks, with copies of both ends."""
+    monkeypatch.setattr(J, "CELLS", cells)
+    monkeypatch.setattr(J, "BLOCK", 256 if cells > 5 else 2)
+    docs = corpus(11)
+    rows = list(enumerate(docs)) + [(1000 + i, t) for i, t in enumerate(docs[:40:3])] + [(7, docs[7]), (None, docs[1]), (-1, ""), (-2, None), (-1, "")]
+    out = J.ngram_join(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    want = links_of(rows)
+    assert sorted(((r.doc_id, r.n_links) for r in out), key=str) == want
+    assert max(n for _, n in want) > 3
+
+
 def test_threshold_is_inclusive(spark):
     base = [f"a{i}" for i in range(11)]                       # 7 shingles
     near = base[:-1] + ["other"]                              # 6 shared of 8: exactly 75 %
