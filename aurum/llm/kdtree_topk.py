@@ -11,7 +11,8 @@ A box bounds every score inside it: sum_i max(q_i * lo_i, q_i * hi_i).  The sear
 is best-first over the frontier of boxes; a node is skipped when its bound is under
 the kth score found so far, or equal to it with no vec_id that would win the tie.
 The kth score travels: a query first searches the shard it lies in, then goes, with its kth score,
-only to the shards whose box can still beat it.  A last step merges each query's
+only to the shards whose box can still beat it.  A shard's queries are searched in blocks
+of about ``QUERY_ROWS``, each in a task with the shard's vectors.  A last step merges each query's
 best rows by (score, smaller vec_id).
 
 Vectors that are null or hold a null or non-finite component take no part.  Shorter
@@ -41,6 +42,12 @@ SHARD_ROWS = 8192
 #: At most so many shards (their boxes are shared with every task); then shards grow.
 MAX_SHARDS = 4096
 TOP_SAMPLE = 20_000
+#: Queries that meet a shard in one task, about; with more, the shard is sent to several tasks.
+QUERY_ROWS = 16_384
+#: Bounds (queries x nodes) that a search holds at a time ...
+BOUND_CELLS = 1 << 20
+#: ... and (queries x shards) that are sent on as one batch, at most (one query's at least).
+SENT_ROWS = 16_384
 _NO_ID = np.iinfo(np.int64).max
 _TOP = np.iinfo(np.int64)
 
@@ -117,9 +124,11 @@ class KdTree:
         """Per query its best (score, vec_id, row), at most k; ``kth`` is the (score,
         vec_id) that k rows found elsewhere already reach, or None."""
         q, v = exact(queries, self.v)
-        bound = self.bounds(queries)
-        for i in range(len(queries)):
-            yield self._best_first(q[i], v, bound[i], int(own[i]), kth[i], k)
+        step = max(1, BOUND_CELLS // len(self.span))
+        for a in range(0, len(queries), step):
+            bound = self.bounds(queries[a:a + step])
+            for i in range(a, min(a + step, len(queries))):
+                yield self._best_first(q[i], v, bound[i - a], int(own[i]), kth[i], k)
 
     def _best_first(self, q, v, bound, own: int, kth, k: int) -> list[tuple[int, int, int]]:
         best: list[tuple[int, int, int]] = []                  # (-score, vec_id, row), sorted
@@ -212,28 +221,29 @@ def _search_groups(dim: int, k: int):
     return run
 
 
-def _other_shards(boxes, dim: int):
-    """Sends a query, with its kth score, to the shards that can still beat it."""
+def _other_shards(boxes, dim: int, count: bool = False):
+    """Sends a query, with its kth score, to the shards that can still beat it; with
+    ``count``, says only how many queries each shard gets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, lo, hi = boxes.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bound = box_bounds(matrix(batch.column("e"), dim), lo, hi)
-            kth = batch.column("kth").to_pylist()
-            home = batch.column("shard").to_numpy()
-            rows, to = [], []
-            for i in range(len(bound)):
-                able = shard != home[i]
-                if kth[i] is not None:
-                    able &= bound[i] >= kth[i]
-                at = np.flatnonzero(able)
-                rows.append(np.full(len(at), i))
-                to.append(shard[at])
-            rows, to = np.concatenate(rows), np.concatenate(to)
-            sent = batch.take(pa.array(rows))
-            names = ["row", "vec_id", "e", "kth", "kth_id"]
-            yield pa.record_batch([*[sent.column(c) for c in names], pa.array(to, pa.int64())], names=[*names, "shard"])
+        total = np.zeros(len(shard), np.int64)
+        step = max(1, SENT_ROWS // max(1, len(shard)))
+        for whole in batches:
+            for a in range(0, whole.num_rows, step):
+                batch = whole.slice(a, step)
+                able = shard != batch.column("home").to_numpy()[:, None]
+                bound = box_bounds(matrix(batch.column("e"), dim), lo, hi)
+                for i, kth in enumerate(batch.column("kth").to_pylist()):
+                    if kth is not None:
+                        able[i] &= bound[i] >= kth
+                total += able.sum(axis=0)
+                rows, to = np.nonzero(able)
+                if len(rows) and not count:
+                    sent = batch.take(pa.array(rows))
+                    names = ["row", "vec_id", "e", "kth", "kth_id"]
+                    yield pa.record_batch([*[sent.column(c) for c in names], pa.array(shard[to], pa.int64())], names=[*names, "shard"])
+        if count:
+            yield pa.record_batch([pa.array(shard[total > 0], pa.int64()), pa.array(total[total > 0], pa.int64())], names=["shard", "n"])
     return run
 
 
@@ -274,15 +284,23 @@ def topk(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFra
     null = F.lit(None).cast("bigint")
     queries = vectors.filter(F.col("vec_id") % every == 0)
     search = _search_groups(dim, k)
-    by = lambda df: df.groupBy("shard")
-    first = written(by(vectors).cogroup(by(queries.withColumns({"kth": null, "kth_id": null})))
+    # at home a shard has no more queries than vectors
+    first = written(vectors.groupBy("shard").cogroup(queries.withColumns({"kth": null, "kth_id": null}).groupBy("shard"))
                     .applyInArrow(search, _HITS), "topk-first")
     worst = (first.groupBy("q_row").agg(F.count(F.lit(1)).alias("c"),
                                         F.max(F.struct((-F.col("score")).alias("s"), F.coalesce("vec_id", F.lit(_NO_ID)).alias("i"))).alias("w"))
                   .filter(F.col("c") == k).select(F.col("q_row").alias("row"), (-F.col("w.s")).alias("kth"), F.col("w.i").alias("kth_id")))
-    sent = queries.join(worst, "row", "left").mapInArrow(
+    asked = written(queries.withColumnRenamed("shard", "home").join(worst, "row", "left"), "topk-asked")
+    sizes = asked.mapInArrow(_other_shards(boxes, dim, count=True), "shard bigint, n bigint")
+    blocks = written(sizes.groupBy("shard").agg(F.ceil(F.sum("n") / F.lit(float(QUERY_ROWS))).cast("bigint").alias("blocks")),
+                     "topk-blocks")
+    blocks = F.broadcast(blocks)                                                           # one row per shard
+    sent = asked.mapInArrow(
         _other_shards(boxes, dim), "row bigint, vec_id bigint, e array<bigint>, kth bigint, kth_id bigint, shard bigint")
-    rest = by(vectors).cogroup(by(sent)).applyInArrow(search, _HITS)
+    sent = sent.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))).drop("blocks")
+    again = (vectors.join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+                    .drop("blocks"))
+    rest = again.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block")).applyInArrow(search, _HITS)
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
     return (first.unionByName(rest).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
                  .select("query_id", "rank", "vec_id", "score"))

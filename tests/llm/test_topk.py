@@ -58,3 +58,35 @@ def test_bounds_hold_and_boxes_are_tight():
         part = tree.v[a:b]
         assert (tree.lo[node] == part.min(axis=0)).all() and (tree.hi[node] == part.max(axis=0)).all()
         assert ((part @ q.T).max(axis=0) <= bound[:, node]).all()
+
+
+def test_queries_of_a_shard_come_in_bounded_blocks(spark, monkeypatch):
+    """Every vector is a query and the boxes exclude nothing: no task gets them all."""
+    monkeypatch.setattr(T, "SHARD_ROWS", 60)
+    monkeypatch.setattr(T, "QUERY_ROWS", 40, raising=False)
+    made = T._search_groups
+
+    def bounded(dim, k):
+        run = made(dim, k)
+
+        def one(vectors, queries):
+            assert queries.num_rows <= 100, queries.num_rows
+            return run(vectors, queries)
+        return one
+    monkeypatch.setattr(T, "_search_groups", bounded)
+    x = np.random.default_rng(5).normal(0, 0.3, (400, 16))
+    rows = [(50 * i, [float(v) for v in r], 0) for i, r in enumerate(x)]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_a_search_holds_bounds_of_few_queries(monkeypatch):
+    monkeypatch.setattr(T, "BOUND_CELLS", 64, raising=False)
+    v = np.random.default_rng(6).integers(-100, 100, (1500, 4))
+    tree, seen = T.KdTree(v, np.arange(1500), np.arange(1500)), []
+    real = tree.bounds
+    monkeypatch.setattr(tree, "bounds", lambda q: seen.append(len(q)) or real(q))
+    q = v[:200]
+    found = list(tree.search(q, np.arange(200), [None] * 200, 3))
+    assert max(seen) * len(tree.span) <= 64 and sum(seen) == 200
+    for i, best in enumerate(found):
+        assert [(-s, j) for s, j, _ in best] == [(s, j) for s, j in sorted(((int(v[j] @ q[i]), j) for j in range(1500) if j != i), key=lambda t: (-t[0], t[1]))[:3]]
