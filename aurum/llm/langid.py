@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aurum.llm.textarrays import bounded_batches, slices, text_buffers
-from aurum.llm.training import Sparse, fold, list_column, per_batch, row_sums
+from aurum.llm.training import Sparse, fold, list_column, one_per_id, per_batch, row_sums
 
 BITS = 15
 ORDERS = (2, 3, 4)
@@ -168,8 +168,9 @@ def train(x: Sparse, y: np.ndarray, langs: list[str], seed: int = 11) -> Languag
 
 
 def sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> DataFrame:
-    """Ids and languages to learn from: crc32 of the id modulo 3 is not 1."""
+    """Ids and languages to learn from, every id once: crc32 of the id modulo 3 is not 1."""
     able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 3) != 1))
+    able = able.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     rows = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(SAMPLE_PARTS)))
     # first within parts of a language, then within the language: no task sees a whole language
     for keys in (["lang", "part"], ["lang"]):
@@ -179,7 +180,8 @@ def sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> DataFrame:
 
 
 def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample(docs, per_lang)), "doc_id")   # bounded per language
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("_lang"), "text")
+    chosen = one_per_id(rows.join(F.broadcast(sample(docs, per_lang)), ["doc_id", "_lang"]), "_lang")   # bounded per language
 
     def counts(batch: pa.RecordBatch) -> pa.RecordBatch:
         index, value = [], []

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.llm.textarrays import Words, bounded_batches, release_memory, slices, text_buffers
-from aurum.llm.training import Sparse, first_by_hash, fold, list_column, per_batch, row_sums
+from aurum.llm.training import Sparse, first_by_hash, fold, list_column, one_per_id, per_batch, row_sums
 
 BITS = 18
 FACTORS = 8
@@ -146,7 +146,7 @@ def labelled(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> FactorizationMachine:
     """Trains on at most ``limit`` labelled documents; features are made on the executors."""
     ids = first_by_hash(labelled(labels), limit)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")          # at most ``limit`` ids
+    sample = one_per_id(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "toxic")     # at most ``limit`` rows
 
     def lists(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [index[a:b] for at, index in features(batch.column("text")) for a, b in zip(at[:-1], at[1:])]

@@ -27,6 +27,12 @@ def first_by_hash(rows: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     return rows.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 31)), key).limit(n)
 
 
+def one_per_id(rows: DataFrame, label: str) -> DataFrame:
+    """(doc_id, ``label``, text): one row per (doc_id, ``label``), the smallest by a hash of its text."""
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
+    return rows.groupBy("doc_id", label).agg(first).select("doc_id", label, F.col("first.text").alias("text"))
+
+
 class Sparse:
     """Rows of (index, value) pairs in flat arrays; ``at`` has rows + 1 offsets."""
 

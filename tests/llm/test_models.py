@@ -114,3 +114,15 @@ def test_margins_are_the_pairwise_sum(n):
     ix = rng.choice(1 << X.BITS, n, replace=False)
     want = 0.3 + sum(model.w[i] for i in ix) + sum(model.v[ix[a]] @ model.v[ix[b]] for a in range(n) for b in range(a))
     assert np.isclose(model.margins(ix, np.array([0, n]))[0], want)
+
+
+def test_samples_hold_for_one_id_on_many_rows(spark, monkeypatch):
+    """A third of all rows share an id; each sampled id is learnt from once."""
+    ids = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 3 != 1 and zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(i, f"some words {i} here", "en") for i in ids] + [(ids[0], f"copy {j} of it", "en") for j in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(L, "train", lambda x, y, langs: len(x))
+    monkeypatch.setattr(X, "train", lambda x, y: len(x))
+    assert L.fit(docs, per_lang=100) == len(ids) and L.fit(docs, per_lang=7) == 7
+    labels = docs.selectExpr("doc_id", "1 AS toxic")
+    assert X.fit(docs, labels, limit=100) == len(ids)
