@@ -151,16 +151,18 @@ def originals(pages: DataFrame) -> DataFrame:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded choice of payloads, the same on every run."""
-    able = pages.select("html", F.xxhash64("html").alias("h")).filter(F.length("html") > 0)
-    last = first_by_hash(able.select("h").distinct(), SAMPLE_RECORDS, "h")                # narrow rows only
+    able = (pages.select("html", F.xxhash64("html").alias("h"), F.octet_length("html").alias("n"))
+                 .filter(F.length("html") > 0))
+    last = first_by_hash(able.select("h", "n").distinct(), SAMPLE_RECORDS, "h")           # narrow rows only
     last = written(last, "warc-sample")
-    sample = able.join(F.broadcast(last), "h").dropDuplicates(["h"]).orderBy("h").select("html").toLocalIterator()
-    chosen, size = [], 0
-    for r in sample:
-        one = r.html.encode("utf-8")
-        if size + len(one) <= SAMPLE_BYTES:
-            chosen.append(one)
-            size += len(one)
+    keep, size = [], 0
+    for r in last.orderBy("h", "n").collect():                     # at most SAMPLE_RECORDS hashes and lengths
+        if size + r.n <= SAMPLE_BYTES:
+            keep.append(r.h)
+            size += r.n
+    last = last.filter(F.col("h").isin(keep) & (F.col("n") <= SAMPLE_BYTES))
+    sample = able.join(F.broadcast(last), ["h", "n"]).dropDuplicates(["h"]).orderBy("h").select("html").toLocalIterator()
+    chosen = [r.html.encode("utf-8") for r in sample]              # at most SAMPLE_BYTES
     if len(chosen) < 16 or size < 8 * 1024:
         return b""
     try:

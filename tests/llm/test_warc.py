@@ -65,3 +65,18 @@ def test_damage_is_noticed(spark):
         out.write(raw[:-9])
     with pytest.raises((ValueError, zstandard.ZstdError)):
         list(W.read_archive(folder, "cut.warc.zst"))
+
+
+def test_the_driver_gets_no_more_payload_than_the_sample_bound(spark, monkeypatch):
+    monkeypatch.setattr(W, "SAMPLE_BYTES", 30_000)
+    rows = [(i, "u", f"<p>page {i}</p>" + "some common words " * (5000 if i % 3 == 0 else 40), 0) for i in range(60)]
+    pages, got = spark.createDataFrame(rows, SCHEMA), []
+    real = type(pages).toLocalIterator
+
+    def counted(self, *args, **kw):
+        for r in real(self, *args, **kw):
+            got.append(len(r.html.encode()))
+            yield r
+    monkeypatch.setattr(type(pages), "toLocalIterator", counted)
+    assert W.train_dictionary(pages)
+    assert 16 <= len(got) and sum(got) <= 30_000
