@@ -14,6 +14,8 @@ from aurum.llm.kdtree_topk import topk
 from aurum.llm.langid import identify
 from aurum.llm.mixing import mix
 from aurum.llm.ngram_join import ngram_join
+from aurum.llm.oracle_quality import quality_sql
+from aurum.llm.quality_rules import quality
 from aurum.llm.session_tables import table
 from aurum.llm.token_store import store_round_trip
 from aurum.llm.toxicity import toxicity
@@ -83,6 +85,12 @@ def op7_warc(spark, sf_dir):
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op11_quality_rules", quality_sql())
+def op11_quality_rules(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
