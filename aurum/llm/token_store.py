@@ -21,17 +21,24 @@ rows Spark commits once per successful task, belong to the store, so retries and
 lost executors leave at most unused files.  Files go through pyarrow's file systems
 to the shared folder.
 
-The library is asked once per distinct space-delimited chunk and batch; the
-tokenizer's normalizer and pretokenizer never join text across a space, so
-whole texts get the ids that the library gives for them.  Null texts are empty.
+The library is asked once per distinct piece and slice of a batch; the tokenizer's
+normalizer and pre-tokenizer never join text across a space, so whole texts get the ids
+that the library gives for them.
+
+Null and empty texts have the end id only.  A very long text is encoded alone and may fill a
+shard of its own.  Rows that repeat a doc_id (or have none) lie in the order of a hash of
+their texts, spread over as many tasks as it takes; equal rows are stored as often as they
+come.  An empty table makes an empty store.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,13 +50,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aurum.llm.session_tables import written
+from aurum.llm.textarrays import slices, text_buffers
 from aurum.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 4_000_000
 SKIP = 256
-KEPT_CHUNKS = 500_000
+#: Remembered chunks: at most so many characters each, and about so many bytes a worker.
+KEPT_CHARS, KEPT_BYTES, ENTRY_BYTES = 48, 96 << 20, 220
+_LETTERS, _DIGITS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\\x09-\\x0d\\x20\\x85\\xa0"
+#: The tokenizer's pre-tokenizer on lower-cased Latin-1 text.
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACES}{_LETTERS}{_DIGITS}]+")
+#: New words that go to the library at a time; bytes of texts that are encoded at a time.
+ASKED, SLICE = 2000, 4 << 20
 _HEAD = struct.Struct("<4sHHQQQqQQ")
 _MAGIC = b"AUTK"
 
@@ -113,7 +127,14 @@ class EliasFano:
 
 # ------------------------------------------------------------ tokenizer
 class ChunkEncoder:
-    """Ids of whole texts by the tokenizers library, remembered per chunk."""
+    """Ids of whole texts by the tokenizers library, remembered per piece.
+
+    A text of Latin-1 characters is cut into the pieces of the tokenizer's own pre-tokenizer
+    (``PIECE``); lower-casing and normalising change nothing else about it.  Any other text is cut at
+    its spaces.  New words of Latin-1 letters go to the library as one text, whose ids are cut
+    after the tokens that end a word; everything else is asked for on its own.  Remembered
+    pieces are short and counted in bytes, in two generations; the older one is dropped when the
+    younger is full."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -121,33 +142,66 @@ class ChunkEncoder:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.width = np.dtype("<u2" if self.lib.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {"": b""}
-
-    def _plain(self, text: str) -> str:
-        """Lower-cased where that is what the tokenizer's normalizer does in any case."""
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-        return text.lower()
+        vocabulary = self.lib.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def _cut(self, text: str) -> list[str]:
+        if "<|" not in text and _latin(text):
+            return PIECE.findall(text.lower())
+        return text.replace("\n", " ").split(" ")
+
+    def _keep(self, made: dict[str, bytes]) -> None:
+        short = {c: ids for c, ids in made.items() if len(c) <= KEPT_CHARS}
+        self.held += sum(ENTRY_BYTES + 2 * len(c) + len(ids) for c, ids in short.items())
+        self.young.update(short)
+        if self.held >= KEPT_BYTES // 2:
+            self.young, self.old, self.held = {}, self.young, 0
+
+    def _ask(self, pieces: list[str]) -> list[bytes]:
+        return [array(self.width.char, e.ids).tobytes() for e in self.lib.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin-1 letters, asked for as one text."""
+        ids = np.array(self.lib.encode(" ".join(words), add_special_tokens=False).ids, self.width)
+        cut = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width.itemsize).tolist()
+        if len(cut) != len(words):                           # a word end outside the vocabulary
+            return self._ask(words)
+        blob = ids.tobytes()
+        return [blob[x:y] for x, y in zip([0, *cut], cut)]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        cut = [(t if "<|" in t else self._plain(t)).replace("\n", " ").split(" ") for t in texts]
-        kept = self.kept
-        if len(kept) >= KEPT_CHUNKS:
-            kept.clear()
-            kept[""] = b""
-        new = {c for cs in cut for c in cs if c not in kept}
-        stems = {}
-        for c in new:                                        # letters and a final mark are pieces of their own
-            stems[c] = (c[:-1], c[-1]) if c[-1] in ".,!?" and c[-2:-1].isalpha() and c[:-1].isalpha() else (c,)
-        ask = list({p for ps in stems.values() for p in ps if p not in kept})
-        for p, e in zip(ask, self.lib.encode_batch_fast(ask, add_special_tokens=False)):
-            kept[p] = np.array(e.ids, self.width).tobytes()
-        for c, ps in stems.items():
-            if len(ps) > 1:
-                kept[c] = b"".join([kept[p] for p in ps])
-        return [b"".join([kept[c] for c in cs]) for cs in cut]
+        cut = [self._cut(t) for t in texts]
+        need = set().union(*cut)
+        need.discard("")
+        of = {"": b""}
+        for kept in (self.young, self.old):
+            hit = need & kept.keys()
+            found = dict(zip(hit, map(kept.__getitem__, hit)))
+            need -= hit
+            of |= found
+        if self.old:
+            self._keep(found)                                # those of the older generation
+        new = sorted(need)
+        words = [c for c in new if c.isalpha() and _latin(c)]
+        others = need.difference(words)
+        for ask, encode in ((words, self._words), (sorted(others), self._ask)):
+            for lo in range(0, len(ask), ASKED):
+                some = ask[lo:lo + ASKED]
+                made = dict(zip(some, encode(some)))
+                of |= made
+                self._keep(made)
+        return [b"".join(map(of.__getitem__, cs)) for cs in cut]
+
+
+def _latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 @functools.lru_cache(2)
@@ -237,9 +291,9 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None, end_id: i
         out, rows = ShardWriter(folder, TaskContext.get().partitionId(), enc.width, shard_tokens), []
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for lo in range(0, len(ids), 256):
-                made = enc.encode_all([t or "" for t in texts.slice(lo, 256).to_pylist()])
-                for d, b in zip(ids[lo:lo + 256], made):
+            for lo, hi in slices(text_buffers(texts)[0], SLICE):
+                made = enc.encode_all([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
+                for d, b in zip(ids[lo:hi], made):
                     out.add(d, b + end)
                     if out.tokens >= shard_tokens:
                         rows += out.flush()
@@ -247,9 +301,10 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None, end_id: i
         if rows:
             yield pa.record_batch([pa.array(c) for c in zip(*rows)], names=["part", "serial", "file", "n_docs", "n_tokens"])
 
-    ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-                   .repartitionByRange(F.col("doc_id").asc_nulls_first())
-                   .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text")))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("row")]
+    ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("tie"),
+                           F.monotonically_increasing_id().alias("row"))
+                   .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text"))
     return written(ordered.mapInArrow(write, "part bigint, serial bigint, file string, n_docs bigint, n_tokens bigint"),
                    "token-manifest")
 

@@ -42,6 +42,45 @@ def test_chunks_get_the_ids_of_whole_texts(lib):
     assert made == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_marks_behind_letters_that_grow_when_lowered(lib):
+    enc = S.ChunkEncoder(public_tokenizers.path(S.VOCABULARY))
+    texts = [a + b + c for a in ["TEKNOLOJİ", "İ", "aİ", "ÉCOLE", "Straße", "x", "ΑΣ", "µ", "ª", "don't", "é1", ""]
+             for b in [".", ",", "!", "?", "?!.", "###", "$%&", "'s", ";:", "*", "|", "<|"] for c in ["", " ile", "\u0301", "z"]]
+    made = [np.frombuffer(b, enc.width).tolist() for b in enc.encode_all(texts)]
+    assert made == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_random_strings(lib):
+    enc, rnd = S.ChunkEncoder(public_tokenizers.path(S.VOCABULARY)), random.Random(11)
+    parts = PARTS + [".", ",", "!", "?", "#", "&", "ß", "ÿ", "ŀ", "ǆ", "ﬁ", "K", "ı", "don't", "É.", "\xad"]
+    for _ in range(10):
+        texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 9))) for _ in range(5000)]
+        made = [np.frombuffer(b, enc.width).tolist() for b in enc.encode_all(texts)]
+        assert made == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_memory_of_chunks_is_bounded_in_bytes(lib, monkeypatch):
+    monkeypatch.setattr(S, "KEPT_BYTES", 20_000)
+    enc, rnd = S.ChunkEncoder(public_tokenizers.path(S.VOCABULARY)), random.Random(5)
+    free_of_spaces = ["".join(rnd.choice("日本語文字列") for _ in range(3000)) for _ in range(3)]
+    texts = free_of_spaces + [" ".join(f"{rnd.randrange(5000)}ab{'c' * rnd.randrange(5)}" for _ in range(300)) for _ in range(20)]
+    for t in texts + texts:
+        assert np.frombuffer(enc.encode_all([t])[0], enc.width).tolist() == lib.encode(t, add_special_tokens=False).ids
+        assert all(len(c) <= S.KEPT_CHARS for d in (enc.young, enc.old) for c in d)
+        assert sum(S.ENTRY_BYTES + 2 * len(c) + len(i) for d in (enc.young, enc.old) for c, i in d.items()) <= 21_000
+
+
+def test_hot_id_long_text_and_no_id(spark, lib):
+    long = "Long words, and more. " * 40_000
+    rows = [(7, f"t{i % 50} x") for i in range(600)] + [(None, "none here")] * 300 + [(8, long), (9, "end")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = S.store_round_trip(df).orderBy("start").collect()
+    assert [r.doc_id for r in out] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d))
+    assert [r.start for r in out] == np.concatenate(([0], np.cumsum([r.n_tokens for r in out])[:-1])).tolist()
+    crc = {t: zlib.crc32(np.array(lib.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes()) for _, t in rows}
+    assert sorted(r.ids_crc32 for r in out) == sorted(crc[t] for _, t in rows)
+
+
 def test_round_trip_of_the_given_table(spark, lib):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows, at = {r.doc_id: r for r in S.store_round_trip(docs).collect()}, 0
