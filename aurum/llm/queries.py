@@ -12,9 +12,12 @@ from aurum.llm.bpe import bpe_round_trip
 from aurum.llm.exact_dedup import exact_dedup
 from aurum.llm.kdtree_topk import topk
 from aurum.llm.langid import identify
+from aurum.llm.merkle import audit
 from aurum.llm.mixing import mix
 from aurum.llm.ngram_join import ngram_join
 from aurum.llm.oracle_quality import quality_sql
+from aurum.llm.oracle_trees import MERKLE, TRIE
+from aurum.llm.prefix_trie import prefix_trie
 from aurum.llm.quality_rules import quality
 from aurum.llm.session_tables import table
 from aurum.llm.token_store import store_round_trip
@@ -91,6 +94,16 @@ def op11_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op12_merkle_manifest", MERKLE)
+def op12_merkle_manifest(spark, sf_dir):
+    return audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", TRIE)
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
