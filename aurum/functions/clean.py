@@ -37,7 +37,7 @@ def blank_to_null(c, *sentinels: str) -> Column:
 
 
 def strip_thousands(c) -> Column:
-    """'1,015' -> '1015' so a numeric cast can succeed."""
+    """Digits without their group separators ('27,450' -> '27450'), so that a numeric cast can succeed."""
     return F.replace(_c(c), F.lit(","), F.lit(""))
 
 
@@ -121,6 +121,12 @@ def file_basename(c) -> Column:
 _END = "end-of-value"
 
 
+def once(c) -> Column:
+    """The value as a generated column, computed once per row: the optimizer neither copies the
+    expression into every projection that names it nor pushes a filter on it below."""
+    return F.explode(F.array(_c(c)))
+
+
 def one_json_value(c) -> Column:
     """The text parsed as the first element of ``[text, end mark]``, as a VARIANT.
 

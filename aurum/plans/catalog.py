@@ -24,6 +24,8 @@ from aurum.session import materialize, scratch_path
 from aurum.sources import adapters as A
 from aurum.sources import landing as L
 from aurum.sources import store
+from aurum.sources.json_arrays import land_json_arrays
+from aurum.sources.ranges import numbered_lines, quoted_cells, quoted_records
 from aurum.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -837,9 +839,7 @@ def json_lines_landing(spark, sf):
         .write.mode("overwrite").text(path)
     lines = L.read_lines(spark, path).select(F.col("_metadata.file_name").alias("_file"),
                                              L.record_number().alias("_line_no"), "_raw")
-    ok = feeds.app_events(lines).agg(F.count(F.lit(1)).alias("n")).select(F.lit("events").alias("part"), "n")
-    bad = feeds.app_log_quarantine(lines).agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("part"), "n")
-    return ok.unionByName(bad)
+    return feeds.log_counts(lines)
 
 
 # ------------------------------------------------------------ end to end
@@ -903,13 +903,40 @@ def multi_file_landing(spark, sf):
 @query("csv_corrupt_kept")
 def csv_corrupt_kept(spark, sf):
     """Lines with one cell too many (an unquoted separator in the key) keep their landed text."""
-    path = scratch_path(spark, "landing") + "/nations_csv"
-    n = _t(spark, sf).nation
-    key = F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("1,"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0"))) \
-           .otherwise(F.col("n_nationkey").cast("string"))
-    line = F.concat_ws(",", key, F.col("n_name"), F.col("n_regionkey").cast("string"))
-    n.select(line.alias("value")).write.text(path)
-    return L.read_csv_strings(spark, path, ["key", "name", "region"], header=False)
+    path = scratch_path(spark, "landing") + "/orders_csv"
+    o = _t(spark, sf).orders
+    key = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("1,"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))) \
+           .otherwise(F.col("o_orderkey").cast("string"))
+    line = F.concat_ws(",", key, F.col("o_orderpriority"), F.col("o_custkey").cast("string"))
+    o.select(line.alias("value")).write.text(path)
+    return L.read_csv_strings(spark, path, ["key", "priority", "customer"], header=False)
+
+
+@query("quoted_csv_landing")
+def quoted_csv_landing(spark, sf):
+    """Documents as CSV with quoted line feeds, read by byte ranges: as many tasks as the files
+    have splits, every record whole, and records counted from each file's start."""
+    path = scratch_path(spark, "landing") + "/documents_csv"
+    cols = ["doc_id", "source", "text", "lang"]
+    docs = _t(spark, sf).documents.select(*cols)
+    docs.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    cells = quoted_cells(quoted_records(spark, path), "doc_id string, source string, text string, lang string")
+    return cells.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "source", "lang",
+                        F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
+                        F.col("_corrupt_record").isNotNull().alias("ragged"))
+
+
+@query("line_numbers")
+def line_numbers(spark, sf):
+    """Turns written as text files, landed with dense numbers per file: per file the numbers
+    are 0 to n - 1 and their order is the order of the file."""
+    path = scratch_path(spark, "landing") + "/turns"
+    turns = _t(spark, sf).conversations.select("conv_id", "turn")
+    part = F.pmod(F.col("conv_id"), F.lit(7))
+    lines = turns.withColumn("feed", part).repartition(7, "feed").sortWithinPartitions("feed", "conv_id", "turn")
+    lines.select("feed", F.concat_ws(" ", "conv_id", "turn").alias("value")).write.partitionBy("feed").text(path)
+    landed = numbered_lines(spark, path).withColumn("feed", F.regexp_extract("_file", "feed=([0-9]+)", 1).cast("int"))
+    return landed.select("feed", "_line_no", "_raw")
 
 
 @query("json_array_documents")
@@ -918,7 +945,35 @@ def json_array_documents(spark, sf):
     typed, and described; dates come in three shapes and some in none."""
     path = scratch_path(spark, "landing") + "/documents_json"
     feeds.document_arrays(_t(spark, sf).documents, 50).write.text(path)
-    return feeds.typed_documents(L.read_json_arrays(spark, path), DATE_FORMATS)
+    typed = feeds.typed_documents(land_json_arrays(spark, path), DATE_FORMATS)
+    return typed.drop("_file", "_line_no", "_element_no")
+
+
+def _damaged_landing(spark, sf):
+    path = scratch_path(spark, "landing") + "/damaged_json"
+    feeds.damaged_arrays(_t(spark, sf).documents, 50).write.text(path)
+    return land_json_arrays(spark, path)
+
+
+@query("json_array_recovery")
+def json_array_recovery(spark, sf):
+    """Arrays with broken elements, missing brackets and stray lines: whole elements are typed,
+    the others are kept under a reason; no element takes its neighbours with it."""
+    landed = materialize(_damaged_landing(spark, sf))
+    good = feeds.typed_documents(landed, DATE_FORMATS).drop("_file", "_line_no", "_element_no")
+    bad = landed.filter(F.col("_reject_reason").isNotNull()).select("_reject_reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@query("json_array_conservation")
+def json_array_conservation(spark, sf):
+    """Elements written = elements accepted + elements and lines quarantined."""
+    landed = materialize(_damaged_landing(spark, sf))
+    docs = _t(spark, sf).documents.select(F.col("doc_id"))
+    chunks = docs.select(F.floor(F.col("doc_id") / F.lit(50)).alias("c")).distinct().filter(F.pmod("c", F.lit(13)) == feeds.STRAY)
+    written = docs.select(F.lit(1).alias("one")).unionByName(chunks.select(F.lit(1).alias("one")))
+    sound = F.col("_reject_reason").isNull()
+    return _conservation(written, landed.filter(sound), landed.filter(~sound))
 
 
 @query("document_profile")

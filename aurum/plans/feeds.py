@@ -15,15 +15,15 @@ from aurum.functions import clean as C
 R_NOT_JSON = "not valid json"
 
 
-def app_events(lines: DataFrame) -> DataFrame:
-    """Valid JSON lines -> typed events.
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Log lines with ``_v``, the one parse of each (a VARIANT), from which validity and every
+    field are read."""
+    return lines.select("_file", "_line_no", "_raw", C.once(C.one_json_value("_raw")).alias("_v"))
 
-    Each line is parsed once into a VARIANT; validity and every field come
-    from that one parse (path lookups on the binary value, tolerant casts),
-    instead of re-parsing the text once per field.
-    """
-    parsed = lines.select("_file", "_line_no", C.one_json_value("_raw").alias("_v"))
-    ok = parsed.filter(C.is_one_value("_v"))
+
+def app_events(lines: DataFrame) -> DataFrame:
+    """Valid JSON lines -> typed events (path lookups on the binary value, tolerant casts)."""
+    ok = parsed_lines(lines).filter(C.is_one_value("_v"))
     v = F.col("_v")
     return ok.select("_file", "_line_no",
                      C.parse_iso_timestamp(C.variant_field(v, "$[0].ts", "string")).alias("event_at"),
@@ -35,8 +35,15 @@ def app_events(lines: DataFrame) -> DataFrame:
 
 
 def app_log_quarantine(lines: DataFrame) -> DataFrame:
-    return (lines.filter(~C.json_valid(F.col("_raw")))
-                 .select("_file", "_line_no", "_raw", F.lit(R_NOT_JSON).alias("_reject_reason")))
+    bad = parsed_lines(lines).filter(~C.is_one_value("_v"))
+    return bad.select("_file", "_line_no", "_raw", F.lit(R_NOT_JSON).alias("_reject_reason"))
+
+
+def log_counts(lines: DataFrame) -> DataFrame:
+    """Lines per verdict, from one pass."""
+    ok = C.is_one_value("_v")
+    return (parsed_lines(lines).groupBy(F.when(ok, "events").otherwise("quarantine").alias("part"))
+                               .agg(F.count(F.lit(1)).alias("n")))
 
 
 def describe_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,22 +72,56 @@ def text_profile(docs: DataFrame, labels: DataFrame, runaway_chars: int = 10000)
     )
 
 
-def document_arrays(docs: DataFrame, size: int) -> DataFrame:
-    """Documents as the delivering system writes them: JSON arrays of ``size`` ids' documents,
-    one array per line.  By id modulo 4 the date has one of three shapes or none of them."""
+def _document_items(docs: DataFrame, size: int) -> DataFrame:
+    """(chunk, doc_id, j): a document's JSON text and the array it is delivered in; documents
+    without an id are spread by their text.  By id modulo 4 the date has one of three shapes
+    or none of them."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(366)).cast("int"))
     k = F.pmod(F.col("doc_id"), F.lit(4))
     submitted = (F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "M/d/yyyy"))
                   .when(k == 2, F.date_format(day, "dd-MM-yyyy")).otherwise(F.date_format(day, "yyyy.MM.dd")))
     rating = F.when(F.pmod(F.col("doc_id"), F.lit(7)) != 0, F.pmod(F.col("doc_id"), F.lit(5)) + 1)
     item = F.struct(F.col("doc_id").alias("id"), rating.alias("rating"), submitted.alias("submitted"), F.col("text").alias("body"))
-    return (docs.groupBy(F.floor(F.col("doc_id") / F.lit(size)).alias("chunk"))
-                .agg(F.to_json(F.collect_list(item)).alias("value")).select("value"))
+    chunk = F.coalesce(F.floor(F.col("doc_id") / F.lit(size)), F.xxhash64("text"))
+    return docs.select(chunk.alias("chunk"), "doc_id", F.to_json(item).alias("j"))
+
+
+def _joined(items: DataFrame) -> DataFrame:
+    arrays = items.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("doc_id", "j"))).alias("a"))
+    return arrays.select("chunk", F.concat(F.lit("["), F.array_join("a.j", ","), F.lit("]")).alias("value"))
+
+
+def document_arrays(docs: DataFrame, size: int) -> DataFrame:
+    """Documents as the delivering system writes them: JSON arrays of ``size`` ids' documents,
+    one array per line."""
+    return _joined(_document_items(docs, size)).select("value")
+
+
+#: Damage by id modulo 17, by array modulo 11 and 13 (``damaged_arrays``).
+NO_BRACE, NO_QUOTE, NO_JSON, NO_BRACKET, STRAY = 3, 5, 7, 4, 6
+
+
+def damaged_arrays(docs: DataFrame, size: int) -> DataFrame:
+    """``document_arrays`` as a failing system writes them: elements without their closing brace or
+    the quote before the body, elements that are no JSON, arrays without the closing
+    bracket, and lines of other text."""
+    k = F.coalesce(F.pmod(F.col("doc_id"), F.lit(17)), F.lit(-1))
+    j = F.col("j")
+    hurt = (F.when(k == NO_BRACE, F.expr("substring(j, 1, length(j) - 1)"))
+             .when(k == NO_QUOTE, F.replace(j, F.lit('"body":"'), F.lit('"body":')))
+             .when(k == NO_JSON, F.lit("<html>")).otherwise(j))
+    arrays = _joined(_document_items(docs, size).withColumn("j", hurt))
+    cut = F.when(F.pmod("chunk", F.lit(11)) == NO_BRACKET, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    stray = arrays.filter(F.pmod("chunk", F.lit(13)) == STRAY).select(F.lit("service unavailable").alias("value"))
+    return arrays.select(cut.alias("value")).unionByName(stray)
 
 
-def typed_documents(raw: DataFrame, formats: list[str]) -> DataFrame:
-    v = raw.select(F.try_parse_json("_raw").alias("v"))
+def typed_documents(elements: DataFrame, formats: list[str]) -> DataFrame:
+    """Accepted elements (``land_json_arrays``) as typed documents that know where they came from."""
+    accepted = elements.filter(F.col("_reject_reason").isNull())
+    v = accepted.select("_file", "_line_no", "_element_no", C.once(F.try_parse_json("_raw")).alias("v"))
     body = C.variant_field("v", "$.body", "string")
-    return v.select(C.variant_field("v", "$.id", "bigint").alias("doc_id"), C.variant_field("v", "$.rating", "int").alias("rating"),
+    return v.select("_file", "_line_no", "_element_no",
+                    C.variant_field("v", "$.id", "bigint").alias("doc_id"), C.variant_field("v", "$.rating", "int").alias("rating"),
                     C.parse_date_any(C.variant_field("v", "$.submitted", "string"), formats).alias("submitted_on"),
                     C.char_count(body).alias("body_chars"), C.word_count(body).alias("body_words"))

@@ -99,7 +99,8 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str], header:
 
     PERMISSIVE pads short rows with NULL and, for rows that do not fit, keeps
     the raw line in ``_corrupt_record``.  ``multiline`` (quoted newlines)
-    makes a file unsplittable: one task per file, so only for small files.
+    makes a file unsplittable: one task per file, so only for small files; large
+    ones are read by ``ranges.quoted_records``.
     """
     return (spark.read
             .schema(string_schema(columns, "_corrupt_record"))
@@ -121,16 +122,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     """A JSON *array* document: one row per element, element kept as text.
 
-    A whole-file read is one task per file; large feeds should arrive as
-    JSON lines (``read_lines``), which split.
+    A whole-file read is one task per file; large feeds should arrive as JSON lines or as one
+    array per line (``json_arrays.land_json_arrays``), which split.
     """
     doc = spark.read.text(path, wholetext=True)
     return doc.select(F.explode(F.from_json("value", "array<variant>")).alias("j")) \
               .select(F.to_json("j").alias("_raw"))
-
-
-def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array per *line*: one row per element.  Lines split over tasks, so
-    the files may be of any size."""
-    return spark.read.text(path).select(F.explode(F.from_json("value", "array<variant>")).alias("j")) \
-                .select(F.to_json("j").alias("_raw"))
