@@ -81,10 +81,26 @@ def read_latest(spark: SparkSession, root: str, layer: str, name: str) -> DataFr
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Idempotent reload: replace the table with exactly what is on disk now."""
+    """Idempotent reload of a scratch folder.  The old files go first, so a table that others
+    read is reloaded by ``write_version`` or ``reload_partitions`` instead."""
     df.write.mode("overwrite").parquet(path)
 
 
+def reload_partitions(df: DataFrame, path: str, by: list[str]) -> int:
+    """Replace exactly the partitions of the table at ``path`` that ``df`` has rows of; returns
+    the rows written.
+
+    Rows are rebalanced by the partition columns (AQE splits a large partition over tasks and
+    joins small ones).  Spark's dynamic overwrite stages the files and swaps partitions
+    in when all tasks have succeeded: files of other partitions are not touched, a failed
+    write changes nothing, and the same rows written again give the same table.
+    """
+    seen = Observation()
+    out = df.hint("rebalance", *by).observe(seen, F.count(F.lit(1)).alias("n"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    return int(seen.get["n"])
+
+
 def compact(spark: SparkSession, root: str, layer: str, name: str,
             target_bytes: int = TARGET_FILE_BYTES) -> dict:
     """Rewrite the newest version into files of about ``target_bytes`` as a new version.
