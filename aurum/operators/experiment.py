@@ -8,6 +8,7 @@ any partitioning (``randomSplit`` is not).
 from __future__ import annotations
 
 import datetime
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -75,34 +76,83 @@ def regression_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "
                       round_half_up(F.lit(1.0) - F.col("_sse") / F.nullif(sst, F.lit(0.0)), digits).alias("r2"))
 
 
-def score(s: DataFrame, features: list[str], params: dict | None = None) -> dict:
-    """Fit on the train part of a split frame, evaluate on the test part; returns metrics."""
-    model = fit_gbt(s.filter(F.col("split") == "train"), features, params)
-    m = regression_metrics(model.transform(s.filter(F.col("split") == "test"))).first()
-    return {"n_test": m.n_test, "mae": m.mae, "r2": m.r2}
-
-
-def fits(work: list[tuple[DataFrame, list[str]]], params: dict | None = None) -> list[dict]:
-    """Scores of several (frame, features) pairs.  Boosting rounds are sequential and
-    each is a short job, so independent fits run side by side and fill the cluster."""
-    with ThreadPoolExecutor(max_workers=len(work)) as pool:
-        return list(pool.map(lambda w: score(*w, params), work))
+def paired_errors(frame: DataFrame, base: list[str], added: list[str], params: dict | None = None) -> DataFrame:
+    """The test rows with the absolute errors of two models, fitted side by side on the train rows:
+    ``_base`` without and ``_added`` with the added features."""
+    train, test = (frame.filter(F.col("split") == part) for part in ("train", "test"))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        models = list(pool.map(lambda cols: fit_gbt(train, cols, params), (base, base + added)))
+    for model, name in zip(models, ("_base", "_added")):
+        test = model.transform(test).withColumn(name, F.abs(F.col(TARGET) - F.col("prediction"))) \
+                    .withColumnRenamed("prediction", f"{name}_prediction").drop("_features")
+    return test
 
 
 def feature_lift(frame: DataFrame, base: list[str], added: list[str], keys: list[str],
                  params: dict | None = None, threshold_pct: float = LIFT_THRESHOLD_PCT) -> DataFrame:
-    """Lift % of test MAE from adding features; KEEP at >= threshold, else CUT."""
+    """Lift % of test MAE from adding features, with its bootstrap interval; KEEP only if the whole
+    interval reaches the threshold, so a verdict does not rest on noise.  No test rows: CUT."""
     cc = materialize(hash_split(complete_cases(frame, added), keys))
-    b, w = fits([(cc, base), (cc, base + added)], params)
-    if b["mae"] and w["mae"] is not None:
-        lift = 100.0 * (b["mae"] - w["mae"]) / b["mae"]
-    else:                                   # no test rows: no evidence, no feature
-        lift = 0.0
-    verdict = "KEEP" if lift >= threshold_pct else "CUT"
+    test = materialize(paired_errors(cc, base, added, params))
+    b, w = (regression_metrics(test, prediction=f"{n}_prediction").first() for n in ("_base", "_added"))
+    i = lift_interval(test, list(keys), "_base", "_added", threshold_pct).first()
     return frame.sparkSession.createDataFrame(
-        [(b["n_test"], b["mae"], b["r2"], w["mae"], w["r2"], float(lift), threshold_pct, verdict)],
+        [(b.n_test, b.mae, b.r2, w.mae, w.r2, i.lift_pct, i.lift_low, i.lift_high, threshold_pct, i.verdict)],
         "n_test long, mae_base double, r2_base double, mae_with double, r2_with double, "
-        "lift_pct double, threshold_pct double, verdict string")
+        "lift_pct double, lift_low double, lift_high double, threshold_pct double, verdict string")
+
+
+# ---- bootstrap of the lift ----
+REPLICATES = 200
+INTERVAL = 0.95
+#: 2 ** 32 times the Poisson(1) distribution function at 0, 1, 2, ...
+POISSON_STEPS = [round(2 ** 32 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(12)]
+
+
+def lift_replicates(errors: DataFrame, keys: list[str], base: str, added: str, replicates: int = REPLICATES,
+                    seed: int = 7) -> DataFrame:
+    """(replicate, lift_pct): the lift of mean absolute error in paired bootstrap samples.
+
+    Every row stands in a replicate as often as a Poisson(1) number that its key's hash gives: the
+    sample is the same on any partitioning or engine, and all replicates come from one
+    pass with a partial aggregate of ``replicates`` rows per task.  ``base`` and ``added``
+    are the absolute errors without and with the added features; they are summed as
+    whole millionths, so the sums are exact."""
+    whole = lambda c: F.floor(F.col(c) * F.lit(1e6) + F.lit(0.5)).cast("bigint")
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    rows = errors.select(text.alias("t"), whole(base).alias("b"), whole(added).alias("a"))
+    rows = rows.filter("b IS NOT NULL AND a IS NOT NULL")
+    four = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1))).alias("g"))
+    four = four.select("b", "a", "g", F.md5(F.concat_ws("|", F.col("t"), F.col("g").cast("string"))).alias("h"))
+    each = four.select("b", "a", "g", "h", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("i"))
+    u = F.conv(F.substring(F.col("h"), 8 * F.col("i") + 1, F.lit(8)), 16, 10).cast("bigint")
+    w = sum((F.when(F.col("u") >= F.lit(s), 1).otherwise(0) for s in POISSON_STEPS[1:]), F.when(F.col("u") >= F.lit(POISSON_STEPS[0]), 1).otherwise(0))
+    each = each.select("b", "a", (4 * F.col("g") + F.col("i")).alias("replicate"), u.alias("u")).filter(F.col("replicate") < replicates)
+    total = each.select("replicate", "b", "a", w.alias("w")).groupBy("replicate").agg(
+        F.sum(F.col("w") * F.col("b")).alias("b"), F.sum(F.col("w") * F.col("a")).alias("a"))
+    return total.select("replicate", (F.lit(100.0) * (F.col("b") - F.col("a")) / F.nullif(F.col("b"), F.lit(0).cast("bigint"))).alias("lift_pct"))
+
+
+def lift_interval(errors: DataFrame, keys: list[str], base: str, added: str, threshold_pct: float = LIFT_THRESHOLD_PCT,
+                  replicates: int = REPLICATES, seed: int = 7) -> DataFrame:
+    """One row: the lift, its bootstrap interval and the verdict.
+
+    KEEP only if the whole interval reaches the threshold; ``holds_zero`` says whether no
+    effect at all is among the values it holds."""
+    whole = lambda c: F.floor(F.col(c) * F.lit(1e6) + F.lit(0.5)).cast("bigint")
+    one = errors.select(whole(base).alias("b"), whole(added).alias("a")).filter("b IS NOT NULL AND a IS NOT NULL").agg(
+        F.count(F.lit(1)).alias("n_test"), F.sum("b").alias("b"), F.sum("a").alias("a"))
+    one = one.select("n_test", (F.lit(100.0) * (F.col("b") - F.col("a")) / F.nullif(F.col("b"), F.lit(0).cast("bigint"))).alias("lift_pct"))
+    drop = int(replicates * (1 - INTERVAL) / 2)
+    lifts = lift_replicates(errors, keys, base, added, replicates, seed).agg(F.sort_array(F.collect_list("lift_pct")).alias("l"))
+    ends = lifts.select(F.get("l", F.lit(drop)).alias("lift_low"), F.get("l", F.size("l") - 1 - drop).alias("lift_high"))
+    row, end = one.first(), ends.first()                      # one row each
+    low, high = end.lift_low, end.lift_high
+    known = row.lift_pct is not None and low is not None
+    return errors.sparkSession.createDataFrame(
+        [(row.n_test, row.lift_pct, low, high, threshold_pct, "KEEP" if known and low >= threshold_pct else "CUT",
+          known and low <= 0 <= high)],
+        "n_test long, lift_pct double, lift_low double, lift_high double, threshold_pct double, verdict string, holds_zero boolean")
 
 
 def inject_effect(df: DataFrame, strength: float, noise_seed: int | None = None,
@@ -152,14 +202,20 @@ def apparatus_check(frame: DataFrame, base: list[str], added: list[str], keys: l
     The target is multiplied by a weather effect of ``control`` (none) and
     ``treatment`` strength (with 2% seeded noise); the MAE lift from adding
     the weather features must be ~0 for the control and clearly positive for
-    the treatment.
+    the treatment.  The bootstrap intervals of both lifts are reported beside them.
     """
     cc = complete_cases(frame, added)
-    frames = [materialize(hash_split(inject_effect(cc, s, noise_seed, keys), keys)) for s in (control, treatment)]
-    m = fits([(f, cols) for f in frames for cols in (base, base + added)], params)
-    lifts = [float(m[i]["mae"] - m[i + 1]["mae"]) for i in (0, 2)]
-    ok = abs(lifts[0]) < CONTROL_MAX_ABS_LIFT and lifts[1] > TREATMENT_MIN_LIFT
+
+    def run(strength: float):
+        f = materialize(hash_split(inject_effect(cc, strength, noise_seed, keys), keys))
+        test = materialize(paired_errors(f, base, added, params))
+        mae = test.agg(F.avg("_base").alias("b"), F.avg("_added").alias("a")).first()
+        i = lift_interval(test, list(keys), "_base", "_added").first()
+        return round(mae.b, 4) - round(mae.a, 4), i.lift_low, i.lift_high
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        (c, c_low, c_high), (t, t_low, t_high) = pool.map(run, (control, treatment))
+    ok = abs(c) < CONTROL_MAX_ABS_LIFT and t > TREATMENT_MIN_LIFT
     return frame.sparkSession.createDataFrame(
-        [(control, lifts[0], treatment, lifts[1], "PASS" if ok else "FAIL")],
-        "control_strength double, control_lift_min double, treatment_strength double, "
-        "treatment_lift_min double, verdict string")
+        [(control, c, c_low, c_high, treatment, t, t_low, t_high, "PASS" if ok else "FAIL")],
+        "control_strength double, control_lift_min double, control_low_pct double, control_high_pct double, "
+        "treatment_strength double, treatment_lift_min double, treatment_low_pct double, treatment_high_pct double, verdict string")

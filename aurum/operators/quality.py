@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aurum.operators.joins import missing_references
 from aurum.operators.reshape import duplicate_groups
 
+#: Name of the row count among the metrics of ``observe_checks``.
+ROWS = "rows"
 REPORT_COLUMNS = ["check_no", "check_name", "failing", "severity", "status"]
 
 
@@ -104,25 +106,45 @@ def _group_failures(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(check.kind)
 
 
-def run_checks(checks: list[Check], frames: dict[str, DataFrame]) -> DataFrame:
-    """Evaluate all checks; returns the report DataFrame (lazy)."""
+def _failing(check: Check) -> Column:
+    """Failing rows of a row or floor check, as an aggregate."""
+    if check.kind == "row":
+        return F.sum(F.when(check.failing_pred(), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return F.when(F.count(F.lit(1)) < F.lit(check.min_rows), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def metric(check: Check) -> str:
+    """Its name among the metrics of a write; checks of one name differ in what they ask."""
+    return f"{check.name}: {check.predicate or check.min_rows}"
+
+
+def observe_checks(df: DataFrame, table: str, checks: list[Check]) -> tuple[DataFrame, Observation]:
+    """``df`` with all row and floor checks of ``table`` as metrics of the job that writes it.
+
+    After the write, ``run_checks(observed={table: observation.get})`` reads the counts from
+    there instead of scanning the table again."""
+    mine = [F.coalesce(_failing(c), F.lit(0)).alias(metric(c)) for c in checks if c.table == table and c.kind in ("row", "floor")]
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias(ROWS), *mine), seen
+
+
+def run_checks(checks: list[Check], frames: dict[str, DataFrame], observed: dict[str, dict] | None = None) -> DataFrame:
+    """Evaluate all checks; returns the report DataFrame (lazy).  ``observed`` has the metrics of
+    tables that were written with ``observe_checks``: only their group checks read them."""
     if not checks:
         raise ValueError("no checks")
     parts: list[DataFrame] = []
+    known = [(i, c, observed[c.table][metric(c)]) for i, c in enumerate(checks, start=1)
+             if c.kind in ("row", "floor") and c.table in (observed or {})]
+    if known:
+        spark = next(iter(frames.values())).sparkSession
+        parts.append(spark.createDataFrame([(i, int(n)) for i, _, n in known], "check_no int, failing bigint"))
     by_table: dict[str, list[tuple[int, Check]]] = {}
     for i, ch in enumerate(checks, start=1):
-        if ch.kind in ("row", "floor"):
+        if ch.kind in ("row", "floor") and ch.table not in (observed or {}):
             by_table.setdefault(ch.table, []).append((i, ch))
     for table, items in by_table.items():
-        aggs = []
-        for i, ch in items:
-            if ch.kind == "row":
-                aggs.append(F.sum(F.when(ch.failing_pred(), F.lit(1)).otherwise(F.lit(0)))
-                            .cast("bigint").alias(f"_c{i}"))
-            else:
-                aggs.append(F.when(F.count(F.lit(1)) < F.lit(ch.min_rows), F.lit(1)).otherwise(F.lit(0))
-                            .cast("bigint").alias(f"_c{i}"))
-        one = frames[table].agg(*aggs)
+        one = frames[table].agg(*[_failing(ch).alias(f"_c{i}") for i, ch in items])
         stack = ", ".join(f"{i}, _c{i}" for i, _ in items)
         parts.append(one.selectExpr(f"stack({len(items)}, {stack}) as (check_no, failing)")
                         .select(F.col("check_no").cast("int"), F.coalesce("failing", F.lit(0)).cast("bigint").alias("failing")))

@@ -73,6 +73,11 @@ def write_version(df: DataFrame, root: str, layer: str, name: str, note: str = "
     return {"version": version, "path": path, "n_rows": int(n)}
 
 
+def read_version(spark: SparkSession, info: dict) -> DataFrame:
+    """The version that ``write_version`` returned."""
+    return spark.read.parquet(info["path"])
+
+
 def read_latest(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     v = latest_version(spark, root, layer, name).first()
     if v is None:
@@ -132,15 +137,16 @@ def fingerprint(df: DataFrame, sum_col: str) -> DataFrame:
     return one.select("n_rows", "sum_cents", F.substring(F.sha2(text, 256), 1, 16).alias("data_version"))
 
 
-def content_hash(df: DataFrame, exact: list[str], decimals: dict[str, int] | None = None) -> DataFrame:
-    """Order-free content hash: the sum of 60 bits of every row's md5.
-
-    A row's text joins the ``exact`` columns as they are and the ``decimals`` columns
-    as whole units; a sum, unlike XOR, also notices rows that occur an even number
-    of times.
-    """
+def row_hash(exact: list[str], decimals: dict[str, int] | None = None):
+    """60 bits of the md5 of a row's text: the ``exact`` columns as they are, the ``decimals``
+    columns as whole units."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in exact]
     parts += [F.coalesce(_cents(c, d).cast("string"), F.lit("~")) for c, d in (decimals or {}).items()]
-    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def content_hash(df: DataFrame, exact: list[str], decimals: dict[str, int] | None = None) -> DataFrame:
+    """Order-free content hash: the sum of every row's ``row_hash``.  A sum, unlike XOR, also
+    notices rows that occur an even number of times."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.coalesce(F.sum(bits), F.lit(0)).cast("string").alias("content_hash"))
+                  F.coalesce(F.sum(row_hash(exact, decimals)), F.lit(0)).cast("string").alias("content_hash"))
