@@ -11,7 +11,7 @@ import datetime
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aurum.session import materialize
@@ -189,6 +189,18 @@ def run_record(spark, params: dict, n_rows: int, data_version: str, metrics: dic
         "mae double, r2 double")
 
 
+def compare_runs(runs: DataFrame) -> DataFrame:
+    """Every run with its number and how it differs from the run before on the same table: change of
+    MAE and R^2, and whether data and parameters are the same (NULL for the first run)."""
+    from aurum.functions.clean import round_half_up
+    order = Window.partitionBy("source_table").orderBy("run_at", "params")
+    before = lambda c: F.lag(c).over(order)
+    return runs.select(
+        "source_table", F.row_number().over(order).alias("run_no"), "run_at", "data_version", "n_rows", "params", "mae", "r2",
+        round_half_up(F.col("mae") - before("mae"), 4).alias("mae_change"), round_half_up(F.col("r2") - before("r2"), 4).alias("r2_change"),
+        (F.col("data_version") == before("data_version")).alias("same_data"), (F.col("params") == before("params")).alias("same_params"))
+
+
 # ---- fixed apparatus thresholds (minutes of MAE) ----
 CONTROL_MAX_ABS_LIFT = 0.15
 TREATMENT_MIN_LIFT = 0.30

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.functions import clean as C
+from aurum.operators import boosting
 from aurum.operators import experiment as X
 from aurum.operators import quality as Q
 from aurum.operators.hash_tree import differing_ranges, hash_tree
@@ -857,6 +858,31 @@ def feature_lift(spark, sf):
                           ["order_key", "line_no"])
 
 
+def _response(spark, sf):
+    """Gold with a response that its features determine: minutes at 20 mph, a start-up time, and
+    two minutes for every passenger."""
+    minutes = F.col("trip_distance_mi") * F.lit(3.0) + F.lit(5.0) + F.lit(2.0) * F.col("passenger_count")
+    return X.training_frame(_gold(spark, sf), X.BASE_FEATURES).withColumn(X.TARGET, minutes)
+
+
+@query("first_tree")
+def first_tree(spark, sf):
+    """The splits of the first histogram tree on that response, two levels."""
+    return boosting.first_tree(_response(spark, sf), X.BASE_FEATURES, X.TARGET)
+
+
+@query("boosted_trees")
+def boosted_trees(spark, sf):
+    """Histogram boosting on the train rows; error on the test rows beside that of the train mean."""
+    f = materialize(X.hash_split(_response(spark, sf), ["order_key", "line_no"]))
+    train, test = f.filter("split = 'train'"), f.filter("split = 'test'")
+    model = boosting.fit(train, X.BASE_FEATURES, X.TARGET)
+    scored = model.predict(test).withColumn("mean", F.lit(model.start / boosting.UNIT))
+    fitted = X.regression_metrics(scored)
+    plain = X.regression_metrics(scored, prediction="mean").select(F.col("mae").alias("mae_of_mean"), F.col("n_test").alias("_n"))
+    return fitted.join(plain, F.col("n_test") == F.col("_n")).drop("_n")
+
+
 @query("inject_effect")
 def inject_effect(spark, sf):
     """Known multiplicative weather effect (strength 0.35, noise off)."""
@@ -876,6 +902,19 @@ def run_record(spark, sf):
     return spark.read.parquet(runs).select("source_table", "data_version", "n_rows", "params")
 
 
+@query("run_history")
+def run_history(spark, sf):
+    """Two runs on the same data (given predictions) appended to the runs table, and how the second
+    differs from the first."""
+    g = materialize(_gold(spark, sf).select("trip_distance_mi", X.TARGET))
+    ver, runs = store.fingerprint(g, X.TARGET).first(), scratch_path(spark, "runs")
+    for name, p in (("distance", F.col("trip_distance_mi") * F.lit(3.0) + F.lit(5.0)), ("constant", F.lit(60.0))):
+        m = X.regression_metrics(g.withColumn("prediction", p)).first()
+        X.run_record(spark, {"model": name}, ver.n_rows, ver.data_version, {"mae": m.mae, "r2": m.r2}, "gold.fct_trips") \
+            .write.mode("append").parquet(runs)
+    return X.compare_runs(spark.read.parquet(runs)).drop("run_at")
+
+
 # ------------------------------------------------------------ text landing round trips
 @query("csv_landing")
 def csv_landing(spark, sf):
@@ -893,8 +932,7 @@ def json_lines_landing(spark, sf):
     path = scratch_path(spark, "landing") + "/app_log"
     A.app_log_lines(_t(spark, sf)).select(F.regexp_replace("_raw", "[\\r\\n]+", " ").alias("value")) \
         .write.mode("overwrite").text(path)
-    lines = L.read_lines(spark, path).select(F.col("_metadata.file_name").alias("_file"),
-                                             L.record_number().alias("_line_no"), "_raw")
+    lines = numbered_lines(spark, path)
     return feeds.log_counts(lines)
 
 
