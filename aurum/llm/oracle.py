@@ -52,7 +52,7 @@ s AS (
          ELSE regexp_extract(x, '^(.*?)(\\.[A-Za-z]{{1,5}})?$', 1) END
     || regexp_extract(x, '^(.*?)(\\.[A-Za-z]{{1,5}})?$', 2)) AS segs FROM r),
 l AS (SELECT page_id, host, path, rule, rule_verdict,
-        CASE WHEN len(segs) > {d_max} THEN list_append(segs[1:{d_max}], '**') ELSE segs END AS leaf FROM s),
+        CASE WHEN len(segs) > {d_max} THEN list_append(segs[1:{d_max}], array_to_string(segs[{d_max} + 1:], '/')) ELSE segs END AS leaf FROM s),
 t0 AS (SELECT host, leaf, leaf AS template, count(*) AS n, count(rule_verdict) AS labelled,
         count(*) FILTER (rule_verdict = 'block') AS n_bad FROM l GROUP BY host, leaf)"""]
     for d in range(1, d_max + 2):
@@ -76,8 +76,14 @@ t{d} AS (SELECT a.host, a.leaf, CASE WHEN x.renamed IS NULL THEN a.template
          FROM a{d} a LEFT JOIN n{d} x ON a.host = x.host AND a.up = x.up AND a.seg = x.seg)""")
     last = f"t{d_max + 1}"
     sql.append(f"""
-v AS (SELECT host, template, CASE WHEN {U.BLOCK_DEN} * (sum(n_bad) + 1) >= {U.BLOCK_NUM} * (sum(labelled) + 2)
-        THEN 'block' ELSE 'allow' END AS tree_verdict FROM {last} GROUP BY host, template)""")
+pure AS (SELECT host, template, sum(labelled)::BIGINT AS l, sum(n_bad)::BIGINT AS b FROM {last} GROUP BY host, template),
+ways AS (SELECT host, template, l, b, unnest(list_transform(range(len(template) + 1), lambda d: template[1:d])) AS node FROM pure),
+sums AS (SELECT host, node, sum(l)::BIGINT AS nl, sum(b)::BIGINT AS nb FROM ways GROUP BY host, node),
+down AS (SELECT w.host, w.template, list([s.nl, s.nb] ORDER BY len(w.node)) AS way
+         FROM ways w JOIN sums s ON w.host = s.host AND w.node = s.node GROUP BY w.host, w.template),
+v AS (SELECT host, template, CASE WHEN list_reduce(list_prepend([{U.ONE // 2}, 0]::BIGINT[], way),
+               lambda s, a: [({U.ONE} * a[2] + {U.PULL} * s[1]) // (a[1] + {U.PULL}), 0])[1] >= {U.BLOCK}
+               THEN 'block' ELSE 'allow' END AS tree_verdict FROM down)""")
     return ",".join(sql) + f"""
 SELECT l.page_id, l.host, l.path, l.rule, coalesce(l.rule_verdict, v.tree_verdict) AS verdict
 FROM l JOIN {last} t ON l.host = t.host AND l.leaf = t.leaf JOIN v ON t.host = v.host AND t.template = v.template

@@ -20,14 +20,21 @@ Urls without a rule are judged by the template tree, built in DataFrame steps:
    their pooled bad share (a two-sided z test at ``Z2``); those that do not differ
    are merged into one branch.  Siblings without labels are left alone: there is
    nothing to compare them by.
-4. *Purity.*  A template is rejected when its smoothed bad share
-   (bad + 1) / (labelled + 2) is at least ``BLOCK_NUM`` / ``BLOCK_DEN``.  Without
-   labels that is 1/2, so unknown templates are allowed.
+4. *Purity.*  A node's bad share is smoothed towards its parent's:
+   (bad + ``PULL`` * parent's share) / (labelled + ``PULL``), the host's towards 1/2.  A
+   template is rejected when its share is at least ``BLOCK``.  Evidence so reaches branches
+   without labels -- on a host whose labelled pages are all bad, an unknown branch is
+   rejected -- and labels of a branch outweigh what lies above it.
 
 Labels come from the caller: a boolean ``bad`` per url, null where unknown.  The
 registered query uses the urls that a rule has settled.  All arithmetic is on
-integers, so the result does not depend on the order of rows.  Paths deeper than
-``DEPTH`` segments keep the rest of the path as one wildcard ``**``.
+integers (shares are millionths), so the result does not depend on the order of rows.  What
+lies beyond ``DEPTH`` segments of a path is one more segment, so levels are bounded and
+paths that differ anywhere are different templates until they are generalised.
+
+Null and empty urls have an empty host and path and are judged by the host's share; very
+long paths are one row's array.  Repeated rows count as often as they come; rows may
+repeat a page_id or have none.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,7 +58,10 @@ DEPTH = 6
 MIN_CHILDREN = 8
 #: Squared z value of a two-sided test at 5 %, in hundredths.
 Z2 = 384
-BLOCK_NUM, BLOCK_DEN = 4, 5
+#: Shares are whole millionths; a template with at least ``BLOCK`` of them is rejected.
+ONE, BLOCK = 1_000_000, 800_000
+#: Labels that the parent's share counts for.
+PULL = 2
 
 
 def host_of(url: Column) -> Column:
@@ -85,8 +95,8 @@ def by_rule(urls: DataFrame, rules=RULES) -> DataFrame:
 
 
 def segments(path: Column) -> Column:
-    """The path's segments with variable ones turned into shape wildcards; beyond
-    ``DEPTH`` the rest is one ``**``."""
+    """The path's segments with variable ones turned into shape wildcards; what lies beyond
+    ``DEPTH`` is one segment."""
     def shape(s: Column) -> Column:
         stem = F.regexp_extract(s, r"^(.*?)(\.[A-Za-z]{1,5})?$", 1)
         ext = F.regexp_extract(s, r"^.*?(\.[A-Za-z]{1,5})?$", 1)
@@ -96,7 +106,8 @@ def segments(path: Column) -> Column:
                  .otherwise(stem))
         return F.concat(kind, ext)
     parts = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), shape)
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    tail = F.array_join(F.slice(parts, DEPTH + 1, 1 << 30), "/")
+    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(tail))).otherwise(parts)
 
 
 def leaves(urls: DataFrame) -> DataFrame:
@@ -114,9 +125,13 @@ def _level(nodes: DataFrame, d: int) -> DataFrame:
     at = nodes.withColumns({"_up": up, "_seg": seg, "_rest": rest})
 
     # variable children of one parent
-    child = at.filter(F.col("_seg").isNotNull()).groupBy("host", "_up", "_seg").agg(
-        F.sum("n").alias("cn"), F.sum("labelled").alias("cl"), F.sum("n_bad").alias("cb"),
-        F.sort_array(F.collect_set(F.concat_ws("/", "_rest"))).alias("shape"))
+    # a subtree's shape is the set of its templates' rests, as their number and two sums of hashes
+    below = at.filter(F.col("_seg").isNotNull()).groupBy("host", "_up", "_seg", F.concat_ws("/", "_rest").alias("_below")).agg(
+        F.sum("n").alias("cn"), F.sum("labelled").alias("cl"), F.sum("n_bad").alias("cb"))
+    hashes = [F.sum(F.xxhash64(F.lit(k), "_below").cast("decimal(38,0)")) for k in (1, 2)]
+    child = below.groupBy("host", "_up", "_seg").agg(
+        F.sum("cn").alias("cn"), F.sum("cl").alias("cl"), F.sum("cb").alias("cb"),
+        F.struct(F.count(F.lit(1)), *hashes).alias("shape"))
     kids = child.groupBy("host", "_up").agg(F.count(F.lit(1)).alias("kids"), F.sum("cn").alias("pn"))
     child = child.join(kids, ["host", "_up"])
     variable = (F.col("kids") >= MIN_CHILDREN) & (2 * F.col("kids") > F.col("pn"))
@@ -150,12 +165,26 @@ def template_tree(urls: DataFrame) -> DataFrame:
     deepest = nodes.agg(F.max(F.size("template"))).first()[0] or 0      # one number, at most DEPTH + 1
     for d in range(1, deepest + 1):
         nodes = written(_level(nodes, d), f"url-level{d}")
-    pure = nodes.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("n_bad").alias("b"))
-    verdict = F.when(BLOCK_DEN * (F.col("b") + 1) >= BLOCK_NUM * (F.col("l") + 2), F.lit("block")).otherwise(F.lit("allow"))
-    judged = pure.select("host", "template", verdict.alias("tree_verdict"), F.col("l").alias("labelled"), F.col("b").alias("bad"))
+    judged = purity(nodes)
     return nodes.select("host", "leaf", "template").join(judged, ["host", "template"])
 
 
+def purity(nodes: DataFrame) -> DataFrame:
+    """(host, template, tree_verdict, share): every template by its smoothed bad share."""
+    leaf = written(nodes.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("n_bad").alias("b")), "url-pure")
+    prefix = F.explode(F.transform(F.sequence(F.lit(0), F.size("template")), lambda d: F.slice("template", F.lit(1), d)))
+    paths = leaf.select("host", "template", "l", "b", prefix.alias("node"))
+    sums = paths.groupBy("host", "node").agg(F.sum("l").alias("nl"), F.sum("b").alias("nb"))
+    down = paths.select("host", "template", "node").join(sums, ["host", "node"]).groupBy("host", "template").agg(
+        F.sort_array(F.collect_list(F.struct(F.size("node").alias("d"), "nl", "nb"))).alias("way"))      # one per level
+
+    def smoothed(share: Column, at: Column) -> Column:
+        return F.floor((ONE * at["nb"] + PULL * share) / (at["nl"] + PULL)).cast("bigint")
+    share = F.aggregate("way", F.lit(ONE // 2).cast("bigint"), smoothed)
+    rated = down.select("host", "template", share.alias("share"))
+    return rated.withColumn("tree_verdict", F.when(F.col("share") >= BLOCK, F.lit("block")).otherwise(F.lit("allow")))
+
+
 def url_filter(pages: DataFrame, rules=RULES, bad: Column | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, template of every row of ``pages``.
 

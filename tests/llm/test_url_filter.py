@@ -73,3 +73,36 @@ def test_random_urls_agree_with_sql(spark, seed):
     segs = ["en", "es", "fr", "x", "12", "345", "deadbeef00", "p.html", "7.php"]
     rows = [(i, f"http://{rnd.choice(hosts)}/" + "/".join(rnd.choice(segs) for _ in range(rnd.randint(0, 8))), "x", 1) for i in range(250)]
     assert sorted(map(tuple, rows_of(spark, rows).collect()), key=str) == from_sql(rows)
+
+
+def test_the_registered_labels_reach_branches_without_a_rule(spark):
+    """On a host whose labelled pages are all blocked, a branch that no rule fits is rejected; a host
+    with allowed pages, or without labels, keeps its branches."""
+    rows = [(i, f"http://n.net/{'es' if i % 2 else 'fr'}/{i}", "x", 1) for i in range(40)]
+    rows += [(100 + i, f"http://n.net/shop/{i}", "x", 1) for i in range(5)]
+    rows += [(200 + i, f"http://good.com/{'en' if i % 2 else 'shop'}/{i}", "x", 1) for i in range(20)]
+    rows += [(300 + i, f"http://new.org/shop/{i}", "x", 1) for i in range(5)]
+    out = rows_of(spark, rows).collect()
+    assert sorted(map(tuple, out), key=str) == from_sql(rows)
+    verdicts = {r.page_id: (r.rule, r.verdict) for r in out}
+    assert {verdicts[100 + i] for i in range(5)} == {(None, "block")}
+    assert {v for k, (_, v) in verdicts.items() if k >= 200} == {"allow"}
+
+
+@pytest.mark.parametrize("depth", [2, 7, 11])
+def test_branches_are_told_apart_at_any_depth(spark, depth):
+    up = "/".join("abcdefghijk"[:depth - 1])
+    rows = [(i, f"http://s.org/{up}/{'ads' if i % 2 else 'news'}", "x", 1) for i in range(40)]
+    out = U.url_filter(spark.createDataFrame(rows, SCHEMA), rules=[("none", "/", "allow")], bad=F.col("page_id") % 2 == 1).collect()
+    assert {(r.path.rsplit("/", 1)[1], r.verdict) for r in out} == {("ads", "block"), ("news", "allow")}
+
+
+def test_a_node_with_many_children_stays_a_narrow_row(spark):
+    urls = spark.range(200_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://w.org/wiki/"), F.md5(F.col("id").cast("string")),
+                                       F.lit("-page")).alias("url"))
+    at = U.by_rule(urls.select("page_id", U.host_of(F.col("url")).alias("host"), U.path_of(F.col("url")).alias("path")))
+    nodes = U.leaves(at.withColumns({"leaf": U.segments(F.col("path")), "bad": F.lit(None).cast("boolean")})).withColumn("template", F.col("leaf"))
+    top = U._level(nodes, 1)
+    assert top.select("template").filter(F.size("template") > 2).isEmpty()
+    done = U._level(top, 2)
+    assert [tuple(r.template) for r in done.select("template").distinct().collect()] == [("wiki", "*")]
