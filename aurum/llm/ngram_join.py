@@ -18,9 +18,12 @@ expanded into pairs.
    any list of frequent tokens is right; the list holds at most ``HOT_TOKENS`` of the
    most frequent.
    A class joins the group of the prefix token that most classes have: similar
-   documents come together.  Groups are cut into blocks of about ``BLOCK`` classes.
-3. **Matrix.**  (token, block) rows say which blocks hold a prefix token.  Blocks that
-   share one are compared: in the task that holds both, the token union of a block
+   documents come together.  Groups are cut into blocks of at most ``BLOCK`` classes, a large
+   one in order of the distance to one of its classes (``families``): by the triangle
+   inequality most pairs of a tight family are known to link without being looked at.
+3. **Matrix.**  (token, block) rows say which blocks hold a prefix token.  Blocks of different
+   groups that share one, and those of one group that the distances leave open, are
+   compared: in the task that holds both, the token union of a block
    gives an upper bound of every query class's overlap with *any* member,
    and only blocks whose bound qualifies are opened and counted exactly.  The task
    returns, per class, its place in a spanning forest of the links and the documents
@@ -44,12 +47,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aurum.llm.ngram_sets import shingle_sets
 from aurum.llm.session_tables import broadcast_if_small, packed, unpacked, written
 from aurum.llm.textarrays import bounded_batches, release_memory
+from aurum.operators.numbering import numbered
 
 #: A link needs NUM * union <= 100 * intersection.
 NUM, DEN = 75, 100
@@ -58,8 +62,12 @@ BLOCK = 256
 HOT_FROM = 32
 #: ... and so many of the most frequent are ordered last (any choice is exact).
 HOT_TOKENS = 200_000
-#: Sets that a task compares at a time, about.
-CELLS = 2000
+#: Tokens of the sets that a task compares at a time, about.
+CELLS = 400_000
+#: Levels of the distance to a group's pivot; a quarter of them is the link distance.
+LEVELS = 1024
+#: Tokens that one hash range of the first pass holds, about, and bytes of text a token.
+RANGE_TOKENS, TOKEN_BYTES = 2_000_000, 7
 #: Tokens gathered by a task before they are sorted and shipped.
 FLUSH = 1_500_000
 _MANY = 0xFFFF
@@ -388,30 +396,101 @@ def links(docs: DataFrame, seen: DataFrame) -> DataFrame:
 
     common = prefix.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     at = written(prefix.join(common, "tok"), "ngram-shared")
-    group = at.groupBy("cls").agg(F.max_by("tok", F.struct("c", "tok")).alias("g"))
-    size = group.groupBy("g").agg(F.count(F.lit(1)).alias("members"))
-    block = group.join(size, "g").select(
-        "cls", F.xxhash64("g", F.pmod(F.col("cls"), F.ceil(F.col("members") / F.lit(float(BLOCK))))).alias("block"))
-    block = written(block, "ngram-blocks")
-    held = written(at.join(block, "cls").select("tok", "cls", "block"), "ngram-held")
-    matrix = held.select("tok", "block").distinct()
-    wide = matrix.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("tok")
-    matrix = written(matrix.join(wide, "tok").select("tok", F.col("block").alias("other")), "ngram-matrix")
-    # for every pair of blocks, only the classes that hold a token of the other block
-    across = (held.join(matrix, "tok").filter("block <> other").select("block", "other", "cls").distinct()
-                  .join(lengths, "cls"))
-    # ... whose length can match a class of the other block's
-    span = across.groupBy(F.col("block").alias("other"), F.col("other").alias("block")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"))
-    across = (across.join(span, ["block", "other"])
-                    .filter((NUM * F.col("n") <= DEN * F.col("most")) & (NUM * F.col("least") <= DEN * F.col("n")))
-                    .select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "cls"))
-    inner = (block.join(block.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("block"), "block")
-                  .select(F.col("block").alias("a"), F.col("block").alias("b"), "block", "cls"))
-    cells = written(across.unionByName(inner), "ngram-cells")
-    tasks = max(1, math.ceil(cells.count() / CELLS))
+    group = written(at.groupBy("cls").agg(F.max_by("tok", F.struct("c", "tok")).alias("g")), "ngram-groups")
+    block, sure, inner = families(group, sets)
+    held = written(at.join(block, "cls").select("tok", "cls", "block", "g"), "ngram-held")
+    cells = written(inner.unionByName(across(held, block, lengths)), "ngram-cells")
+    tokens = cells.join(lengths, "cls").agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, math.ceil(tokens / CELLS))
     rows = cells.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks))).join(sets, "cls")
-    return written(rows.groupBy("task").applyInArrow(_open_pairs, "u bigint, v bigint, links bigint"), "ngram-links")
+    opened = rows.groupBy("task").applyInArrow(_open_pairs, "u bigint, v bigint, links bigint")
+    return written(opened.unionByName(sure), "ngram-links")
+
+
+def _at_most(steps: str, level: Column, what: str) -> Column:
+    """Of the running totals ``steps`` (level, what...), the one at the last level up to ``level``."""
+    fit = F.filter(steps, lambda s: s["q"] <= level)
+    return F.coalesce(F.get(fit, F.size(fit) - 1)[what], F.lit(0).cast("bigint"))
+
+
+def families(group: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Blocks (cls, g, block) of the groups, the links that need no opening, and the cells
+    (a, b, block, cls) of block pairs of one group that do.
+
+    Jaccard distance is a metric.  A group of more than one block is laid out by the distance d to
+    one of its classes: two classes surely link when their distances add up to .25, and
+    surely do not when they differ by more.  Blocks are runs in that order, so the blocks that
+    surely link with a block are the first ones, and those that may are the next: both ends
+    come from running totals over at most ``LEVELS`` levels of the distance."""
+    size = group.groupBy("g").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("pivot"))
+    grouped = written(group.join(size, "g"), "ngram-sized")
+    large = grouped.filter(F.col("members") > BLOCK)
+    pivots = (size.filter(F.col("members") > BLOCK).select("g", F.col("pivot").alias("cls"))
+                  .join(sets.select("cls", F.col("toks").alias("p")), "cls").drop("cls"))
+    far = sets.join(broadcast_if_small(large.select("cls", "g")), "cls").join(broadcast_if_small(written(pivots, "ngram-pivots"), 2000), "g")
+    both = F.size(F.array_intersect("toks", "p"))
+    union = F.size("toks") + F.size("p") - both
+    q = F.ceil(F.lit(float(LEVELS)) * (union - both) / union).cast("int")
+    far = far.select("cls", "g", "copies", q.alias("q"))
+    placed = numbered(far, [F.col("g"), F.col("q"), F.col("cls")], group="g", number="pos")
+    placed = written(placed.withColumn("i", F.floor(F.col("pos") / F.lit(BLOCK)).cast("bigint")), "ngram-placed")
+    one = grouped.filter(F.col("members") <= BLOCK)
+    block = one.select("cls", "g", F.xxhash64("g", F.lit(0).cast("bigint")).alias("block")).unionByName(
+        placed.select("cls", "g", F.xxhash64("g", "i").alias("block")))
+    block = written(block, "ngram-blocks")
+
+    run = placed.groupBy("g", "i").agg(F.min("q").alias("low"), F.max("q").alias("high"), F.sum("copies").alias("copies"),
+                                       F.min("cls").alias("first"))
+    run = written(run, "ngram-runs")
+    total = Window.partitionBy("g").orderBy("q")
+    def steps(level: str) -> DataFrame:  # noqa: E306
+        n = run.groupBy("g", F.col(level).alias("q")).agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"))
+        n = n.select("g", F.struct("q", F.sum("n").over(total).alias("n"), F.sum("copies").over(total).alias("copies")).alias("s"))
+        return n.groupBy("g").agg(F.sort_array(F.collect_list("s")).alias(f"by_{level}"))        # at most LEVELS + 1
+    quarter = LEVELS // 4
+    ends = run.join(steps("low"), "g").join(steps("high"), "g").select(
+        "g", "i", _at_most("by_high", quarter - F.col("high"), "n").alias("sure"),
+        _at_most("by_high", quarter - F.col("high"), "copies").alias("copies_there"),
+        _at_most("by_low", quarter + F.col("high"), "n").alias("end"))
+    ends = written(ends, "ngram-ends")
+    heads = run.filter("i = 0").select("g", F.col("first").alias("v"))
+    known = placed.join(broadcast_if_small(ends.filter("sure > 0").join(heads, "g")), ["g", "i"])
+    sure = known.select(F.col("cls").alias("u"), "v", (
+        F.col("copies_there") - F.when(F.col("i") < F.col("sure"), F.col("copies")).otherwise(0)).alias("links"))
+
+    first = F.greatest("i", "sure")
+    pairs = ends.filter(first < F.col("end")).select("g", "i", F.explode(F.sequence(first, F.col("end") - 1)).alias("j"))
+    pairs = written(pairs.select(F.xxhash64("g", "i").alias("a"), F.xxhash64("g", "j").alias("b")), "ngram-pairs")
+    sides = pairs.select("a", "b", F.col("a").alias("block")).unionByName(
+        pairs.filter("a <> b").select("a", "b", F.col("b").alias("block")))
+    alone = one.filter("members > 1").select(F.xxhash64("g", F.lit(0).cast("bigint")).alias("block"), "cls")
+    inner = sides.join(block, "block").select("a", "b", "block", "cls").unionByName(
+        alone.select(F.col("block").alias("a"), F.col("block").alias("b"), "block", "cls"))
+    return block, sure, inner
+
+
+def across(held: DataFrame, block: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Cells (a, b, block, cls) of block pairs of different groups that share a prefix token.
+
+    Blocks meet first, as distinct (token, block) rows, and only where their lengths allow a
+    link; then each side's classes that hold one of the tokens come in."""
+    span = written(block.join(lengths, "cls").groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most")), "ngram-spans")
+    matrix = held.select("tok", "block", "g").distinct()
+    wide = matrix.groupBy("tok").agg(F.count_distinct("g").alias("c")).filter("c > 1").select("tok")
+    matrix = written(matrix.join(wide, "tok").join(span, "block"), "ngram-matrix")
+    left = matrix.select("tok", F.col("block").alias("a"), F.col("g").alias("ga"), F.col("least").alias("la"), F.col("most").alias("ma"))
+    right = matrix.select("tok", F.col("block").alias("b"), F.col("g").alias("gb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
+    met = left.join(right, "tok").filter((F.col("ga") != F.col("gb")) & (F.col("a") < F.col("b"))
+                                         & (NUM * F.col("la") <= DEN * F.col("mb")) & (NUM * F.col("lb") <= DEN * F.col("ma")))
+    met = written(met.select("tok", "a", "b", "la", "ma", "lb", "mb"), "ngram-met")
+    sides = met.select("tok", "a", "b", F.col("a").alias("block"), F.col("lb").alias("least"), F.col("mb").alias("most")).unionByName(
+        met.select("tok", "a", "b", F.col("b").alias("block"), F.col("la").alias("least"), F.col("ma").alias("most")))
+    hits = held.select("tok", "cls", "block").join(sides, ["tok", "block"]).join(lengths, "cls").filter(
+        (NUM * F.col("n") <= DEN * F.col("most")) & (NUM * F.col("least") <= DEN * F.col("n")))
+    found = hits.select("a", "b", "block", "cls").distinct()
+    # both sides must still have somebody
+    alive = found.groupBy("a", "b").agg(F.count_distinct("block").alias("k")).filter("k = 2").select("a", "b")
+    return found.join(alive, ["a", "b"])
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
@@ -421,8 +500,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     then smallest text key); rows that repeat it are marked as well."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(24, max(8, math.ceil(math.log2(4 * parts))))
+    tokens = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / TOKEN_BYTES
+    bits = min(24, max(6, math.ceil(math.log2(max(1, tokens / RANGE_TOKENS)))))
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     seen = (keyed.mapInArrow(_first_pass(bits), _FIRST_SQL).groupBy("slot")

@@ -122,3 +122,45 @@ def test_one_document_of_each_group_stays(spark):
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "u bigint, v bigint")
     assert sorted(map(tuple, J.components(edges).collect())) == [(i, 0) for i in range(1, 61)] + [(101, 100)]
+
+
+def n_links(rows):
+    sets = [shingles(t) for _, t in rows]
+    return sorted((d, sum(100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets) if a and b and i != j))
+                  for i, ((d, _), a) in enumerate(zip(rows, sets)))
+
+
+@pytest.mark.parametrize("edits", [(0, 1), (0, 1, 2, 3, 4), (2, 3, 4, 5)])
+def test_families_by_distance_are_exact(spark, monkeypatch, edits):
+    """Tight families are known by their distances, loose ones are opened; links stay the same."""
+    monkeypatch.setattr(J, "BLOCK", 6)
+    rnd, rows = random.Random(len(edits)), []
+    words = [f"w{i}" for i in range(400)]
+    for family in range(3):
+        base = [rnd.choice(words) for _ in range(70 + 25 * family)]
+        for _ in range(40):
+            c = list(base)
+            for _ in range(rnd.choice(edits)):
+                c[rnd.randrange(len(c))] = rnd.choice(words)
+            rows.append((len(rows), " ".join(c)))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    made = J.ngram_join(df).collect()
+    assert sorted((r.doc_id, r.n_links) for r in made) == n_links(rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in made), key=str) == brute(rows)
+
+
+def test_a_tight_family_needs_no_opening(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 8)
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    base = [rnd.choice(words) for _ in range(200)]
+    sets = []
+    for k in range(60):
+        c = list(base)
+        c[0] = f"new{k}"                                      # one shingle of 196 differs: distances of about .01
+        sets.append((k, sorted(int(x) for x in next(iter(shingle_sets(pa.array([" ".join(c)])))).view(np.int64)), 1))
+    rows = spark.createDataFrame(sets, "cls bigint, toks array<bigint>, copies bigint")
+    block, sure, inner = J.families(spark.createDataFrame([(k, 7) for k in range(60)], "cls bigint, g bigint"), rows)
+    assert inner.isEmpty()
+    assert sorted(r.links for r in sure.collect()) == [59] * 60
+    assert block.groupBy("block").count().filter("count > 8").isEmpty()
