@@ -78,20 +78,24 @@ def bin_of(value: Column, edges: list[float]) -> Column:
     return F.when(v.isNull(), 0).otherwise(below + 1).cast("tinyint")
 
 
+def _walk(splits: list[Split], leaf) -> Column:
+    """``leaf(node)`` of the node that a row comes to: nested conditions, one per split."""
+    at = {s.node: s for s in splits}
+
+    def down(n: int) -> Column:
+        if n not in at:
+            return F.lit(leaf(n))
+        return F.when(F.col(_bin(at[n].feature)) <= at[n].bin, down(2 * n)).otherwise(down(2 * n + 1))
+    return down(1)
+
+
 def node_of(splits: list[Split]) -> Column:
     """The node that a row has come to; the root is 1."""
-    node = F.lit(1)
-    for s in sorted(splits, key=lambda s: s.node):
-        child = F.when(F.col(_bin(s.feature)) <= s.bin, 2 * s.node).otherwise(2 * s.node + 1)
-        node = F.when(node == s.node, child).otherwise(node)
-    return node
+    return _walk(splits, lambda n: n)
 
 
 def leaf_value(tree: Tree) -> Column:
-    node, out = node_of(tree.splits), F.lit(0)
-    for leaf, v in sorted(tree.values.items()):
-        out = F.when(node == leaf, v).otherwise(out)
-    return out.cast("bigint")
+    return _walk(tree.splits, lambda n: tree.values.get(n, 0)).cast("bigint")
 
 
 def histograms(rows: DataFrame, n_features: int) -> DataFrame:

@@ -876,7 +876,7 @@ def boosted_trees(spark, sf):
     """Histogram boosting on the train rows; error on the test rows beside that of the train mean."""
     f = materialize(X.hash_split(_response(spark, sf), ["order_key", "line_no"]))
     train, test = f.filter("split = 'train'"), f.filter("split = 'test'")
-    model = boosting.fit(train, X.BASE_FEATURES, X.TARGET)
+    model = boosting.fit(train, X.BASE_FEATURES, X.TARGET, rounds=10)
     scored = model.predict(test).withColumn("mean", F.lit(model.start / boosting.UNIT))
     fitted = X.regression_metrics(scored)
     plain = X.regression_metrics(scored, prediction="mean").select(F.col("mae").alias("mae_of_mean"), F.col("n_test").alias("_n"))
