@@ -20,7 +20,9 @@ or more white-space characters, other white space or special tokens take
 the pretokenizer's pattern as a whole.  Decoding gathers bytes from one blob
 through a table of token offsets.
 
-Null texts count as empty: no ids, empty text.
+Null texts count as empty: no ids, empty text.  A very long text is encoded cut by cut.  Rows
+are encoded one by one: repeated rows and rows that share a doc_id, or have none, each
+give their own result.  An empty table gives an empty result.  Only doc_id and text are read.
 """
 
 from __future__ import annotations

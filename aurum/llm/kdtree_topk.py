@@ -18,7 +18,8 @@ best rows by (score, smaller vec_id).
 Vectors that are null or hold a null or non-finite component take no part.  Shorter
 vectors count as padded with zeros.  A row's own row is never its candidate; another row with
 the same vec_id is.  Null vec_ids are no queries and lose every tie.  Components and
-scores saturate at the ends of a 64-bit number.
+scores saturate at the ends of a 64-bit number.  An empty table, or one without a query,
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

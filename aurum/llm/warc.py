@@ -13,6 +13,9 @@ their digest, and embedded in every archive as a leading skippable frame (magic
 a Zstandard frame of its own, so any record can be read from its offset alone.  With
 too few payloads to train on, archives have no dictionary frame.
 
+A very long payload is one record.  An empty table gives no archive and an empty result; columns
+other than page_id, url and html are not read.
+
 Tasks write archives of about ``ARCHIVE_BYTES`` under names of their own; the ones
 named in the manifest, committed once per successful task, are the result.
 """
