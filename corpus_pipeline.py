@@ -11,6 +11,11 @@ ngram_join   of every group of near copies one document stays
 mix_sources  three quarters of the tokens, dealt to domains, languages and sources by
              weight, every document at most once
 bpe          token ids of every whole text, with digests of ids and decoded text
+
+Null and empty texts get the score of a text without terms, equal each other in the second
+stage, are linked with nothing in the third and have no ids in the last.  Rows that repeat a
+document are copies of it; rows without a doc_id are judged by their text.  An empty table
+passes every stage and gives an empty result.
 """
 
 from __future__ import annotations
