@@ -94,3 +94,17 @@ def test_replicates_do_not_depend_on_partitions(spark):
     df = spark.createDataFrame([(i, i % 5 + 0.25, i % 3 + 0.5) for i in range(200)], "k int, b double, a double")
     runs = [sorted(map(tuple, X.lift_replicates(df.repartition(p), ["k"], "b", "a", replicates=30).collect())) for p in (1, 6)]
     assert runs[0] == runs[1] and len(runs[0]) == 30 and len({x for _, x in runs[0]}) > 20
+
+
+def test_decision_and_apparatus_report_intervals(spark):
+    rnd = random.Random(9)
+    rows = [(i, float(rnd.randrange(1, 40)), float(rnd.choice([0, 0, 10, 20])), rnd.choice([0.0, 50.0])) for i in range(400)]
+    df = spark.createDataFrame(rows, "order_key int, d double, precip_mm double, snow_mm double")
+    few = {"maxIter": 8, "maxDepth": 4}
+    wet = df.withColumn(X.TARGET, F.col("d") + F.col("precip_mm"))
+    kept = X.feature_lift(wet, ["d"], ["precip_mm"], ["order_key"], few).first()
+    assert kept.verdict == "KEEP" and kept.lift_low <= kept.lift_pct <= kept.lift_high and kept.n_test > 40
+    dry = X.feature_lift(df.withColumn(X.TARGET, F.col("d") * 2), ["d"], ["snow_mm"], ["order_key"], few).first()
+    assert dry.verdict == "CUT"
+    a = X.apparatus_check(df.withColumn(X.TARGET, F.col("d") * 3), ["d"], ["precip_mm", "snow_mm"], ["order_key"], few).first()
+    assert a.verdict == "PASS" and a.control_low_pct <= a.control_high_pct and a.treatment_low_pct > 0
