@@ -87,8 +87,12 @@ class FactorizationMachine:
 def associated(x: Sparse, y: np.ndarray) -> np.ndarray:
     """Features whose presence and label are not independent (chi-square)."""
     n, pos = len(y), y.sum()
-    with_f = np.bincount(x.index, minlength=1 << BITS).astype(float)
-    both = np.bincount(x.index, weights=y[x.row_of()], minlength=1 << BITS)
+    with_f, both = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for lo in range(0, n, 512):                              # the sample's features at once would be large
+        at = x.at[lo:min(lo + 512, n) + 1]
+        part = x.index[at[0]:at[-1]]
+        with_f += np.bincount(part, minlength=1 << BITS)
+        both += np.bincount(part, weights=np.repeat(y[lo:lo + 512], np.diff(at)), minlength=1 << BITS)
     det = both * n - with_f * pos
     scale = with_f * (n - with_f) * pos * (n - pos)
     chi = np.divide(n * det * det, scale, out=np.zeros_like(det), where=scale > 0)
@@ -99,10 +103,10 @@ def train(x: Sparse, y: np.ndarray, seed: int = 7) -> FactorizationMachine:
     if len(y) == 0 or y.min() == y.max():
         return FactorizationMachine.constant(float(y.mean()) if len(y) else 0.0)
     used = associated(x, y)
-    place = np.full(1 << BITS, -1)
-    place[used] = np.arange(len(used))
-    keep = place[x.index] >= 0
-    at = np.concatenate(([0], np.cumsum(keep)))[x.at]
+    place, known = np.full(1 << BITS, -1), np.zeros(1 << BITS, bool)
+    place[used], known[used] = np.arange(len(used)), True
+    keep = known[x.index]
+    at = np.concatenate(([0], np.cumsum(keep, dtype=np.int32)))[x.at].astype(np.int64)
     x = Sparse(place[x.index[keep]], x.value[keep], at)
 
     rng = np.random.default_rng(seed)
@@ -155,8 +159,11 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Factoriz
 
     made = sample.mapInArrow(per_batch(lists), "doc_id bigint, toxic double, features array<int>").toArrow()
     made = made.sort_by([("doc_id", "ascending")])
-    rows = [np.asarray(r.values.to_numpy()) for r in made.column("features")]
-    return train(Sparse.of_lists(rows), made.column("toxic").to_numpy())
+    lists, y = made.column("features").combine_chunks(), made.column("toxic").to_numpy()
+    index = lists.values.to_numpy()
+    x = Sparse(index, np.broadcast_to(1.0, len(index)), lists.offsets.to_numpy().astype(np.int64))
+    del made
+    return train(x, y)
 
 
 def with_score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine, name: str = "score") -> DataFrame:
