@@ -24,6 +24,9 @@ from aurum.sources.ranges import numbered_lines
 R_ELEMENT = "element is not valid json"
 R_LINE = "line is not a json array"
 
+#: Bytes of lines that Python cuts at a time: a task's memory follows neither its lines nor the split's size.
+BATCH_BYTES = 4 << 20
+
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},]', re.S)
 _OBJECT = re.compile(r",\s*(?=\{)")
 
@@ -83,6 +86,7 @@ def land_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     Accepted elements have no reason.  Blank lines and empty arrays hold no element; null
     never vanishes: it is an element like any other."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     lines = numbered_lines(spark, path).filter(F.trim("_raw") != "")
     parsed = lines.select("*", C.once(C.one_json_value("_raw")).alias("_v"))
     items = F.when(C.is_one_value("_v"), F.try_variant_get("_v", "$[0]", "array<variant>"))

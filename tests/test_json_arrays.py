@@ -1,7 +1,9 @@
 import json
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from aurum.session import scratch_path
 from aurum.sources import json_arrays as J
@@ -60,3 +62,22 @@ def test_empty_file(spark):
     path = scratch_path(spark, "arrays")
     spark.createDataFrame([], "value string").write.text(path)
     assert J.land_json_arrays(spark, path).count() == 0
+
+
+def test_python_gets_lines_in_batches_bounded_in_bytes(spark, monkeypatch):
+    """Ten megabytes of broken lines in one split: every batch stays near the bound."""
+    path = scratch_path(spark, "arrays")
+    broken = F.concat(F.lit('[{"a":"'), F.repeat(F.lit("x"), 100_000), F.lit('"]'))
+    spark.range(0, 100, 1, 1).select(broken.alias("value")).write.text(path)
+
+    @F.pandas_udf("array<string>")
+    def size(lines: pd.Series) -> pd.Series:
+        return pd.Series([[str(lines.str.len().sum())]] * len(lines))
+    monkeypatch.setattr(J, "_split", size)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    try:
+        sizes = [int(r._raw) for r in J.land_json_arrays(spark, path).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(sizes) == 100 and max(sizes) <= J.BATCH_BYTES + 200_000
