@@ -17,7 +17,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.sources.landing import PROVENANCE, batch_timestamp, record_number, union_by_name, with_provenance
+from aurum.sources.landing import PROVENANCE, batch_timestamp, folder_and_file, record_number, union_by_name, with_provenance
 
 #: Footers that a task reads, about.
 FILES_PER_TASK = 64
@@ -58,8 +58,7 @@ def land_drifted_files(spark: SparkSession, paths: list[str], source: str,
     for g in groups:
         for files in [g.files] if g.shape is not None else [[f] for f in g.files]:
             df = spark.read.schema(spark.read.parquet(files[0]).schema).parquet(*files)
-            folder = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+/[^/]+$", 0)
-            df = df.select(*[c for c in df.columns if c not in PROVENANCE], folder.alias("_source_file"), record_number(True).alias("_record_no"))
+            df = df.select(*[c for c in df.columns if c not in PROVENANCE], folder_and_file().alias("_source_file"), record_number(True).alias("_record_no"))
             scans.append(with_provenance(df, source, ts))
     if not scans:
         raise FileNotFoundError(f"no parquet file under {paths}")

@@ -36,6 +36,12 @@ def read_parquet_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union_by_name([spark.read.parquet(p) for p in paths])
 
 
+def folder_and_file(path: str = "_metadata.file_path") -> Column:
+    """The last folder and the file name of a path: by its slashes, as a pattern that ends at the
+    path's end is tried from every character of it, row by row."""
+    return F.substring_index(F.col(path), "/", -2)
+
+
 def land_parquet_files(spark: SparkSession, paths: list[str], source: str,
                        ingested_at: datetime.datetime | None = None) -> DataFrame:
     """Land several Parquet files/folders of one feed as one bronze table.
@@ -49,8 +55,7 @@ def land_parquet_files(spark: SparkSession, paths: list[str], source: str,
     for p in paths:
         df = spark.read.parquet(p)
         df = df.drop(*[c for c in PROVENANCE if c in df.columns])
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+/[^/]+$", 0)
-        frames.append(with_provenance(df, source, ts, source_file=folder,
+        frames.append(with_provenance(df, source, ts, source_file=folder_and_file(),
                                       record_no=record_number(parquet_scan=True)))
     return union_by_name(frames)
 

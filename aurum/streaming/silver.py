@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum.plans import trips
-from aurum.sources.landing import PROVENANCE, with_provenance
+from aurum.sources.landing import PROVENANCE, folder_and_file, with_provenance
 from aurum.sources.store import reload_partitions
 
 MONTH = "pickup_month"
@@ -63,8 +63,7 @@ def land_silver(spark: SparkSession, source_glob: str, schema: T.StructType, roo
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+/[^/]+$", 0)
-    rows = reader.load(source_glob).select("*", folder.alias("_source_file"), F.col("_metadata.row_index").alias("_record_no"))
+    rows = reader.load(source_glob).select("*", folder_and_file().alias("_source_file"), F.col("_metadata.row_index").alias("_record_no"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         merge_batch(with_provenance(batch, source), batch_id, root)
