@@ -31,13 +31,14 @@ def label_survivors(df: DataFrame, keys: list[str], order: list[str], row_id: li
     ``row_id`` names the columns that identify a row (never NULL).  It is the last
     tie-breaker, so exact copies and NULL order values have one survivor too, and
     the only key of the match-back: unique per row, it spreads a hot natural key
-    over all partitions.
+    over all partitions.  The match-back hashes the survivors' identities, so the whole rows
+    pass it unsorted; spread evenly, they make tables of about one shuffle partition's size.
     """
     missing = [c for c in row_id if c not in df.columns]
     if missing:
         raise ValueError(f"label_survivors needs the row identity columns {missing}")
     cols = list(dict.fromkeys(keys + order + row_id))
     win = keep_first(df.select(*cols), keys, order + row_id).select(*row_id).withColumn(flag, F.lit(True))
-    return (df.join(win, on=row_id, how="left")
+    return (df.join(win.hint("shuffle_hash"), on=row_id, how="left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
               .select(*df.columns, flag))

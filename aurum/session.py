@@ -7,6 +7,7 @@ reach).  Jobs read it from the session; only local runs and tests set one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,6 +29,21 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Bytes that a task reads, of a table or of a shuffle: at most these.  The trip tables take some
+# 20 bytes a row compressed and ten times that in a sort, so tasks of Spark's usual sizes
+# (128 and 64 MB) would spill.  Lower settings of a session stay.
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20,
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20}
+
+
+def bound_tasks(spark: SparkSession) -> None:
+    """Lowers the session's split and shuffle partition sizes to ``TASK_BYTES``."""
+    units = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for key, most in TASK_BYTES.items():
+        size = re.fullmatch(r"(\d+)([a-z]*)", spark.conf.get(key).strip().lower())
+        if size is None or int(size[1]) * units.get(size[2], 1 << 40) > most:
+            spark.conf.set(key, str(most))
+
 
 def build_session(master: str | None = None, app: str = "aurum",
                   shuffle_partitions: int | None = None,

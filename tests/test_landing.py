@@ -4,6 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from aurum.plans import dims, feeds
+from aurum.session import scratch_path
 from aurum.sources import landing as L
 
 COLUMNS = ["LocationID", "Borough", "Zone", "service_zone"]
@@ -102,3 +103,30 @@ def test_provenance_and_union_by_name(spark, tmp_path):
     assert p.columns[:4] == L.PROVENANCE
     r = p.first()
     assert r._source == "trips" and r._source_file.endswith(".parquet") and r._record_no == 0
+
+
+def test_landed_file_names_take_no_pattern(spark):
+    paths = ["file:///a/b/c.parquet", "hdfs://h:9000/x y/part-0.parquet", "/t/one/two/three"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [tuple(r) for r in df.select(L.folder_and_file("p"), F.regexp_extract("p", r"[^/]+/[^/]+$", 0)).collect()]
+    assert got == [("b/c.parquet",) * 2, ("x y/part-0.parquet",) * 2, ("two/three",) * 2]
+    path = scratch_path(spark, "landing") + "/first.parquet"
+    spark.range(3).write.parquet(path)
+    landed = L.land_parquet_files(spark, [path], "ids")
+    assert "regexp" not in landed._jdf.queryExecution().toString().lower()
+    assert landed.filter(F.col("_source_file").startswith("first.parquet/part-")).count() == 3
+
+
+def test_task_sizes_are_lowered_and_never_raised(spark):
+    from aurum.session import TASK_BYTES, bound_tasks
+    old = {k: spark.conf.get(k) for k in TASK_BYTES}
+    try:
+        for given, kept in (("128m", None), ("1g", None), ("134217728b", None), ("8m", "8m"), ("1024", "1024")):
+            for k in TASK_BYTES:
+                spark.conf.set(k, given)
+            bound_tasks(spark)
+            for k, most in TASK_BYTES.items():
+                assert spark.conf.get(k).removesuffix("b") == (kept or str(most))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -40,6 +40,18 @@ def test_label_survivors_conserves_rows(spark, skewed):
     assert n_surv == keep_first(skewed, ["k", "k2"], ["ord", "payload"]).count()
 
 
+def test_label_survivors_does_not_sort_the_whole_rows(spark, skewed):
+    ids = materialize(skewed.withColumns({"_source_file": F.lit("f"), "_record_no": F.monotonically_increasing_id()}))
+    lab = label_survivors(ids, ["k", "k2"], ["ord", "payload"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lab._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_tag_reasons_first_rule_wins_and_null_is_labelled(spark):
     df = spark.createDataFrame([(5.0, 1), (-1.0, 9), (None, 1), (2.0, 9)], "fare double, pax int")
     rules = [("fare", ~(F.col("fare") > 0)), ("pax", ~F.col("pax").between(1, 6))]
