@@ -57,6 +57,8 @@ def fit_gbt(train: DataFrame, features: list[str], params: dict | None = None):
     asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="_features", labelCol=TARGET, predictionCol="prediction",
                        maxDepth=p["maxDepth"], stepSize=p["stepSize"], maxIter=p["maxIter"], seed=42)
+    # some 1,400 jobs, each with a task per partition: no more of them than keep the cores busy
+    train = train.coalesce(2 * train.sparkSession.sparkContext.defaultParallelism)
     return Pipeline(stages=[asm, gbt]).fit(train)
 
 
@@ -124,12 +126,19 @@ def lift_replicates(errors: DataFrame, keys: list[str], base: str, added: str, r
     rows = rows.filter("b IS NOT NULL AND a IS NOT NULL")
     four = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1))).alias("g"))
     four = four.select("b", "a", "g", F.md5(F.concat_ws("|", F.col("t"), F.col("g").cast("string"))).alias("h"))
-    each = four.select("b", "a", "g", "h", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("i"))
-    u = F.conv(F.substring(F.col("h"), 8 * F.col("i") + 1, F.lit(8)), 16, 10).cast("bigint")
-    w = sum((F.when(F.col("u") >= F.lit(s), 1).otherwise(0) for s in POISSON_STEPS[1:]), F.when(F.col("u") >= F.lit(POISSON_STEPS[0]), 1).otherwise(0))
-    each = each.select("b", "a", (4 * F.col("g") + F.col("i")).alias("replicate"), u.alias("u")).filter(F.col("replicate") < replicates)
-    total = each.select("replicate", "b", "a", w.alias("w")).groupBy("replicate").agg(
-        F.sum(F.col("w") * F.col("b")).alias("b"), F.sum(F.col("w") * F.col("a")).alias("a"))
+    four = four.select("b", "a", "g", *[F.substring("h", 8 * i + 1, 8).alias(f"u{i}") for i in range(4)])
+
+    def weight(u: str):
+        """The Poisson number: hexadecimal texts of one length are ordered as their numbers are."""
+        w = F.when(F.col(u) < F.lit(f"{POISSON_STEPS[0]:08x}"), 0)
+        for k, s in enumerate(POISSON_STEPS[1:], start=1):
+            w = w.when(F.col(u) < F.lit(f"{s:08x}"), k) if s < 2 ** 32 else w
+        return w.otherwise(sum(s < 2 ** 32 for s in POISSON_STEPS))
+    four = four.select("b", "a", "g", *[weight(f"u{i}").alias(f"w{i}") for i in range(4)])
+    sums = four.groupBy("g").agg(*[F.sum(F.col(f"w{i}") * F.col(x)).alias(f"{x}{i}") for i in range(4) for x in "ba"])
+    each = F.explode(F.array(*[F.struct((4 * F.col("g") + i).alias("replicate"), F.col(f"b{i}").alias("b"), F.col(f"a{i}").alias("a"))
+                               for i in range(4)])).alias("r")
+    total = sums.select(each).select("r.*").filter(F.col("replicate") < replicates)
     return total.select("replicate", (F.lit(100.0) * (F.col("b") - F.col("a")) / F.nullif(F.col("b"), F.lit(0).cast("bigint"))).alias("lift_pct"))
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -96,6 +97,21 @@ def test_replicates_do_not_depend_on_partitions(spark):
     assert runs[0] == runs[1] and len(runs[0]) == 30 and len({x for _, x in runs[0]}) > 20
 
 
+def test_replicates_are_the_plain_sums_and_make_a_row_for_four(spark):
+    rows = [(i, i % 5 + 0.25, i % 3 + 0.5) for i in range(60)]
+    out = X.lift_replicates(spark.createDataFrame(rows, "k int, b double, a double"), ["k"], "b", "a", replicates=6)
+    want = {}
+    for r in range(6):
+        b = a = 0
+        for k, x, y in rows:
+            u = int(hashlib.md5(f"7|{k}|{r // 4}".encode()).hexdigest()[8 * (r % 4):8 * (r % 4) + 8], 16)
+            w = sum(u >= s for s in X.POISSON_STEPS)
+            b, a = b + w * int(x * 1e6 + 0.5), a + w * int(y * 1e6 + 0.5)
+        want[r] = 100.0 * (b - a) / b
+    assert {r.replicate: r.lift_pct for r in out.collect()} == pytest.approx(want)
+    assert "conv(" not in out._jdf.queryExecution().toString()
+
+
 def test_decision_and_apparatus_report_intervals(spark):
     rnd = random.Random(9)
     rows = [(i, float(rnd.randrange(1, 40)), float(rnd.choice([0, 0, 10, 20])), rnd.choice([0.0, 50.0])) for i in range(400)]
