@@ -116,7 +116,8 @@ class Bpe:
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.start = np.concatenate(([0], np.cumsum(sizes)))
         self.decimal = [b"%d," % i for i in range(size)]
-        self.pair = Recent(lambda p: self._survives(self._edge(p[0], 1), self._edge(p[1], 0)), lambda: KEPT_PAIRS)
+        self.size = size
+        self.pair = Recent(self._border, lambda: KEPT_PAIRS)     # by one number: tuples would take thrice the memory
         self.cuts = Recent(self._encode_cut, lambda: KEPT_CUTS)
 
     def _edge(self, t: int, side: int) -> list[tuple[int, int]]:
@@ -131,7 +132,11 @@ class Bpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a border between tokens a and b survives all merges."""
-        return self.pair[a, b]
+        return self.pair[a * self.size + b]
+
+    def _border(self, pair: int) -> bool:
+        a, b = divmod(pair, self.size)
+        return self._survives(self._edge(a, 1), self._edge(b, 0))
 
     def _survives(self, left: list, right: list) -> bool:
         i = j = 0

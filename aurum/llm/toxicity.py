@@ -39,6 +39,8 @@ PAIR_RATE, PAIR_DECAY = 0.05, 1e-3
 #: Chi-square (one degree of freedom) a feature needs to take part.
 ASSOCIATION = 25.0
 THRESHOLD = 0.3
+#: A byte of text takes about a hundred in arrays of features and factors.
+SLICE_BYTES = 1 << 18
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = True
@@ -48,7 +50,7 @@ def features(texts: pa.Array):
     """Yields (row offsets, sorted distinct feature numbers) for runs of texts."""
     offs, raw = text_buffers(texts)
     mask = np.uint64((1 << BITS) - 1)
-    for i, j in slices(offs):
+    for i, j in slices(offs, SLICE_BYTES):
         w = Words(offs, raw, i, j, ink=_LETTER)
         spans = [w.hashes()]
         for k, p in enumerate(PREFIXES):
