@@ -1,7 +1,8 @@
 """Byte-level BPE: a backtracking encoder and an offset-table decoder.
 
 Encoding does not replay merges.  A piece's Aho-Corasick matches give, for every
-start, the vocabulary tokens that begin there.  The encoder walks left to right and
+start, the longest vocabulary token that begins there; the shorter ones are its prefixes,
+which a table leads through.  The encoder walks left to right and
 takes the longest token that is *compatible* with the token before it; when none is,
 it steps back and tries the next shorter one.  Two neighbours are compatible when
 merging could never have joined bytes across their border.  A prefix of a piece
@@ -18,7 +19,8 @@ Texts are cut where the pretokenizer always cuts, before each space or line feed
 and the ids of a cut are remembered in a bounded table; texts with runs of three
 or more white-space characters, other white space or special tokens take
 the pretokenizer's pattern as a whole.  Decoding gathers bytes from one blob
-through a table of token offsets.
+through a table of token offsets.  Workers outlive their tasks, so what a task remembered
+goes when it ends.
 
 Null texts count as empty: no ids, empty text.  A very long text is encoded cut by cut.  Rows
 are encoded one by one: repeated rows and rows that share a doc_id, or have none, each
@@ -31,6 +33,9 @@ import functools
 import hashlib
 import json
 import re
+import sys
+from array import array
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -48,7 +53,8 @@ KEPT_CUTS, KEPT_PAIRS = 200_000, 100_000
 _NEVER = 1 << 60
 #: White space as the pretokenizer's pattern sees it (Unicode White_Space).
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_OTHER = re.compile(rf"[{_WS}\x00\x1c-\x1f](?<![ \n])|[ \n]{{3}}|[ \n]{{2}}\Z")
+_OTHER = re.compile(rf"[{_WS}\x1c-\x1f](?<![ \n])")
+_PAIRS, _RUN = ("  ", " \n", "\n ", "\n\n"), re.compile(r"[ \n]{3}|[ \n]{2}\Z")
 
 
 def byte_symbols() -> list[str]:
@@ -78,6 +84,10 @@ class Recent(dict):
         return value
 
 
+class _TakenWhole(Exception):
+    """A cut holds white space that may belong with its neighbours'."""
+
+
 class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -95,6 +105,7 @@ class Bpe:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         pattern = public_tokenizers.PATTERN.replace(r"[^\s", f"[^{_WS}").replace(r"\S", f"[^{_WS}]").replace(r"\s", f"[{_WS}]")
         self.pieces = regex.compile(pattern).findall
+        self.one_word = regex.compile(r" ?\p{L}+").fullmatch
 
         self.rank: dict[tuple[int, int], int] = {}
         self.made_of: dict[int, tuple[int, int, int]] = {}
@@ -109,16 +120,31 @@ class Bpe:
             if s not in special and (i in self.made_of or len(s) == 1):
                 text = self.bytes[i].decode("latin-1")
                 self.token[text] = i
-                self.finder.add_word(text, (len(text), i))
+                if len(text) > 1:
+                    self.finder.add_word(text, (len(text) - 1, i))
         self.finder.make_automaton()
 
-        sizes = np.array([len(b) for b in self.bytes], np.int64)
+        self.matches = self.finder.iter if len(self.finder) else lambda piece: ()
+        self.of_byte = {b: self.token[chr(b)] for b in range(256) if chr(b) in self.token}
+        #: The next shorter token that begins a token, -1 for none.
+        self.shorter = [-1] * size
+        for text, i in self.token.items():
+            self.shorter[i] = next((self.token[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in self.token), -1)
+        self.length = [len(b) for b in self.bytes]
+        sizes = np.array(self.length, np.int64)
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.start = np.concatenate(([0], np.cumsum(sizes)))
-        self.decimal = [b"%d," % i for i in range(size)]
+        self.decimal = np.array([b"%d," % i for i in range(size)])       # padded with zero bytes
         self.size = size
         self.pair = Recent(self._border, lambda: KEPT_PAIRS)     # by one number: tuples would take thrice the memory
         self.cuts = Recent(self._encode_cut, lambda: KEPT_CUTS)
+        self.marks = {m: self._encode_part(m) for m in ".,!?"}
+
+    def forget(self) -> None:
+        """Empties the tables of what texts brought."""
+        for made in (self.pair, self.cuts):
+            made.clear()
+            made.old = {}
 
     def _edge(self, t: int, side: int) -> list[tuple[int, int]]:
         """(token, rank of the merge that swallows it) along one edge, from the byte up."""
@@ -136,7 +162,7 @@ class Bpe:
 
     def _border(self, pair: int) -> bool:
         a, b = divmod(pair, self.size)
-        return self._survives(self._edge(a, 1), self._edge(b, 0))
+        return a == self.size or self._survives(self._edge(a, 1), self._edge(b, 0))
 
     def _survives(self, left: list, right: list) -> bool:
         i = j = 0
@@ -152,40 +178,41 @@ class Bpe:
             else:
                 j += 1
 
-    def encode_piece(self, piece: str) -> list[int]:
-        """Ids of one pretokenizer piece, given as Latin-1 text of its bytes."""
+    def encode_piece(self, raw: bytes) -> list[int]:
+        """Ids of one pretokenizer piece."""
+        piece = raw.decode("latin-1")
         whole = self.token.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        begin: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, found in self.finder.iter(piece):
-            begin[end + 1 - found[0]].append(found)          # shorter ones end earlier: longest last
-        path: list[tuple[int, int, int]] = []                # (position, choice, token)
-        dead: set[int] = set()
-        pos, choice = 0, len(begin[0]) - 1
-        while pos < n:
-            options = begin[pos]
-            while choice >= 0:
-                size, token = options[choice]
-                if pos + size not in dead and (not path or self.compatible(path[-1][2], token)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                path.append((pos, choice, token))
-                pos += size
-                choice = len(begin[pos]) - 1 if pos < n else 0
+        longest = list(map(self.of_byte.__getitem__, raw))
+        for end, (more, token) in self.matches(piece):
+            longest[end - more] = token                      # shorter ones end earlier
+        length, shorter, pair, vocabulary, n = self.length, self.shorter, self.pair, self.size, len(raw)
+        path = [longest[0]]
+        pos, before = length[path[0]], path[0] * vocabulary
+        token = longest[pos]
+        while True:
+            if pair[before + token]:
+                path.append(token)
+                pos += length[token]
+                if pos == n:
+                    return path
+                before, token = token * vocabulary, longest[pos]
             else:
-                dead.add(pos)
-                pos, choice, _ = path.pop()
-                choice -= 1
-        return [token for _, _, token in path]
+                token = shorter[token]
+            if token < 0:                                    # none is left here: step back
+                while token < 0:
+                    longest[pos] = -1                        # and do not come again
+                    last = path.pop()
+                    pos -= length[last]
+                    token = shorter[last]
+                before = (path[-1] if path else vocabulary) * vocabulary
 
     def _encode_part(self, text: str) -> bytes:
         ids: list[int] = []
         for p in self.pieces(text):
-            ids += self.encode_piece(p.encode("utf-8").decode("latin-1"))
-        return np.array(ids, np.uint32).tobytes()
+            ids += self.encode_piece(p.encode("utf-8"))
+        return _little(ids)
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers."""
@@ -194,19 +221,32 @@ class Bpe:
             if len(parts) > 1:
                 return b"".join(np.uint32(self.special[p]).tobytes() if k % 2 else self.encode_bytes(p)
                                 for k, p in enumerate(parts))
-        if _OTHER.search(text):
+        if "\0" in text or any(p in text for p in _PAIRS) and _RUN.search(text):
+            return self._encode_part(text)
+        # A key is what follows a space; after "\0" it is the text's start, and line feeds begin their own.
+        keys = ("\0" + text).replace("\n", " \n").split(" ")
+        try:
+            return b"".join(map(self.cuts.__getitem__, keys))
+        except _TakenWhole:
             return self._encode_part(text)
-        cuts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        return b"".join(map(self.cuts.__getitem__, cuts))
 
-    def _encode_cut(self, cut: str) -> bytes:
-        if cut[-1:] in (".", ",", "!", "?") and cut[-2:-1].isalpha():     # letters end a piece, the mark is one of its own
-            return self.cuts[cut[:-1]] + self._encode_part(cut[-1])
+    def _encode_cut(self, key: str) -> bytes:
+        if key[-1:] in self.marks and key[-2:-1].isalpha():      # letters end a piece, the mark is one of its own
+            return self.cuts[key[:-1]] + self.marks[key[-1]]
+        cut = key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
+        if self.one_word(cut):
+            return _little(self.encode_piece(cut.encode("utf-8")))
+        if _OTHER.search(cut):
+            raise _TakenWhole
         return self._encode_part(cut)
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode_bytes(text or ""), np.uint32)
 
+    def decimals(self, ids: np.ndarray) -> bytes:
+        """Decimal ids, joined by commas."""
+        return self.decimal[ids].tobytes().translate(None, b"\0")[:-1]
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         size = self.start[ids + 1] - self.start[ids]
         at = np.cumsum(size)
@@ -217,6 +257,14 @@ class Bpe:
         return self.decode_bytes(np.asarray(ids, np.int64)).decode("utf-8", "replace")
 
 
+def _little(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 @functools.lru_cache(2)
 def load(path: str) -> Bpe:
     """One encoder per worker process and vocabulary file."""
@@ -253,18 +301,22 @@ def digested(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-    def digest(col: pa.Array) -> pa.Array:
+    def digest(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
-        n, made, back = [], [], []
-        for t in col:
-            ids = bpe.encode(t.as_py())
-            n.append(len(ids))
-            decimal = b"".join(map(bpe.decimal.__getitem__, ids.tolist()))[:-1]
-            made.append(hashlib.sha256(decimal).hexdigest())
-            back.append(hashlib.sha256(bpe.decode_bytes(ids.astype(np.int64))).hexdigest())
-        release_memory()
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(made, pa.string()), pa.array(back, pa.string())],
-                                          ["n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for col in cols:
+                n, made, back = [], [], []
+                for t in col:
+                    ids = bpe.encode(t.as_py())
+                    n.append(len(ids))
+                    made.append(hashlib.sha256(bpe.decimals(ids)).hexdigest())
+                    back.append(hashlib.sha256(bpe.decode_bytes(ids.astype(np.int64))).hexdigest())
+                yield pa.StructArray.from_arrays(
+                    [pa.array(n, pa.int64()), pa.array(made, pa.string()), pa.array(back, pa.string())],
+                    ["n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            bpe.forget()
+            release_memory()
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in made]).alias("row"), digest(F.col(text)).alias("bpe"))
     return rows.select("row.*", "bpe.*")

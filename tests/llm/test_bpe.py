@@ -74,3 +74,40 @@ def test_query_agrees_with_the_library(spark, pair):
         assert have.ids_sha256 == hashlib.sha256(",".join(map(str, e.ids)).encode()).hexdigest()
         assert have.decoded_sha256 == hashlib.sha256(lib.decode(e.ids, skip_special_tokens=False).encode()).hexdigest()
     assert isinstance(pair[0].encode("x"), np.ndarray)
+
+
+def test_plain_words_skip_the_pattern(pair, monkeypatch):
+    mine = pair[0]
+    mine.cuts.clear()
+    mine.cuts.old = {}
+    used = []
+    find = mine.pieces
+    monkeypatch.setattr(mine, "pieces", lambda text: used.append(text) or find(text))
+    text = "Undeinber zwölfköpfigö, thonrewh laescobo. Ciónñí! wh"
+    same(pair, text)
+    assert used == []
+    same(pair, text + " a1")
+    assert used == [" a1"]
+
+
+def test_white_space_at_cuts(pair):
+    rnd = random.Random(5)
+    parts = [" ", "\n", "\t", "\x0b", "\xa0", "\x1d", "　", "\0", "a", "Öl", "ab.", "x,", ".", "7", "é!", "<|endoftext|>"]
+    for _ in range(6000):
+        same(pair, "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 9))))
+
+
+def test_tables_end_with_the_task(spark):
+    path = public_tokenizers.path(B.VOCABULARY)
+    docs = spark.range(64).selectExpr("id AS doc_id", "concat('wörter', id, ' undeinber ', repeat('thonre', int(id))) AS text")
+    assert B.digested(docs.repartition(16), path).filter("n_tokens > 3").count() == 64
+
+    def kept(batches):
+        import pyarrow as pa
+        for _ in batches:
+            pass
+        bpe = B.load(path)
+        yield pa.record_batch([pa.array([len(t) + len(t.old) for t in (bpe.cuts, bpe.pair)])], names=["n"])
+
+    left = spark.range(0, 64, 1, 64).mapInArrow(kept, "n bigint").collect()
+    assert len(left) == 128 and not any(r.n for r in left)
