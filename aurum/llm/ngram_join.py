@@ -70,6 +70,9 @@ LEVELS = 1024
 RANGE_TOKENS, TOKEN_BYTES = 2_000_000, 7
 #: Tokens gathered by a task before they are sorted and shipped.
 FLUSH = 1_500_000
+#: Bytes of packed tokens that a task hands over at a time, about, and hash intervals that a
+#: range is sorted by, one after the other.
+HANDED_BYTES, INTERVALS = 2 << 20, 8
 _MANY = 0xFFFF
 _U = np.uint64
 _LOW = _U((1 << 32) - 1)
@@ -147,6 +150,7 @@ class _Outbox:
         self.sets, self.fps, self.size = [], {}, 0
         order = np.argsort(tok)
         tok, idx = tok[order], idx[order]
+        del order
         start = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1])))
         length = np.diff(np.append(start, len(tok)))
         # tokens that meet here: counted here, shipped once
@@ -157,13 +161,19 @@ class _Outbox:
                         cls=classes[hit], n=counts[hit].astype(np.int64))
         one = np.where(length == 1, idx[start], np.uint16(_MANY)).astype(np.uint16)
         tok = tok[start]
+        del start, length, idx
         edge = np.searchsorted(tok, np.arange(1 << self.bits, dtype=np.uint64) << _U(64 - self.bits))
         edge = np.append(edge, len(tok))
-        slots, blobs = [], []
+        slots, blobs, held = [], [], 0
         for b in np.flatnonzero(np.diff(edge)).tolist():
             slots.append(b)
             blobs.append(_pack(tok[edge[b]:edge[b + 1]], one[edge[b]:edge[b + 1]], classes))
-        yield _rows(kind=np.full(len(slots), TOKENS, np.int8), slot=slots, payload=blobs)
+            held += len(blobs[-1])
+            if held >= HANDED_BYTES:
+                yield _rows(kind=np.full(len(slots), TOKENS, np.int8), slot=slots, payload=blobs)
+                slots, blobs, held = [], [], 0
+        if slots:
+            yield _rows(kind=np.full(len(slots), TOKENS, np.int8), slot=slots, payload=blobs)
 
 
 def _first_pass(bits: int):
@@ -196,11 +206,31 @@ def _count_shared(table: pa.Table) -> pa.Table:
     kind = table.column("kind").to_numpy()
     keep = table.filter(pa.array(kind != TOKENS)).drop_columns(["payload", "slot"])
     blobs = table.column("payload").filter(pa.array(kind == TOKENS))
-    parts = [_unpack(b.as_buffer()) for b in blobs]
-    if not parts:
+    del table
+    if not len(blobs):
         return keep
+    at = np.cumsum([0] + [int(np.frombuffer(b.as_buffer(), np.uint32, 1)[0]) for b in blobs])
+    tok, cls, many = np.empty(at[-1], np.uint32), np.empty(at[-1], np.int64), np.empty(at[-1], bool)
+    for b, i, j in zip(blobs, at[:-1].tolist(), at[1:].tolist()):
+        tok[i:j], cls[i:j], many[i:j] = _unpack(b.as_buffer())
+    del blobs
+    found = []
+    for part in range(INTERVALS):                        # what a sort takes is several times its tokens
+        inside = np.flatnonzero(tok // np.uint32((1 << 32) // INTERVALS) == part)
+        found.append(_shared_classes(tok[inside], cls[inside], many[inside]))
+    del tok, cls, many
     release_memory()
-    tok, cls, many = (np.concatenate(x) for x in zip(*parts))
+    ids, n = np.unique(np.concatenate(found), return_counts=True)
+    nul = lambda t: pa.nulls(len(ids), t)
+    counts = pa.table([pa.array(np.full(len(ids), COUNT, np.int8)), nul(pa.int64()), nul(pa.int64()),
+                       nul(pa.binary()), pa.array(ids), pa.array(n.astype(np.int64))], schema=keep.schema)
+    return pa.concat_tables([keep, counts])
+
+
+def _shared_classes(tok: np.ndarray, cls: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The class of every token that another class has as well, once for each of its tokens."""
+    if not len(tok):
+        return cls
     order = np.argsort(tok)
     tok, cls, many = tok[order], cls[order], many[order]
     start = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1])))
@@ -213,11 +243,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     tok, cls = tok[order], cls[order]
     first = np.ones(len(cls), bool)                     # copies in several tasks: one token once
     first[1:] = (tok[1:] != tok[:-1]) | (cls[1:] != cls[:-1])
-    ids, n = np.unique(cls[first], return_counts=True)
-    nul = lambda t: pa.nulls(len(ids), t)
-    counts = pa.table([pa.array(np.full(len(ids), COUNT, np.int8)), nul(pa.int64()), nul(pa.int64()),
-                       nul(pa.binary()), pa.array(ids), pa.array(n.astype(np.int64))], schema=keep.schema)
-    return pa.concat_tables([keep, counts])
+    return cls[first]
 
 
 # ------------------------------------------------------------- 2. groups

@@ -23,7 +23,8 @@ from pyspark.sql import SparkSession
 
 #: Rows that Spark hands to Python at a time.
 BATCH_ROWS = 1000
-SLICE_BYTES = 1 << 20
+#: A byte of text takes about sixty in arrays of words and hashes.
+SLICE_BYTES = 1 << 18
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -164,3 +164,38 @@ def test_a_tight_family_needs_no_opening(spark, monkeypatch):
     assert inner.isEmpty()
     assert sorted(r.links for r in sure.collect()) == [59] * 60
     assert block.groupBy("block").count().filter("count > 8").isEmpty()
+
+
+def test_shared_tokens_take_little_memory():
+    import tracemalloc
+    rnd = np.random.default_rng(4)
+    sets = [np.unique(rnd.integers(0, 1 << 63, 400, np.uint64) >> np.uint64(6)) for _ in range(1500)]
+    sets += [s.copy() for s in sets[::3]] + [np.append(s[:-1], s[-1] + np.uint64(1)) for s in sets[::5]]
+    rows = []
+    for lo in range(0, len(sets), 500):                      # a class may come from several tasks
+        box = J._Outbox(6)
+        for s in sets[lo:lo + 500]:
+            box.add(J.fingerprint(s), s)
+        rows += list(box.flush())
+    table = pa.Table.from_batches(rows)
+    table = table.filter(pa.array(table.column("slot").to_numpy() == 0))
+    tokens = sum(int(np.frombuffer(b.as_buffer(), np.uint32, 1)[0]) for b in table.column("payload") if b.is_valid)
+    assert tokens > 500_000
+    tracemalloc.start()
+    out = J._count_shared(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * tokens
+    by_class = {}
+    for cls, n in zip(out.column("cls").to_pylist(), out.column("n").to_pylist()):
+        by_class[cls] = by_class.get(cls, 0) + n
+    where = {}
+    for s in {J.fingerprint(s): s for s in sets}.values():
+        for t in s.tolist():
+            where.setdefault(t & 0xFFFFFFFF, set()).add(J._class_id(J.fingerprint(s)))
+    want = {}
+    for s in {J.fingerprint(s): s for s in sets}.values():
+        c, n = J._class_id(J.fingerprint(s)), sum(len(where[t & 0xFFFFFFFF]) > 1 for t in s.tolist())
+        if n:
+            want[c] = n
+    assert {c for c in by_class} == set(want) and all(by_class[c] >= want[c] for c in want)
