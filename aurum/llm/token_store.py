@@ -21,9 +21,9 @@ rows Spark commits once per successful task, belong to the store, so retries and
 lost executors leave at most unused files.  Files go through pyarrow's file systems
 to the shared folder.
 
-The library is asked once per distinct piece and slice of a batch; the tokenizer's
-normalizer and pre-tokenizer never join text across a space, so whole texts get the ids
-that the library gives for them.
+The library is asked once per distinct piece and slice of a batch, of which Python sees the
+distinct pieces only; the tokenizer's normalizer and pre-tokenizer never join text across a
+space, so whole texts get the ids that the library gives for them.
 
 Null and empty texts have the end id only.  A very long text is encoded alone and may fill a
 shard of its own.  Rows that repeat a doc_id (or have none) lie in the order of a hash of
@@ -59,9 +59,14 @@ SHARD_TOKENS = 4_000_000
 SKIP = 256
 #: Remembered chunks: at most so many characters each, and about so many bytes a worker.
 KEPT_CHARS, KEPT_BYTES, ENTRY_BYTES = 48, 96 << 20, 220
-_LETTERS, _DIGITS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\\x09-\\x0d\\x20\\x85\\xa0"
-#: The tokenizer's pre-tokenizer on lower-cased Latin-1 text.
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACES}{_LETTERS}{_DIGITS}]+")
+#: Kinds of Latin-1 characters, as the tokenizer's pre-tokenizer tells them apart in lower-cased text
+#: (``'s|'t|'re|'ve|'m|'ll|'d|letters|digit|others``).  ``WHOLE`` is a chunk that is not cut.
+SPACE, LETTER, DIGIT, OTHER, WHOLE = range(5)
+_KINDS = {LETTER: "[a-zªµºß-öø-ÿ]", DIGIT: "[0-9²³¹¼½¾]", SPACE: "[\\x09-\\x0d\\x20\\x85\\xa0]"}
+_LOWER = np.array([ord(chr(c).lower()) for c in range(256)], np.uint8)
+_KIND = np.array([next((k for k, s in _KINDS.items() if re.match(s, chr(c))), OTHER) for c in _LOWER.tolist()], np.uint8)
+#: The same for bytes of UTF-8 text; those of characters beyond ASCII are looked at in pairs.
+_BYTE_LOWER = np.concatenate([_LOWER[:128], np.arange(128, 256, dtype=np.uint8)])
 #: New words that go to the library at a time; bytes of texts that are encoded at a time.
 ASKED, SLICE = 2000, 4 << 20
 _HEAD = struct.Struct("<4sHHQQQqQQ")
@@ -129,12 +134,13 @@ class EliasFano:
 class ChunkEncoder:
     """Ids of whole texts by the tokenizers library, remembered per piece.
 
-    A text of Latin-1 characters is cut into the pieces of the tokenizer's own pre-tokenizer
-    (``PIECE``); lower-casing and normalising change nothing else about it.  Any other text is cut at
-    its spaces.  New words of Latin-1 letters go to the library as one text, whose ids are cut
-    after the tokens that end a word; everything else is asked for on its own.  Remembered
-    pieces are short and counted in bytes, in two generations; the older one is dropped when the
-    younger is full."""
+    Texts are cut at spaces and newlines.  A chunk of Latin-1 characters is cut into the pieces of
+    the tokenizer's own pre-tokenizer; lower-casing and normalising change nothing else about it.
+    Any other chunk is one piece.  The pieces of many texts are one Arrow array: they are cut with
+    numpy on the bytes, and Python sees the distinct ones only.  New words of Latin-1 letters go to
+    the library as one text, whose ids are cut after the tokens that end a word; everything else is
+    asked for on its own.  Remembered pieces are short and counted in bytes, in two generations; the
+    older one is dropped when the younger is full."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -149,14 +155,9 @@ class ChunkEncoder:
         self.old: dict[str, bytes] = {}
         self.held = 0
 
-    def _cut(self, text: str) -> list[str]:
-        if "<|" not in text and _latin(text):
-            return PIECE.findall(text.lower())
-        return text.replace("\n", " ").split(" ")
-
     def _keep(self, made: dict[str, bytes]) -> None:
         short = {c: ids for c, ids in made.items() if len(c) <= KEPT_CHARS}
-        self.held += sum(ENTRY_BYTES + 2 * len(c) + len(ids) for c, ids in short.items())
+        self.held += ENTRY_BYTES * len(short) + 2 * sum(map(len, short)) + sum(map(len, short.values()))
         self.young.update(short)
         if self.held >= KEPT_BYTES // 2:
             self.young, self.old, self.held = {}, self.young, 0
@@ -166,35 +167,79 @@ class ChunkEncoder:
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words of Latin-1 letters, asked for as one text."""
-        ids = np.array(self.lib.encode(" ".join(words), add_special_tokens=False).ids, self.width)
+        ids = np.frombuffer(self._ask([" ".join(words)])[0], self.width)
         cut = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width.itemsize).tolist()
         if len(cut) != len(words):                           # a word end outside the vocabulary
             return self._ask(words)
         blob = ids.tobytes()
         return [blob[x:y] for x, y in zip([0, *cut], cut)]
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        need = set().union(*cut)
-        need.discard("")
-        of = {"": b""}
-        for kept in (self.young, self.old):
-            hit = need & kept.keys()
-            found = dict(zip(hit, map(kept.__getitem__, hit)))
-            need -= hit
-            of |= found
-        if self.old:
-            self._keep(found)                                # those of the older generation
-        new = sorted(need)
-        words = [c for c in new if c.isalpha() and _latin(c)]
-        others = need.difference(words)
-        for ask, encode in ((words, self._words), (sorted(others), self._ask)):
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        made = list(map(self.young.get, pieces))
+        need = [c for c, ids in zip(pieces, made) if ids is None]
+        of = {c: self.old[c] for c in need if c in self.old}
+        self._keep(of)
+        new = [c for c in need if c not in of]
+        words, others = [], []
+        for c in new:
+            (words if c.isalpha() and _latin(c) else others).append(c)
+        for ask, encode in ((words, self._words), (others, self._ask)):
             for lo in range(0, len(ask), ASKED):
                 some = ask[lo:lo + ASKED]
-                made = dict(zip(some, encode(some)))
-                of |= made
-                self._keep(made)
-        return [b"".join(map(of.__getitem__, cs)) for cs in cut]
+                got = dict(zip(some, encode(some)))
+                of |= got
+                self._keep(got)
+        return [of[c] if ids is None else ids for c, ids in zip(pieces, made)]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        pieces, ends = cut_pieces(texts)
+        coded = pieces.dictionary_encode()
+        made = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, at, ids = pa.array(made, pa.large_binary()).take(coded.indices).buffers()
+        cut = np.frombuffer(at, np.int64)[ends].tolist() if len(pieces) else [0] * len(texts)
+        return [ids[x:y].to_pybytes() if x < y else b"" for x, y in zip([0, *cut], cut)]
+
+
+def cut_pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of every text in one array, and how many there are up to the end of each text."""
+    coded = [t.encode() for t in texts]
+    raw = np.frombuffer(b"\n".join([*coded, b"  "]), np.uint8)     # two spaces more, for looking ahead
+    kind, low = _KIND[raw], _BYTE_LOWER[raw]
+    for lead, first in ((0xC2, 0x80), (0xC3, 0xC0)):         # the other half of Latin-1
+        at = np.flatnonzero(raw == lead)
+        char = first + (raw[at + 1] & 0x3F)
+        kind[at] = kind[at + 1] = _KIND[char]
+        low[at + 1] = 0x80 | _LOWER[char] & 0x3F
+    odd = raw >= 0xC4                                        # beyond Latin-1, or maybe a special token
+    odd[:-1] |= (raw[:-1] == ord("<")) & (raw[1:] == ord("|"))
+    odd = np.flatnonzero(odd)
+    if len(odd):
+        gaps = np.flatnonzero((raw == ord(" ")) | (raw == ord("\n")))
+        chunk = np.unique(np.searchsorted(gaps, odd))
+        step = np.zeros(len(raw), np.int8)
+        step[np.where(chunk > 0, gaps[chunk - 1] + 1, 0)] = 1
+        step[gaps[chunk]] = -1
+        whole = np.cumsum(step, dtype=np.int8).view(bool)
+        kind[whole] = WHOLE
+        np.copyto(low, raw, where=whole)
+    used = kind != SPACE
+    starts = np.ones(len(raw), bool)
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts |= (kind == DIGIT) & (raw & 0xC0 != 0x80)         # every digit is a piece
+    starts &= used
+    mark = np.flatnonzero(starts & (kind == OTHER) & (raw == ord("'")))
+    one, two = low[mark + 1], low[mark + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    for some, size in ((mark[short], 2), (mark[long], 3)):   # 's, 't, 'm, 'd; 're, 've, 'll
+        starts[some + 1] = False
+        starts[some + size] = used[some + size]
+    data = low[used]
+    at = np.append(np.flatnonzero(starts[used]), len(data))
+    pieces = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+    ends = np.cumsum([len(t) + 1 for t in coded], dtype=np.int64)
+    return pieces, np.searchsorted(np.flatnonzero(starts), ends)
 
 
 def _latin(text: str) -> bool:

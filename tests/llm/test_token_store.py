@@ -59,6 +59,34 @@ def test_random_strings(lib):
         assert made == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_pieces_are_those_of_the_pre_tokenizer(lib):
+    rnd = random.Random(13)
+    parts = [chr(c) for c in range(256)] + ["'s", "'t", "'re", "'VE", "'m", "'ll", "'d", "'l", "'r", "'v", "''", "ab", "É", "'", "\n"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))).replace("<|", "<") for _ in range(20_000)]
+    texts += ["", "don't", "we'll", "t'", "s", "'", "'s's", "x'r", "'l", "l", "½½1²", "\xa0\x85", "", "a"]
+    pieces, ends = S.cut_pieces(texts)
+    pieces = pieces.to_pylist()
+    for t, lo, hi in zip(texts, [0, *ends.tolist()], ends.tolist()):
+        low = lib.normalizer.normalize_str(t)
+        assert pieces[lo:hi] == [low[a:b] for _, (a, b) in lib.pre_tokenizer.pre_tokenize_str(low)]
+
+
+def test_only_chunks_beyond_latin_1_stay_whole():
+    pieces, ends = S.cut_pieces(["It's ÉA. “Q&A\tB” C!\nD<|E F", "日本 X1", "", " ", "Ğ"])
+    assert pieces.to_pylist() == ["it", "'s", "éa", ".", "“Q&A\tB”", "c", "!", "D<|E", "f", "日本", "x", "1", "Ğ"]
+    assert ends.tolist() == [9, 12, 12, 12, 13]
+
+
+def test_python_sees_distinct_pieces_only(lib):
+    enc, seen = S.ChunkEncoder(public_tokenizers.path(S.VOCABULARY)), []
+    ids = enc._ids
+    enc._ids = lambda pieces: seen.extend(pieces) or ids(pieces)
+    texts = ["The cat, the dog's 22 naïve cats. “The” " * 300, "", "the cat " * 500]
+    made = [np.frombuffer(b, enc.width).tolist() for b in enc.encode_all(texts)]
+    assert made == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert sorted(seen) == sorted(["the", "cat", ",", "dog", "'s", "2", "naïve", "cats", ".", "“The”"])
+
+
 def test_memory_of_chunks_is_bounded_in_bytes(lib, monkeypatch):
     monkeypatch.setattr(S, "KEPT_BYTES", 20_000)
     enc, rnd = S.ChunkEncoder(public_tokenizers.path(S.VOCABULARY)), random.Random(5)
