@@ -24,21 +24,36 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
               .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def label_survivors(df: DataFrame, keys: list[str], order: list[str], row_id: list[str] = ROW_ID,
-                    flag: str = "_survivor") -> DataFrame:
-    """Every row, with a boolean ``flag``: True for its key's one survivor.
+def survivors(df: DataFrame, keys: list[str], order: list[str], row_id: list[str] = ROW_ID,
+              carry: list[str] = ()) -> DataFrame:
+    """The identity (and the ``carry`` columns) of every key's one survivor.
 
     ``row_id`` names the columns that identify a row (never NULL).  It is the last
-    tie-breaker, so exact copies and NULL order values have one survivor too, and
-    the only key of the match-back: unique per row, it spreads a hot natural key
-    over all partitions.  The match-back hashes the survivors' identities, so the whole rows
-    pass it unsorted; spread evenly, they make tables of about one shuffle partition's size.
+    tie-breaker, so exact copies and NULL order values have one survivor too.
     """
     missing = [c for c in row_id if c not in df.columns]
     if missing:
         raise ValueError(f"label_survivors needs the row identity columns {missing}")
-    cols = list(dict.fromkeys(keys + order + row_id))
-    win = keep_first(df.select(*cols), keys, order + row_id).select(*row_id).withColumn(flag, F.lit(True))
-    return (df.join(win.hint("shuffle_hash"), on=row_id, how="left")
+    cols = list(dict.fromkeys([*keys, *order, *row_id, *carry]))
+    return keep_first(df.select(*cols), keys, [*order, *row_id]).select(*carry, *row_id)
+
+
+def match_back(df: DataFrame, won: DataFrame, on: list[str] = ROW_ID, flag: str = "_survivor") -> DataFrame:
+    """Every row, with a boolean ``flag``: whether ``won`` has its identity (the columns ``on``).
+
+    The match-back hashes the survivors' identities, so the whole rows pass it unsorted; spread
+    evenly, they make tables of about one shuffle partition's size.
+    """
+    return (df.join(won.withColumn(flag, F.lit(True)).hint("shuffle_hash"), on=on, how="left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
               .select(*df.columns, flag))
+
+
+def label_survivors(df: DataFrame, keys: list[str], order: list[str], row_id: list[str] = ROW_ID,
+                    flag: str = "_survivor") -> DataFrame:
+    """Every row, with a boolean ``flag``: True for its key's one survivor.
+
+    The row identity is the only key of the match-back: unique per row, it spreads a hot
+    natural key over all partitions.
+    """
+    return match_back(df, survivors(df, keys, order, row_id), row_id, flag)

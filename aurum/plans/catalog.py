@@ -22,7 +22,7 @@ from aurum.operators.quarantine import tag_reasons
 from aurum.operators.reshape import count_by, duplicate_groups, labelled_counts
 from aurum.plans import dims, feeds, trips
 from aurum.plans.layers import Layers
-from aurum.session import materialize, scratch_path
+from aurum.session import materialize, scratch_path, write_parquet
 from aurum.sources import adapters as A
 from aurum.sources import landing as L
 from aurum.sources import store
@@ -945,7 +945,7 @@ def incremental_silver(spark, sf):
     b = _bronze(spark, sf).drop("_source_file", "_record_no")
     part = F.pmod(F.xxhash64("order_key", "part_key", "vendor_id"), F.lit(3))
     for k in range(3):
-        b.filter(part == k).write.parquet(f"{src}/delivery-{k}")
+        write_parquet(b.filter(part == k), f"{src}/delivery-{k}")
         land_silver(spark, f"{src}/*", b.schema, root, ckpt)
     return read_silver(spark, root)
 

@@ -10,6 +10,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -104,6 +106,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that start inside; then the old ones hold again."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: The shuffle files of a write go when it ends.  Otherwise they stay until the driver happens to collect
+#: its garbage, and several writes in a row hold all their shuffles on the executors' disks at once.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def write_parquet(df, path: str) -> None:
+    """A new Parquet folder in the shared folder: small files, no shuffle files left."""
+    with settings(df.sparkSession, DROP_SHUFFLES):
+        df.write.option("compression", "zstd").parquet(path)
+
+
 def materialize(df):
     """Cut lineage: write the rows once, as Parquet, into the shared folder.
 

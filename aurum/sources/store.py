@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from aurum.session import DROP_SHUFFLES, settings
+
 LOG_SCHEMA = "version int, committed_at timestamp_ntz, n_rows bigint, note string, path string"
 TARGET_FILE_BYTES = 128 << 20
 
@@ -91,18 +93,21 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def reload_partitions(df: DataFrame, path: str, by: list[str]) -> int:
+def reload_partitions(df: DataFrame, path: str, by: list[str], dealt: bool = False) -> int:
     """Replace exactly the partitions of the table at ``path`` that ``df`` has rows of; returns
     the rows written.
 
     Rows are rebalanced by the partition columns (AQE splits a large partition over tasks and
-    joins small ones).  Spark's dynamic overwrite stages the files and swaps partitions
-    in when all tasks have succeeded: files of other partitions are not touched, a failed
-    write changes nothing, and the same rows written again give the same table.
+    joins small ones), unless they are ``dealt`` out by them already.  Spark's dynamic
+    overwrite stages the files and swaps partitions in when all tasks have succeeded:
+    files of other partitions are not touched, a failed write changes nothing, and the
+    same rows written again give the same table.  The shuffle files of the write go when it ends.
     """
     seen = Observation()
-    out = df.hint("rebalance", *by).observe(seen, F.count(F.lit(1)).alias("n"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    out = (df if dealt else df.hint("rebalance", *by)).observe(seen, F.count(F.lit(1)).alias("n"))
+    with settings(df.sparkSession, DROP_SHUFFLES):
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+            .partitionBy(*by).parquet(path))
     return int(seen.get["n"])
 
 
