@@ -106,3 +106,24 @@ def test_rows_are_dealt_once_for_match_back_and_write(spark, monkeypatch):
     with settings(spark, S.DEALT_ONCE):
         plan = S._tag_months(landed, won, counts)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2 and "ShuffledHashJoin" in plan
+
+
+def nodes(plan, name):
+    found = [plan] if plan.nodeName() == name else []
+    return found + [n for i in range(plan.children().size()) for n in nodes(plan.children().apply(i), name)]
+
+
+def columns(node):
+    return {node.output().apply(i).name() for i in range(node.output().size())}
+
+
+def test_counts_shuffle_verdicts_and_not_what_the_rules_read(spark):
+    path = scratch_path(spark, "landed")
+    stamped(feed(spark), "a/one").write.parquet(path)
+    landed = spark.read.parquet(path)
+    verdicts = trips.tag_typed(trips.typed(landed)).groupBy("_reject_reason").count()
+    join, = nodes(verdicts._jdf.queryExecution().optimizedPlan(), "Join")
+    assert columns(join.left()) == {"_source_file", "_record_no", "_reject_reason"}
+    silver = trips.silver(landed).agg(F.count(F.lit(1)).alias("n"))
+    window, = nodes(silver._jdf.queryExecution().optimizedPlan(), "Window")
+    assert not columns(window) & {"fare_amount", "total_amount", "trip_distance_mi", "passenger_count", "trip_duration_s"}
